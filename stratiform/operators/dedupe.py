@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratiform.spec import LOAD_COLUMNS, RECENCY_COLUMNS
 
@@ -23,7 +24,11 @@ def keep_newest(df: DataFrame, business_key: Sequence[str] = ()) -> DataFrame:
     sides of the exchange), so a key that fills a third of the input sends one row per task.
     """
     key = dedupe_key(df, business_key)
-    ties = [c for c in df.columns if c not in key and c not in RECENCY_COLUMNS]
+    ties = [
+        f.name
+        for f in df.schema.fields
+        if f.name not in (*key, *RECENCY_COLUMNS) and not isinstance(f.dataType, (T.MapType, T.VariantType))
+    ]
     newest_first = [F.col(f"`{c}`").desc() for c in (*RECENCY_COLUMNS, *ties)]
     rank = F.row_number().over(Window.partitionBy(*[f"`{c}`" for c in key]).orderBy(*newest_first))
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")

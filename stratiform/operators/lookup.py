@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,21 +21,32 @@ def _width(field: T.StructField) -> Column:
     return F.lit(_FIXED_WIDTH_BYTES)
 
 
-def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
-    """Measure whether every row of `df` fits the limit. Meant for scans of written tables.
+def fits_broadcast(
+    df: DataFrame, *column_sets: Sequence[str], limit_bytes: int = BROADCAST_LIMIT_BYTES
+) -> list[bool]:
+    """Measure for each set of columns whether all rows of `df` fit the limit.
 
-    The row count comes from file footers and settles large tables; only tables that may fit are read.
+    Meant for scans of written tables: the row count comes from file footers and settles large tables,
+    so only a table that may fit is read.
     """
     rows = df.count()
-    if rows * _FIXED_WIDTH_BYTES * len(df.columns) > limit_bytes:
-        return False
-    total = sum((_width(f) for f in df.schema.fields), F.lit(0))
-    return (df.agg(F.sum(total.cast("bigint"))).first()[0] or 0) <= limit_bytes
+    open_sets = [c for c in column_sets if rows * _FIXED_WIDTH_BYTES * len(c) <= limit_bytes]
+    if not open_sets:
+        return [False] * len(column_sets)
+    sizes = df.agg(
+        *[
+            F.sum(sum((_width(df.schema[c]) for c in columns), F.lit(0)).cast("bigint")).alias(f"size{i}")
+            for i, columns in enumerate(open_sets)
+        ]
+    ).first()
+    fitting = [c for c, size in zip(open_sets, sizes, strict=True) if (size or 0) <= limit_bytes]
+    return [c in fitting for c in column_sets]
 
 
 def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast when `df` was measured to fit; otherwise leave the join to a skew-aware shuffle."""
-    return F.broadcast(df) if fits_broadcast(df, limit_bytes) else df
+    (fits,) = fits_broadcast(df, df.columns, limit_bytes=limit_bytes)
+    return F.broadcast(df) if fits else df
 
 
 def lookup_keys(

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.operators.lookup import broadcast_if_small
+from stratiform.operators.lookup import BROADCAST_LIMIT_BYTES, fits_broadcast
 
 _FOUND = "_source_found"
 
@@ -18,10 +18,6 @@ def _all_present(keys: Sequence[str]) -> Column:
     return reduce(and_, (F.col(f"`{k}`").isNotNull() for k in keys))
 
 
-def _any_missing(keys: Sequence[str]) -> Column:
-    return reduce(or_, (F.col(f"`{k}`").isNull() for k in keys))
-
-
 def check_merge_columns(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
     if not keys:
         raise ValueError("a merge needs at least one key column")
@@ -46,6 +42,7 @@ def upsert(
     surrogate_key: str,
     newest_by: Sequence[str] = (),
     source_is_unique: bool = False,
+    limit_bytes: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """The target after the merge.
 
@@ -53,22 +50,22 @@ def upsert(
     inserted; other target rows stay. NULL keys equal nothing, so both sides keep theirs. With
     `newest_by`, a match only updates when the source is not older on those columns.
 
-    Both inputs should be scans of written tables, since each is read more than once. Rows with NULL
-    keys skip the joins. A small source is broadcast and the target is not shuffled at all. Otherwise
-    the joins are a left and two semi/anti joins rather than a full outer one, because Spark can split
-    a hot key of those at run time.
+    Both inputs should be scans of written tables, since each is read more than once. When the source,
+    or just its keys, was measured to fit a broadcast, the target is not shuffled for that join. When
+    not, the joins are left, semi and anti joins rather than a full outer one, because Spark can split a
+    hot key of the target at run time only in those.
     """
     check_merge_columns(target, source, keys)
     if not source_is_unique:
         check_single_match(target, source, keys)
 
     names = [f"`{k}`" for k in keys]
-    keyed_target, keyed_source = target.filter(_all_present(keys)), source.filter(_all_present(keys))
-
-    # Matched and untouched target rows.
     payload = [c for c in source.columns if c not in keys and c != surrogate_key]
-    incoming = broadcast_if_small(source.select(*names, *[f"`{c}`" for c in payload])).filter(_all_present(keys))
-    incoming = incoming.select(
+    keys_fit, rows_fit = fits_broadcast(source, list(keys), [*keys, *payload], limit_bytes=limit_bytes)
+    matchable = source.filter(_all_present(keys))
+
+    # Every target row, changed where the source has its key.
+    incoming = matchable.select(
         *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)],
         *[F.col(f"`{c}`").alias(f"_v{i}") for i, c in enumerate(payload)],
         F.lit(True).alias(_FOUND),
@@ -76,22 +73,24 @@ def upsert(
     match = reduce(and_, (F.col(f"`{k}`") == F.col(f"_k{i}") for i, k in enumerate(keys)))
     takes = F.col(_FOUND).isNotNull()
     if newest_by:
-        slot = {c: f"_v{i}" for i, c in enumerate(payload)}
-        order = [c for c in newest_by if c in slot]
-        takes &= F.struct(*[F.col(slot[c]).alias(c) for c in order]) >= F.struct(
-            *[F.col(f"`{c}`").cast(source.schema[c].dataType).alias(c) for c in order]
-        )
+        takes &= _source_is_newer(source, payload, newest_by)
     replaced = {c: F.when(takes, F.col(f"_v{i}")).otherwise(F.col(f"`{c}`")) for i, c in enumerate(payload)}
-    kept = keyed_target.join(incoming, match, "left").select(
+    kept = target.join(F.broadcast(incoming) if rows_fit else incoming, match, "left").select(
         *[replaced[c].alias(c) if c in replaced else F.col(f"`{c}`") for c in target.columns]
     )
 
-    # Source rows whose key the target lacks. Only key columns of the target are read.
-    source_keys = broadcast_if_small(source.select(*names)).filter(_all_present(keys))
-    matched = keyed_target.select(*names).join(source_keys, list(keys), "left_semi").distinct()
-    inserted = keyed_source.join(matched, list(keys), "left_anti")
+    # Source rows whose key the target lacks. Only the key columns of the target are read for this.
+    source_keys = matchable.select(*names)
+    matched = target.select(*names).join(
+        F.broadcast(source_keys) if keys_fit else source_keys, list(keys), "left_semi"
+    )
+    matched = matched.distinct()
+    inserted = source.join(F.broadcast(matched) if keys_fit else matched, list(keys), "left_anti")
+    return kept.unionByName(inserted, allowMissingColumns=True)
+
 
-    result = kept
-    for part in (target.filter(_any_missing(keys)), inserted, source.filter(_any_missing(keys))):
-        result = result.unionByName(part, allowMissingColumns=True)
-    return result
+def _source_is_newer(source: DataFrame, payload: Sequence[str], newest_by: Sequence[str]) -> Column:
+    order = [c for c in newest_by if c in payload]
+    theirs = [F.col(f"_v{payload.index(c)}").alias(c) for c in order]
+    ours = [F.col(f"`{c}`").cast(source.schema[c].dataType).alias(c) for c in order]
+    return F.struct(*theirs) >= F.struct(*ours)

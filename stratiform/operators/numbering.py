@@ -21,7 +21,7 @@ def number_rows(df: DataFrame, name: str, after: int = 0, order_by: Sequence[str
 
     Rows are written once, together with the partition and position they were written at. Only the row
     count per partition is then needed to turn positions into numbers: one small row per task, which
-    bounds both the running sum and the broadcast by the number of tasks, not of rows.
+    bounds the running sum and the broadcast by the number of tasks, not of rows.
     """
     columns = df.columns
     if order_by:
@@ -31,10 +31,11 @@ def number_rows(df: DataFrame, name: str, after: int = 0, order_by: Sequence[str
     position = F.col("_slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
 
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    offsets = stage(
         written.groupBy(part.alias("_part"))
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")),
+        "offsets",
     )
     number = F.lit(after).cast("bigint") + F.col("_before") + position + 1
     return written.join(F.broadcast(offsets), part == F.col("_part")).select(
