@@ -16,11 +16,13 @@ from stratiform.operators.shape import add_audit_columns, override_types, projec
 from stratiform.plans import feeds, gold
 from stratiform.plans.model import daily_sums, star_query, totals
 from stratiform.plans.silver import run_entity
+from stratiform.plans.whole_run import run_all
 from stratiform.sinks.tables import append_table, merge_table, replace_table
 from stratiform.sources.landing import land_batch
 from stratiform.sources.readers import read_source
 from stratiform.sources.registry import one_id_per_client
 from stratiform.spec import LOAD_COLUMNS, EntitySpec
+from stratiform.streaming.incremental import merge_new_loads
 from stratiform.workspace import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -395,14 +397,23 @@ def entity_run_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return after.withColumns({"known": known, "key_holds": kept}).drop("order_sk", "first_sk")
 
 
-def gold_star_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Build the whole star as tables and report on it from there: rides and observations by day."""
-    database = _new_database(spark)
-    star = gold.build_gold(
-        spark, feeds.taxi(spark, sf_dir), feeds.bike(spark, sf_dir), feeds.weather(spark, sf_dir), database
-    )
-    star["fact_weather_observation"] = _exact(star["fact_weather_observation"], *WEATHER_MEASURES)
-    star["fact_taxi_trip"] = _exact(star["fact_taxi_trip"], *TAXI_AMOUNTS)
+def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two incremental runs, each reading only the newly landed folder."""
+    root, deliver_again = _delivered_twice(spark, sf_dir)
+    spec, checkpoint = _orders_spec(root, _new_database(spark), "merge"), new_path(spark, "progress")
+    merge_new_loads(spark, spec, checkpoint)
+    deliver_again()
+    merge_new_loads(spark, spec, checkpoint)
+    return spark.table(spec.destination).drop("order_sk")
+
+
+def _days_of(star: dict[str, DataFrame]) -> DataFrame:
+    """Rides, trips and observations by day, from the gold tables."""
+    star = {
+        **star,
+        "fact_weather_observation": _exact(star["fact_weather_observation"], *WEATHER_MEASURES),
+        "fact_taxi_trip": _exact(star["fact_taxi_trip"], *TAXI_AMOUNTS),
+    }
     observed = star_query(star, "fact_weather_observation", ["altimeter"], by=["dim_date.date"])
     ridden = star_query(star, "fact_bike_trip", ["duration_seconds"], by=["dim_date.date"])
     driven = star_query(star, "fact_taxi_trip", ["total_amount"], by=["dim_date.date"])
@@ -411,6 +422,64 @@ def gold_star_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_double(joined, "altimeter", "total_amount")
 
 
+def gold_star_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build the whole star as tables and report on it from there: rides and observations by day."""
+    database = _new_database(spark)
+    star = gold.build_gold(
+        spark, feeds.taxi(spark, sf_dir), feeds.bike(spark, sf_dir), feeds.weather(spark, sf_dir), database
+    )
+    return _days_of(star)
+
+
+def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land all three feeds, the rides and observations twice, and report on the gold that results."""
+    root, database = new_path(spark, "lakehouse"), _new_database(spark)
+    rides, observations = feeds.bike(spark, sf_dir), feeds.weather(spark, sf_dir)
+    trips = feeds.taxi(spark, sf_dir).drop("trip_sk")
+    rides, observations = rides.drop("ride_sk"), observations.drop("weather_sk")
+    piped = {"header": "true", "sep": "|"}
+    later_rides = rides.withColumn("ended_at", F.expr("ended_at + interval '1' hour"))
+    later_observations = observations.withColumn("altimeter", F.col("altimeter") + 1)
+    landings = [
+        lambda: land_batch(trips, f"{root}/new_york_taxi", "initial", FIRST_LOAD),
+        lambda: land_batch(rides, f"{root}/citi_bike", "initial", FIRST_LOAD, "zip_csv"),
+        lambda: land_batch(later_rides, f"{root}/citi_bike", "incremental", SECOND_LOAD, "zip_csv"),
+        lambda: land_batch(observations, f"{root}/weather", "initial", FIRST_LOAD, "csv", piped),
+        lambda: land_batch(later_observations, f"{root}/weather", "incremental", SECOND_LOAD, "csv", piped),
+    ]
+    specs = [
+        EntitySpec(
+            format="new_york_taxi",
+            source="new_york_taxi",
+            surrogate_key="trip_sk",
+            load_type="append",
+            destination=f"{database}.new_york_taxi",
+        ),
+        EntitySpec(
+            format="zip_csv",
+            source="citi_bike",
+            options={"header": "true"},
+            override_column_types={c: t for c, t in BIKE_TYPES.items() if c in rides.columns},
+            business_key=["ride_id"],
+            surrogate_key="ride_sk",
+            load_type="merge",
+            destination=f"{database}.citi_bike",
+        ),
+        EntitySpec(
+            format="csv",
+            source="weather",
+            options=piped,
+            override_column_types={c: t for c, t in WEATHER_TYPES.items() if c in observations.columns},
+            business_key=["STATION", "DATE"],
+            surrogate_key="weather_sk",
+            load_type="merge",
+            destination=f"{database}.weather",
+        ),
+    ]
+    star = run_all(spark, specs, root, landings, silver_schema=database, gold_schema=database)
+    return _days_of(star)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -449,6 +518,8 @@ QUERIES: dict[str, Query] = {
         report_bike_by_end_station,
         entity_run_append,
         entity_run_merge,
+        incremental_merge,
         gold_star_build,
+        whole_run,
     )
 }

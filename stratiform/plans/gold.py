@@ -166,18 +166,6 @@ def fact_weather_observation(observations: DataFrame, stations: DataFrame) -> Da
     return keyed.select("weather_sk", "station_sk", "date_sk", "time_sk", *measures)
 
 
-# The gold tables.
-GOLD_TABLES = (
-    "dim_date",
-    "dim_time",
-    "dim_bike_station",
-    "dim_weather_station",
-    "fact_taxi_trip",
-    "fact_bike_trip",
-    "fact_weather_observation",
-)
-
-
 def build_gold(
     spark: SparkSession, taxi: DataFrame, bike: DataFrame, weather: DataFrame, schema: str = "gold"
 ) -> dict[str, DataFrame]:

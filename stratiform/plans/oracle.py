@@ -184,6 +184,23 @@ ORDERS_NEWEST = f"""
         FROM ({ORDERS_FIRST} UNION ALL {ORDERS_SECOND}) AS loads) AS ranked
     WHERE rn = 1"""
 
+LATER_RIDES = f"SELECT * REPLACE (ended_at + interval '1' hour AS ended_at) FROM ({BIKE_SQL}) AS b"
+
+
+def _days(dates: tuple[str, ...], observations: str, rides: str, trips: str) -> str:
+    return f"""
+        WITH days AS ({_dates(*dates)})
+        SELECT days.date_sk, days.date, days.day_name, o.altimeter, r.duration_seconds, t.total_amount
+        FROM days
+        LEFT JOIN (SELECT date_sk, {_exact_sums('altimeter')} FROM ({observations}) AS f GROUP BY date_sk) AS o
+            ON o.date_sk = days.date_sk
+        LEFT JOIN (SELECT {_date_sk('started_at')} AS date_sk,
+                CAST(SUM({_seconds('started_at', 'ended_at')}) AS BIGINT) AS duration_seconds
+            FROM ({rides}) AS f GROUP BY 1) AS r ON r.date_sk = days.date_sk
+        LEFT JOIN (SELECT {_date_sk('tpep_pickup_datetime')} AS date_sk, {_exact_sums('total_amount')}
+            FROM ({trips}) AS f GROUP BY 1) AS t ON t.date_sk = days.date_sk"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "src_parquet_partitioned": f"""
         SELECT *, {FIRST} FROM events
@@ -262,14 +279,23 @@ ORACLE_SQL: dict[str, str] = {
     "entity_run_merge": f"""
         SELECT *, o_orderkey IN (SELECT o_orderkey FROM orders) AS known, TRUE AS key_holds
         FROM ({ORDERS_NEWEST}) AS newest""",
-    "gold_star_build": f"""
-        WITH days AS ({_dates(*TAXI_DAYS, *BIKE_DAYS, *WEATHER_DAYS)})
-        SELECT days.date_sk, days.date, days.day_name, o.altimeter, r.duration_seconds, t.total_amount
-        FROM days
-        LEFT JOIN (SELECT date_sk, {_exact_sums('altimeter')} FROM ({WEATHER_FACT}) AS f GROUP BY date_sk) AS o
-            ON o.date_sk = days.date_sk
-        LEFT JOIN (SELECT start_date_sk, CAST(SUM(duration_seconds) AS BIGINT) AS duration_seconds
-            FROM ({BIKE_FACT}) AS f GROUP BY start_date_sk) AS r ON r.start_date_sk = days.date_sk
-        LEFT JOIN (SELECT pickup_date_sk, {_exact_sums('total_amount')}
-            FROM ({TAXI_FACT}) AS f GROUP BY pickup_date_sk) AS t ON t.pickup_date_sk = days.date_sk""",
+    "incremental_merge": ORDERS_NEWEST,
+    "gold_star_build": _days(
+        TAXI_DAYS + BIKE_DAYS + WEATHER_DAYS,
+        f"SELECT date_sk, altimeter FROM ({WEATHER_FACT}) AS f",
+        BIKE_SQL,
+        TAXI_SQL,
+    ),
+    "whole_run": _days(
+        TAXI_DAYS
+        + (_day_of("started_at", BIKE_SQL), _day_of("ended_at", LATER_RIDES))
+        + WEATHER_DAYS,
+        f"""
+        SELECT {_date_sk('w."DATE"')} AS date_sk, w.altimeter + 1 AS altimeter
+        FROM (SELECT STATION, "DATE", MAX(altimeter) AS altimeter FROM ({WEATHER_SQL}) AS o
+            GROUP BY STATION, "DATE") AS w
+        LEFT JOIN ({WEATHER_STATIONS}) AS s ON w.STATION = s.station_id""",
+        LATER_RIDES,
+        f"SELECT DISTINCT * EXCLUDE (trip_sk) FROM ({TAXI_SQL}) AS t",
+    ),
 }

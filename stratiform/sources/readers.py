@@ -42,9 +42,13 @@ def register_reader(name: str, reader: Reader) -> None:
     READERS[name] = reader
 
 
+def source_path(spec: EntitySpec, root: str = "") -> str:
+    """Where the entity's bronze lies; `root` is the lakehouse folder its source is relative to."""
+    return f"{root.rstrip('/')}/{spec.source}" if root else spec.source
+
+
 def read_source(spark: SparkSession, spec: EntitySpec, root: str = "") -> DataFrame:
-    """Read the bronze rows of an entity; `root` is the lakehouse folder its source is relative to."""
+    """Read the bronze rows of an entity."""
     if spec.format not in READERS:
         raise ValueError(f"unsupported source format: {spec.format}")
-    path = f"{root.rstrip('/')}/{spec.source}" if root else spec.source
-    return READERS[spec.format](spark, path, spec)
+    return READERS[spec.format](spark, source_path(spec, root), spec)

@@ -6,6 +6,8 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.sql import SparkSession
+
 # The folder levels every bronze load is written under.
 LOAD_COLUMNS = ("segment", "year", "month", "day", "load")
 
@@ -50,3 +52,8 @@ class EntitySpec:
         """Read one specification or a list of them."""
         raw = json.loads(text)
         return [cls.from_dict(item) for item in (raw if isinstance(raw, list) else [raw])]
+
+    @classmethod
+    def from_file(cls, spark: SparkSession, path: str) -> list[EntitySpec]:
+        """Read the metadata file of a lakehouse, wherever Spark can read it."""
+        return cls.from_json(spark.read.text(path, wholetext=True).first()["value"])
