@@ -96,7 +96,7 @@ def src_psv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src_zip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, options = new_path(spark, "bronze"), {"header": "true"}
+    root, options = new_path(spark, "bronze"), {"header": "true", "escape": '"'}
     rides = feeds.bike(spark, sf_dir)
     land_batch(rides, root, "initial", FIRST_LOAD, "zip_csv")
     land_batch(rides.withColumn("member_casual", F.lit("member")), root, "incremental", SECOND_LOAD, "zip_csv")
@@ -458,7 +458,7 @@ def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         EntitySpec(
             format="zip_csv",
             source="citi_bike",
-            options={"header": "true"},
+            options={"header": "true", "escape": '"'},
             override_column_types={c: t for c, t in BIKE_TYPES.items() if c in rides.columns},
             business_key=["ride_id"],
             surrogate_key="ride_sk",

@@ -39,7 +39,10 @@ def land_batch(
     format: str = "parquet",
     options: Mapping[str, str] | None = None,
 ) -> str:
-    """Append the rows as one load folder below `root` and return the folder. No shuffle."""
+    """Append the rows as one load folder below `root` and return the folder. No shuffle.
+
+    Format "zip_csv" writes standard CSV (quotes doubled, read with the option escape='"') into archives.
+    """
     values = load_values(segment, run_time)
     folder = "/".join([root.rstrip("/"), *(f"{name}={value}" for name, value in values.items())])
     if format == "zip_csv":

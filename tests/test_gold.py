@@ -1,0 +1,198 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratiform.plans import gold
+from stratiform.plans.model import MEASURES, daily_sums, relationship_for, star_query, totals
+
+BIKE = (
+    "ride_sk bigint, ride_id string, rideable_type string, started_at timestamp_ntz, ended_at timestamp_ntz, "
+    "start_station_id string, start_station_name string, start_lat double, start_lng double, "
+    "end_station_id string, end_station_name string, end_lat double, end_lng double, member_casual string"
+)
+WEATHER = (
+    "weather_sk bigint, STATION string, Station_name string, DATE timestamp_ntz, LATITUDE double, "
+    "LONGITUDE double, ELEVATION double, temperature double, dew_point_temperature double, "
+    "station_level_pressure double, altimeter double"
+)
+TAXI = (
+    "trip_sk bigint, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, PULocationID bigint, "
+    "DOLocationID bigint, VendorID bigint, passenger_count bigint, trip_distance double, fare_amount double, "
+    "tip_amount double, tolls_amount double, total_amount double, payment_type bigint"
+)
+
+
+def ride(key, start, end, start_name="A", end_name="A", started=None, ended=None):
+    started = started or datetime(2024, 1, 31, 23, 59, 30)
+    ended = ended or datetime(2024, 2, 1, 0, 1)
+    return (key, f"R{key}", "classic", started, ended, start, start_name, 1.0, 2.0, end, end_name, 3.0, 4.0, "member")
+
+
+def observation(key, station, name, when, temperature=1.0):
+    return (key, station, name, when, 1.0, 2.0, 3.0, temperature, 2.0, 3.0, 4.0)
+
+
+def trip(key, pickup, dropoff, total=1.0):
+    return (key, pickup, dropoff, 1, 2, 3, 4, 5.0, 6.0, 7.0, 8.0, total, 1)
+
+
+def test_parts_of_day_change_at_six_noon_and_eighteen(spark):
+    minutes = {r.time_sk: r for r in gold.dim_time(spark).collect()}
+    assert len(minutes) == 1440
+    want = {0: "Night", 359: "Night", 360: "Morning", 719: "Morning", 720: "Afternoon", 1079: "Afternoon"}
+    want |= {1080: "Evening", 1439: "Evening"}
+    assert {m: minutes[m].part_of_day for m in want} == want
+    assert (minutes[1439].hour, minutes[1439].minute) == (23, 59)
+    assert dict(gold.dim_time(spark).dtypes) == {
+        "time_sk": "int",
+        "hour": "bigint",
+        "minute": "int",
+        "part_of_day": "string",
+    }
+
+
+def test_calendar_of_observed_dates(spark):
+    days = [date(2024, 1, 6), date(2024, 1, 7), date(2024, 1, 8), None, date(2024, 1, 8)]
+    feed = spark.createDataFrame([(d,) for d in days], "date date")
+    got = gold.dim_date([feed, feed]).orderBy("date_sk").collect()
+    assert [r.date_sk for r in got] == [20240106, 20240107, 20240108]
+    assert [r.day_of_week for r in got] == [7, 1, 2]
+    assert [r.is_weekend for r in got] == [True, True, False]
+    assert (got[0].month_name, got[0].day_name, got[0].quarter) == ("January", "Saturday", 1)
+
+
+def test_first_name_represents_a_bike_station_and_null_comes_first(spark, rows):
+    trips = spark.createDataFrame(
+        [ride(1, "S2", "S1", "B", None), ride(2, "S1", "S2", "A", "A"), ride(3, None, "S3", "x", "C")], BIKE
+    )
+    got = rows(gold.dim_bike_station(trips))
+    assert got == [(1, "S1", None, 3.0, 4.0), (2, "S2", "A", 3.0, 4.0), (3, "S3", "C", 3.0, 4.0)]
+
+
+def test_bike_fact_keeps_rides_of_unknown_stations(spark):
+    trips = spark.createDataFrame([ride(1, "S1", None), ride(2, "S9", "S1"), ride(3, None, "S9")], BIKE)
+    stations = spark.createDataFrame([(5, "S1")], "station_sk bigint, station_id string")
+    for limit in (0, 1 << 20):
+        got = gold.lookup_keys(trips, stations, "station_id", "station_sk", {"start_station_id": "sk"}, limit)
+        assert got.count() == 3
+    facts = {r.bike_trip_sk: r for r in gold.fact_bike_trip(trips, stations).collect()}
+    assert {k: (r.start_station_sk, r.end_station_sk) for k, r in facts.items()} == {
+        1: (5, None),
+        2: (None, 5),
+        3: (None, None),
+    }
+    assert (facts[1].start_date_sk, facts[1].start_time_sk) == (20240131, 1439)
+    assert (facts[1].end_date_sk, facts[1].end_time_sk, facts[1].duration_seconds) == (20240201, 1, 90)
+
+
+def test_duration_is_negative_when_the_end_comes_first(spark):
+    late, early = datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 9, 59, 59, 500000)
+    trips = spark.createDataFrame([trip(1, late, early), trip(2, None, early)], TAXI)
+    got = {r.trip_sk: r for r in gold.fact_taxi_trip(trips).collect()}
+    assert got[1].trip_duration_seconds == -1
+    assert (got[2].trip_duration_seconds, got[2].pickup_date_sk, got[2].pickup_time_sk) == (None, None, None)
+
+
+def test_a_station_described_twice_fans_out(spark, rows):
+    when = datetime(2024, 1, 1, 5, 6)
+    seen = spark.createDataFrame(
+        [observation(1, "S1", "old", when), observation(2, "S1", "new", when), observation(3, None, "x", when)], WEATHER
+    )
+    stations = gold.dim_weather_station(seen)
+    assert rows(stations, "station_sk", "station_name") == [(1, "new"), (2, "old")]
+    facts = gold.fact_weather_observation(seen, stations)
+    assert rows(facts, "weather_sk", "station_sk", "date_sk", "time_sk") == [
+        (1, 1, 20240101, 306),
+        (1, 2, 20240101, 306),
+        (2, 1, 20240101, 306),
+        (2, 2, 20240101, 306),
+        (3, None, 20240101, 306),
+    ]
+    single = gold.dim_weather_station(seen, one_per_id=True)
+    assert rows(single, "station_sk", "station_name") == [(1, "new")]
+
+
+def taxi_star(spark):
+    trips = spark.createDataFrame(
+        [
+            trip(1, datetime(2024, 1, 31, 23), datetime(2024, 2, 1, 1), 10.0),
+            trip(2, datetime(2024, 2, 2), datetime(2024, 2, 2), 5.0),
+            trip(3, None, datetime(2024, 2, 2), 2.0),
+        ],
+        TAXI,
+    )
+    return {
+        "dim_date": gold.dim_date([gold.observed_dates(trips, "tpep_pickup_datetime", "tpep_dropoff_datetime")]),
+        "dim_time": gold.dim_time(spark),
+        "fact_taxi_trip": gold.fact_taxi_trip(trips),
+    }
+
+
+def test_active_path_counts_by_pickup_and_inactive_by_dropoff(spark, rows):
+    star = taxi_star(spark)
+    by = ["dim_date.month"]
+    pickup = star_query(star, "fact_taxi_trip", ["total_amount"], by)
+    assert rows(pickup) == [(1, 10.0), (2, 5.0), (None, 2.0)]
+    dropoff = star_query(star, "fact_taxi_trip", ["total_amount"], by, use=["dropoff_date_sk"])
+    assert rows(dropoff) == [(2, 17.0)]
+
+
+def test_two_dimensions_and_a_column_of_the_fact(spark, rows):
+    by = ["dim_date.year", "dim_time.part_of_day", "vendor_id"]
+    got = star_query(taxi_star(spark), "fact_taxi_trip", ["passenger_count", "total_amount"], by)
+    assert rows(got) == [(2024, "Evening", 3, 4, 10.0), (2024, "Night", 3, 4, 5.0), (None, None, 3, 4, 2.0)]
+
+
+def test_fact_is_summed_before_it_is_joined(spark):
+    plan = star_query(taxi_star(spark), "fact_taxi_trip", ["total_amount"], ["dim_date.month"])
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    join = text.index("Join LeftOuter")
+    assert "Aggregate [pickup_date_sk" in text[join:]
+
+
+def test_daily_sums_are_ordered_and_leave_out_empty_days(spark):
+    seen = spark.createDataFrame(
+        [
+            observation(1, "S", "n", datetime(2024, 1, 2), 1.0),
+            observation(2, "S", "n", datetime(2024, 1, 1), 2.0),
+            observation(3, "S", "n", datetime(2024, 1, 1), None),
+            (4, "S", "n", datetime(2024, 1, 5), 1.0, 2.0, 3.0, None, None, None, None),
+        ],
+        WEATHER,
+    )
+    stations = gold.dim_weather_station(seen)
+    star = {
+        "dim_date": gold.dim_date([gold.observed_dates(seen, "DATE")]),
+        "fact_weather_observation": gold.fact_weather_observation(seen, stations),
+    }
+    got = daily_sums(star).collect()
+    assert [(r.date, r.temperature) for r in got] == [(date(2024, 1, 1), 2.0), (date(2024, 1, 2), 1.0)]
+    assert totals(star).first().asDict() == {
+        "temperature": 3.0,
+        "dew_point_temperature": 6.0,
+        "station_level_pressure": 9.0,
+        "altimeter": 12.0,
+    }
+
+
+def test_only_measures_are_summed(spark):
+    star = taxi_star(spark)
+    for column in ("payment_type", "vendor_id", "trip_sk"):
+        assert column not in MEASURES["fact_taxi_trip"]
+        with pytest.raises(ValueError, match="not additive"):
+            star_query(star, "fact_taxi_trip", [column])
+
+
+def test_relationships():
+    assert relationship_for("fact_weather_observation", "dim_weather_station").column == "station_sk"
+    assert relationship_for("fact_bike_trip", "dim_bike_station").column == "start_station_sk"
+    assert relationship_for("fact_bike_trip", "dim_bike_station", ["end_station_sk"]).column == "end_station_sk"
+    with pytest.raises(ValueError, match="0 usable"):
+        relationship_for("fact_taxi_trip", "dim_bike_station")
+
+
+def test_date_keys_equal_the_formatted_text(spark):
+    df = spark.sql("SELECT explode(sequence(date'1999-12-30', date'2024-03-02', interval 17 day)) AS d")
+    text = F.date_format("d", "yyyyMMdd").cast("int")
+    assert df.filter(gold.date_key(F.col("d")) != text).count() == 0

@@ -1,0 +1,130 @@
+import json
+import os
+import zipfile
+from datetime import datetime, timedelta, timezone
+
+import pytest
+
+from stratiform.sources.landing import land_batch, load_values
+from stratiform.sources.readers import read_source
+from stratiform.sources.registry import one_id_per_client
+from stratiform.spec import EntitySpec
+
+RUN = datetime(2024, 3, 5, 1, 2, 3, 45, tzinfo=timezone.utc)
+
+
+def spec(format, source, **more):
+    return EntitySpec(
+        format=format, source=str(source), load_type="append", destination="d.t", surrogate_key="sk", **more
+    )
+
+
+def test_load_folder_is_utc_and_zero_padded():
+    local = RUN.astimezone(timezone(timedelta(hours=5)))
+    values = {"segment": "incremental", "year": "2024", "month": "03", "day": "05", "load": "010203000045"}
+    assert load_values("incremental", local) == values
+
+
+@pytest.mark.parametrize("format", ["parquet", "csv", "zip_csv"])
+def test_landed_batches_come_back_with_their_load_columns(spark, tmp_path, rows, format):
+    # Archives hold standard CSV, in which a quote is doubled; Spark's own default escape is a backslash.
+    options = {"header": "true"} | ({"escape": '"'} if format == "zip_csv" else {})
+    df = spark.createDataFrame([("a", "x|1"), ("b", 'q"uote, comma'), ("c", None)], ["k", "v"])
+    land_batch(df, f"{tmp_path}/t", "initial", RUN, format, options)
+    land_batch(df.filter("k = 'a'"), f"{tmp_path}/t", "incremental", RUN + timedelta(days=1), format, options)
+    got = read_source(spark, spec(format, "t", options=options), root=str(tmp_path))
+    assert dict(got.dtypes)["load"] == "bigint"
+    first, second = ("initial", 2024, 3, 5, 10203000045), ("incremental", 2024, 3, 6, 10203000045)
+    want = [("a", "x|1", *first), ("b", 'q"uote, comma', *first), ("c", None, *first), ("a", "x|1", *second)]
+    assert rows(got, "k", "v", "segment", "year", "month", "day", "load") == sorted(want, key=repr)
+
+
+def test_pipe_separated_text_through_options(spark, tmp_path, rows):
+    (tmp_path / "load=7").mkdir()
+    (tmp_path / "load=7" / "w.psv").write_text("STATION|DATE\nS1|2024-01-01T00:00:00\n")
+    got = read_source(spark, spec("csv", tmp_path, options={"header": "true", "sep": "|"}))
+    assert rows(got) == [("S1", "2024-01-01T00:00:00", 7)]
+
+
+def test_zip_members_are_read_and_hidden_ones_are_not(spark, tmp_path, rows):
+    folder = tmp_path / "load=1"
+    folder.mkdir()
+    with zipfile.ZipFile(folder / "x.ZIP", "w") as archive:
+        archive.writestr("a.csv", "k,v\n1,one\n")
+        archive.writestr("deep/b.csv", "k,v\n2,two\n")
+        archive.writestr("__MACOSX/._a.csv", "junk\n")
+        archive.writestr(".hidden.csv", "junk\n")
+    with zipfile.ZipFile(folder / "y.zip", "w") as archive:
+        archive.writestr("a.csv", "k,v\n3,three\n")
+    (folder / "notes.txt").write_text("not an archive")
+    got = read_source(spark, spec("zip_csv", tmp_path, options={"header": "true", "inferSchema": "true"}))
+    assert rows(got) == [(1, "one", 1), (2, "two", 1), (3, "three", 1)]
+    assert got.dtypes[0] == ("k", "int")
+
+
+def test_zip_source_without_archives(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_source(spark, spec("zip_csv", tmp_path))
+
+
+def test_drifting_files_are_cast_one_by_one_and_united(spark, tmp_path, rows):
+    spark.createDataFrame([(1, 2)], "a int, b int").write.parquet(f"{tmp_path}/load=1")
+    spark.createDataFrame([(1.5, "x")], "a double, c string").write.parquet(f"{tmp_path}/load=2")
+    spark.createDataFrame([("7", "y")], "a string, c string").write.parquet(f"{tmp_path}/load=3")
+    os.rename(
+        next(p for p in (tmp_path / "load=3").iterdir() if p.suffix == ".parquet"), tmp_path / "load=3" / "p.PARQUET"
+    )
+    got = read_source(spark, spec("new_york_taxi", tmp_path, override_column_types={"a": "double", "zz": "int"}))
+    assert dict(got.dtypes) == {"a": "double", "b": "int", "c": "string", "load": "int"}
+    want = [(1.0, 2, None, 1), (1.5, None, "x", 2), (7.0, None, "y", 3)]
+    assert rows(got, "a", "b", "c", "load") == want
+
+
+def test_drift_needs_one_scan_per_layout_not_per_file(spark, tmp_path):
+    for load in range(12):
+        kind = "int" if load % 2 else "double"
+        spark.range(3).selectExpr(f"cast(id AS {kind}) AS a").coalesce(1).write.parquet(f"{tmp_path}/load={load}")
+    got = read_source(spark, spec("new_york_taxi", tmp_path, override_column_types={"a": "double"}))
+    assert got.count() == 36
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+
+
+def test_drift_without_files(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "readme.txt").write_text("x")
+    for source in (tmp_path / "empty", tmp_path / "absent"):
+        with pytest.raises(FileNotFoundError):
+            read_source(spark, spec("new_york_taxi", source))
+
+
+def test_unknown_format(spark, tmp_path):
+    with pytest.raises(ValueError, match="unsupported source format: x"):
+        read_source(spark, spec("x", tmp_path))
+
+
+def test_registry_has_one_id_per_client(spark, rows):
+    registry = spark.createDataFrame([("g1", "a"), ("g2", "b"), ("g1", "c")], "ClientGUID string, RandomUniqueId string")
+    assert rows(one_id_per_client(registry)) == [("g1", "c"), ("g2", "b")]
+
+
+def test_specifications_from_json(spark, tmp_path):
+    one = {
+        "format": "csv",
+        "source": "Files/weather",
+        "options": {"header": "true", "sep": "|"},
+        "projected_columns": None,
+        "business_key": ["STATION", "DATE"],
+        "surrogate_key": "weather_sk",
+        "load_type": "merge",
+        "destination": "dbo.weather",
+    }
+    assert EntitySpec.from_json(json.dumps(one))[0].business_key == ["STATION", "DATE"]
+    (tmp_path / "meta.json").write_text(json.dumps([one, {**one, "destination": "dbo.other"}], indent=2))
+    specs = EntitySpec.from_file(spark, f"{tmp_path}/meta.json")
+    assert [s.destination for s in specs] == ["dbo.weather", "dbo.other"]
+    for broken in ({"business_key": []}, {"surrogate_key": None}, {"format": None}, {"surprise": 1}):
+        raw = {**one, **broken}
+        if raw["format"] is None:
+            del raw["format"]
+        with pytest.raises(ValueError):
+            EntitySpec.from_dict(raw)
