@@ -52,8 +52,8 @@ def upsert(
 
     Both inputs should be scans of written tables, since each is read more than once. When the source,
     or just its keys, was measured to fit a broadcast, the target is not shuffled for that join. When
-    not, the joins are left, semi and anti joins rather than a full outer one, because Spark can split a
-    hot key of the target at run time only in those.
+    not, a left and an anti join take the place of a full outer one, because Spark can split a hot key
+    of the target at run time only in the former.
     """
     check_merge_columns(target, source, keys)
     if not source_is_unique:
@@ -79,13 +79,12 @@ def upsert(
         *[replaced[c].alias(c) if c in replaced else F.col(f"`{c}`") for c in target.columns]
     )
 
-    # Source rows whose key the target lacks. Only the key columns of the target are read for this.
-    source_keys = matchable.select(*names)
-    matched = target.select(*names).join(
-        F.broadcast(source_keys) if keys_fit else source_keys, list(keys), "left_semi"
-    )
-    matched = matched.distinct()
-    inserted = source.join(F.broadcast(matched) if keys_fit else matched, list(keys), "left_anti")
+    # Source rows whose key the target lacks. Only the key columns of the target are read for this, and
+    # a hot key of the target is down to one row per task before it is shuffled.
+    known = target.filter(_all_present(keys)).select(*names)
+    if keys_fit:
+        known = F.broadcast(known.join(F.broadcast(matchable.select(*names)), list(keys), "left_semi").distinct())
+    inserted = source.join(known if keys_fit else known.distinct(), list(keys), "left_anti")
     return kept.unionByName(inserted, allowMissingColumns=True)
 
 

@@ -30,7 +30,7 @@ def _detail(spark: SparkSession, table: str, item: str) -> str:
 
 
 def _version_path(spark: SparkSession, table: str) -> str:
-    database, name = table.rsplit(".", 1)
+    database, name = table.rsplit(".", 1) if "." in table else (spark.catalog.currentDatabase(), table)
     location = spark.catalog.getDatabase(database).locationUri.rstrip("/")
     return f"{location}/{name}/version-{uuid.uuid4().hex}"
 
@@ -68,7 +68,10 @@ def replace_table(df: DataFrame, table: str, format: str = DEFAULT_FORMAT) -> No
 
 
 def drop_old_versions(spark: SparkSession, table: str) -> int:
-    """Remove the folders a replaced or merged table no longer uses; returns how many."""
+    """Remove the folders a replaced or merged table no longer uses; returns how many.
+
+    Run it when no job is reading an older version or writing a new one.
+    """
     current = _detail(spark, table, "Location").rstrip("/")
     parent, name = current.rsplit("/", 1)
     folder = spark._jvm.org.apache.hadoop.fs.Path(parent)

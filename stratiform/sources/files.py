@@ -29,11 +29,12 @@ def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
 
 
 def open_filesystem(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path for a URI as Spark reports it; for use inside tasks."""
+    """File system and path for a full URI; for use inside tasks."""
     scheme, colon, rest = uri.partition(":")
-    if not colon or scheme == "file":
-        path = rest if colon else uri
-        return fs.LocalFileSystem(), "/" + path.lstrip("/")
+    if not colon:
+        raise ValueError(f"not a full URI: {uri}")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
     return fs.FileSystem.from_uri(f"{_ARROW_SCHEMES.get(scheme, scheme)}:{rest}")
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stratiform.sources.files import open_filesystem, write_file
 from stratiform.spec import LOAD_COLUMNS
+from stratiform.workspace import qualified
 
 # Delimited text is landed with all six digits of a second.
 _TEXT_OPTIONS = {
@@ -56,6 +57,7 @@ def land_batch(
 def _write_zips(df: DataFrame, folder: str) -> None:
     """One archive with one CSV member per partition, streamed batch by batch."""
     batch_id = uuid.uuid4().hex
+    folder = qualified(df.sparkSession, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = next(batches, None)

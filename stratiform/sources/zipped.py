@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from stratiform.sources.files import list_files, open_filesystem, write_file
-from stratiform.workspace import new_path, stage
+from stratiform.workspace import new_path, qualified, stage
 
 _COPY_BYTES = 8 * 1024 * 1024
 
@@ -71,6 +71,6 @@ def read_zip_csv(spark: SparkSession, root: str, options: Mapping[str, str] | No
     total = members.count()
     if not total:
         raise FileNotFoundError(f"the archives in {root} are empty")
-    staging = new_path(spark, "unzipped")
+    staging = qualified(spark, new_path(spark, "unzipped"))
     members.repartition(total).mapInArrow(_extract_into(staging), "written string").count()
     return spark.read.options(**(options or {})).csv(staging)

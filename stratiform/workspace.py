@@ -60,6 +60,12 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
             remove_path(spark, path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full URI of a path as Spark understands it, for code that opens it without Spark."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system Spark itself uses for it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,5 +1,7 @@
 import json
 import os
+import subprocess
+import sys
 import zipfile
 from datetime import datetime, timedelta, timezone
 
@@ -128,3 +130,22 @@ def test_specifications_from_json(spark, tmp_path):
             del raw["format"]
         with pytest.raises(ValueError):
             EntitySpec.from_dict(raw)
+
+
+def test_tasks_do_not_need_the_package_installed(tmp_path):
+    """Workers started elsewhere, without the repository on their path, still run our functions."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    program = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from datetime import datetime, timezone
+from stratiform.session import local_session
+from stratiform.sources.landing import land_batch
+from stratiform.sources.zipped import read_zip_csv
+spark = local_session(2)
+land_batch(spark.range(5), "bronze", "initial", datetime.now(timezone.utc), "zip_csv")
+assert read_zip_csv(spark, "bronze", {{"header": "true"}}).count() == 5
+"""
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", program], cwd=tmp_path, env=clean, capture_output=True, timeout=120)
+    assert done.returncode == 0, done.stderr.decode()[-2000:]
