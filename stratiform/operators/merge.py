@@ -26,6 +26,13 @@ def check_merge_columns(target: DataFrame, source: DataFrame, keys: Sequence[str
         raise ValueError(f"the target has no column {', '.join(unknown)}")
 
 
+def as_target_types(source: DataFrame, target: DataFrame) -> DataFrame:
+    """The source with the column types of the target, which keeps the types it was created with."""
+    types = {f.name: f.dataType for f in target.schema.fields}
+    changed = {f.name: types[f.name] for f in source.schema.fields if f.dataType != types[f.name]}
+    return source.withColumns({name: F.col(f"`{name}`").cast(t) for name, t in changed.items()}) if changed else source
+
+
 def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
     """Raise when several source rows would update the same target row."""
     names = [f"`{k}`" for k in keys]
@@ -56,6 +63,7 @@ def upsert(
     of the target at run time only in the former.
     """
     check_merge_columns(target, source, keys)
+    source = as_target_types(source, target)
     if not source_is_unique:
         check_single_match(target, source, keys)
 
@@ -73,7 +81,7 @@ def upsert(
     match = reduce(and_, (F.col(f"`{k}`") == F.col(f"_k{i}") for i, k in enumerate(keys)))
     takes = F.col(_FOUND).isNotNull()
     if newest_by:
-        takes &= _source_is_newer(source, payload, newest_by)
+        takes &= _source_is_newer(payload, newest_by)
     replaced = {c: F.when(takes, F.col(f"_v{i}")).otherwise(F.col(f"`{c}`")) for i, c in enumerate(payload)}
     kept = target.join(F.broadcast(incoming) if rows_fit else incoming, match, "left").select(
         *[replaced[c].alias(c) if c in replaced else F.col(f"`{c}`") for c in target.columns]
@@ -88,8 +96,8 @@ def upsert(
     return kept.unionByName(inserted, allowMissingColumns=True)
 
 
-def _source_is_newer(source: DataFrame, payload: Sequence[str], newest_by: Sequence[str]) -> Column:
+def _source_is_newer(payload: Sequence[str], newest_by: Sequence[str]) -> Column:
     order = [c for c in newest_by if c in payload]
     theirs = [F.col(f"_v{payload.index(c)}").alias(c) for c in order]
-    ours = [F.col(f"`{c}`").cast(source.schema[c].dataType).alias(c) for c in order]
+    ours = [F.col(f"`{c}`") for c in order]
     return F.struct(*theirs) >= F.struct(*ours)

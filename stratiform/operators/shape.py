@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -13,9 +14,20 @@ def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def _cast(name: str, type_name: str, strict: bool) -> Column:
+# Text without a digit that still reads as a number: infinities and NaN.
+_MAYBE_NUMBER = "[0-9]|(?i:inf|nan)"
+
+
+def _cast(df: DataFrame, name: str, type_name: str, strict: bool) -> Column:
     column = F.col(f"`{name}`")
-    return column.cast(type_name) if strict else column.try_cast(type_name)
+    if strict:
+        return column.cast(type_name)
+    lenient = column.try_cast(type_name)
+    is_text = isinstance(df.select(column).schema[0].dataType, T.StringType)
+    if is_text and type_name.strip().lower().startswith(("double", "float", "real", "dec", "numeric")):
+        # Each failed parse costs an exception, so text that cannot be a number is passed over first.
+        return F.when(column.rlike(_MAYBE_NUMBER), lenient)
+    return lenient
 
 
 def override_types(df: DataFrame, types: Mapping[str, str], strict: bool = True) -> DataFrame:
@@ -23,7 +35,7 @@ def override_types(df: DataFrame, types: Mapping[str, str], strict: bool = True)
 
     Strict casts follow the session (text that does not parse raises under ANSI); lenient ones give NULL.
     """
-    return df.withColumns({name: _cast(name, t, strict) for name, t in types.items()}) if types else df
+    return df.withColumns({name: _cast(df, name, t, strict) for name, t in types.items()}) if types else df
 
 
 def override_present_types(df: DataFrame, types: Mapping[str, str], strict: bool = True) -> DataFrame:

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 # The folder levels every bronze load is written under.
 LOAD_COLUMNS = ("segment", "year", "month", "day", "load")
 
@@ -42,10 +45,10 @@ class EntitySpec:
         missing = [k for k in ("format", "source", "load_type", "destination") if k not in raw]
         if missing:
             raise ValueError(f"entity specification lacks {', '.join(missing)}")
-        unknown = set(raw) - set(cls.__dataclass_fields__)
-        if unknown:
-            raise ValueError(f"entity specification has unknown keys {', '.join(sorted(unknown))}")
-        return cls(**{k: v for k, v in raw.items() if v is not None})
+        other = sorted(set(raw) - set(cls.__dataclass_fields__))
+        if other:
+            log.warning("entity %s: keys without meaning here: %s", raw["destination"], ", ".join(other))
+        return cls(**{k: v for k, v in raw.items() if v is not None and k not in other})
 
     @classmethod
     def from_json(cls, text: str) -> list[EntitySpec]:

@@ -47,6 +47,14 @@ def test_target_only_columns_stay_or_become_null(spark, rows):
     assert rows(upsert(target, source, ["k"], "sk")) == [(1, "a", 11, "x"), (3, "b", 12, None)]
 
 
+def test_the_target_keeps_its_column_types(spark, database, rows):
+    name = f"{database}.t"
+    append_table(spark.createDataFrame([(1, "a", 10), (2, "7", 20)], SCHEMA), name)
+    merge_table(spark.createDataFrame([(3, 7, "21")], "sk int, k int, v string"), name, ["k"], "sk")
+    assert spark.table(name).dtypes == [("sk", "bigint"), ("k", "string"), ("v", "int")]
+    assert rows(spark.table(name)) == [(1, "a", 10), (2, "7", 21)]
+
+
 def test_older_source_rows_do_not_overwrite_when_recency_counts(spark, rows):
     schema = "sk bigint, k string, day int, v int"
     target = spark.createDataFrame([(1, "a", 5, 10), (2, "b", 5, 20), (3, "c", 5, 30)], schema)

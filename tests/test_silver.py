@@ -133,6 +133,15 @@ def test_strict_cast_raises_and_lenient_cast_gives_null(spark):
     assert [r.v for r in override_types(df, {"v": "double"}, strict=False).collect()] == [1.5, None]
 
 
+def test_lenient_casts_of_text_equal_plain_ones(spark):
+    texts = ["1", " 1.5 ", "-2e3", "1d", "Infinity", "-inf", "NaN", "nan", "+INF", "abc", "", " ", "-", "one 1", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    for type_name in ("double", "float", "decimal(10,2)", "int", "date", "boolean"):
+        got = override_types(df, {"v": type_name}, strict=False)
+        want = df.select(F.col("v").try_cast(type_name).alias("v"))
+        assert repr(got.collect()) == repr(want.collect()), type_name
+
+
 def test_absent_column_is_an_error_unless_only_present_ones_are_asked_for(spark):
     df = spark.range(1)
     with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):

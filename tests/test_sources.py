@@ -124,7 +124,8 @@ def test_specifications_from_json(spark, tmp_path):
     (tmp_path / "meta.json").write_text(json.dumps([one, {**one, "destination": "dbo.other"}], indent=2))
     specs = EntitySpec.from_file(spark, f"{tmp_path}/meta.json")
     assert [s.destination for s in specs] == ["dbo.weather", "dbo.other"]
-    for broken in ({"business_key": []}, {"surrogate_key": None}, {"format": None}, {"surprise": 1}):
+    assert EntitySpec.from_dict({**one, "owner": "someone"}) == EntitySpec.from_dict(one)
+    for broken in ({"business_key": []}, {"surrogate_key": None}, {"format": None}):
         raw = {**one, **broken}
         if raw["format"] is None:
             del raw["format"]
