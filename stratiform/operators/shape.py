@@ -16,6 +16,8 @@ def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # Text without a digit that still reads as a number: infinities and NaN.
 _MAYBE_NUMBER = "[0-9]|(?i:inf|nan)"
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+_INTEGER_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 
 
 def _cast(df: DataFrame, name: str, type_name: str, strict: bool) -> Column:
@@ -23,10 +25,13 @@ def _cast(df: DataFrame, name: str, type_name: str, strict: bool) -> Column:
     if strict:
         return column.cast(type_name)
     lenient = column.try_cast(type_name)
-    is_text = isinstance(df.select(column).schema[0].dataType, T.StringType)
-    if is_text and type_name.strip().lower().startswith(("double", "float", "real", "dec", "numeric")):
-        # Each failed parse costs an exception, so text that cannot be a number is passed over first.
+    given, wanted = (f.dataType for f in df.select(column, lenient.alias("wanted")).schema.fields)
+    # Each value that fails to cast costs an exception, so those that plainly cannot are passed over first.
+    if isinstance(given, T.StringType) and isinstance(wanted, _FRACTIONAL):
         return F.when(column.rlike(_MAYBE_NUMBER), lenient)
+    if _INTEGER_BITS.get(type(wanted), 64) < _INTEGER_BITS.get(type(given), 0):
+        largest = 1 << (_INTEGER_BITS[type(wanted)] - 1)
+        return F.when(column.between(-largest, largest - 1), lenient)
     return lenient
 
 

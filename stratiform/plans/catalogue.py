@@ -121,8 +121,8 @@ def bronze_land_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry_by_client(spark: SparkSession, sf_dir: str) -> DataFrame:
-    registry = feeds.table(spark, sf_dir, "orders").selectExpr("o_custkey AS ClientGUID", "o_orderkey AS RandomUniqueId")
-    return one_id_per_client(registry)
+    orders = feeds.table(spark, sf_dir, "orders")
+    return one_id_per_client(orders.selectExpr("o_custkey AS ClientGUID", "o_orderkey AS RandomUniqueId"))
 
 
 # Silver operators
@@ -179,7 +179,6 @@ def _target_and_source(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     rows = feeds.deliveries(spark, sf_dir)
     target = number_rows(keep_newest(rows.filter("year <= 1999"), DELIVERY_KEY), "delivery_sk", order_by=DELIVERY_KEY)
     batch = keep_newest(rows.filter("year >= 1998"), DELIVERY_KEY)
-    target = stage(target)
     source = number_rows(batch, "delivery_sk", max_key(target, "delivery_sk"), order_by=DELIVERY_KEY)
     return target, source
 

@@ -65,10 +65,13 @@ def _write_zips(df: DataFrame, folder: str) -> None:
             return
         filesystem, path = open_filesystem(folder)
         name = f"part-{TaskContext.get().partitionId():05d}-{batch_id}"
-        with write_file(filesystem, path, f"{name}.zip") as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive:
-            with archive.open(f"{name}.csv", "w", force_zip64=True) as member:
-                for batch in chain([first], batches):
-                    pa_csv.write_csv(batch, member, pa_csv.WriteOptions(include_header=batch is first))
-                    yield pa.RecordBatch.from_pydict({"rows": pa.array([batch.num_rows], pa.int64())})
+        with (
+            write_file(filesystem, path, f"{name}.zip") as raw,
+            zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive,
+            archive.open(f"{name}.csv", "w", force_zip64=True) as member,
+        ):
+            for batch in chain([first], batches):
+                pa_csv.write_csv(batch, member, pa_csv.WriteOptions(include_header=batch is first))
+                yield pa.RecordBatch.from_pydict({"rows": pa.array([batch.num_rows], pa.int64())})
 
     df.mapInArrow(write, "rows bigint").agg(F.sum("rows")).collect()

@@ -142,6 +142,14 @@ def test_lenient_casts_of_text_equal_plain_ones(spark):
         assert repr(got.collect()) == repr(want.collect()), type_name
 
 
+def test_lenient_casts_of_integers_equal_plain_ones(spark):
+    edges = [e + d for bits in (7, 15, 31) for e in (1 << bits, -(1 << bits)) for d in (-1, 0, 1)] + [0, None, 2**63 - 1]
+    df = spark.createDataFrame([(e,) for e in edges], "v bigint")
+    for type_name in ("tinyint", "smallint", "int", "bigint", "double", "string"):
+        got = override_types(df, {"v": type_name}, strict=False)
+        assert got.collect() == df.select(F.col("v").try_cast(type_name).alias("v")).collect(), type_name
+
+
 def test_absent_column_is_an_error_unless_only_present_ones_are_asked_for(spark):
     df = spark.range(1)
     with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
