@@ -112,7 +112,7 @@ def test_registry_has_one_id_per_client(spark, rows):
 def test_specifications_from_json(spark, tmp_path):
     one = {
         "format": "csv",
-        "source": "Files/weather",
+        "source": "weather",
         "options": {"header": "true", "sep": "|"},
         "projected_columns": None,
         "business_key": ["STATION", "DATE"],
