@@ -1,8 +1,8 @@
 """Benchmark decontamination: an FM-index of each shard of documents, searched for test passages.
 
 Tasks cut their documents into shards of about `SHARD_WORDS` words. A shard becomes a sequence of word
-numbers (words that no passage holds are one separator, runs of it shortened), is suffix-sorted, and its
-Burrows-Wheeler transform is kept as a wavelet matrix. Passages are found by backward search through
+numbers, cut to the runs of words that some passage holds (shorter runs than the shortest window cannot
+match), is suffix-sorted, and its Burrows-Wheeler transform is kept as a wavelet matrix. Passages are found by backward search through
 wavelet ranks, their occurrences located by walking to the next sampled suffix position, and the spans of
 a document merged. Nothing is shuffled.
 
@@ -192,14 +192,17 @@ def search_shard(words: list[list[bytes]], wanted: Passages) -> tuple[list[list[
     get = wanted.vocabulary.get
     # Each document is followed by one separator.
     begins = np.concatenate([[0], np.cumsum(sizes + 1)])
-    flat = np.ones(int(begins[-1]), np.int64)
+    flat = np.ones(int(begins[-1]), np.int32)
     for begin, doc in zip(begins.tolist(), words, strict=False):
-        flat[begin : begin + len(doc)] = np.fromiter(map(get, doc, repeat(1)), np.int64, len(doc))
-    keep = np.concatenate([[flat[0] > 1], (flat[1:] > 1) | (flat[:-1] > 1)])
-    where = np.flatnonzero(keep)
-    if not len(where):
+        flat[begin : begin + len(doc)] = np.fromiter(map(get, doc, repeat(1)), np.int32, len(doc))
+    # Only runs of known words that are as long as the shortest window can hold one.
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], (flat > 1).view(np.int8), [0]]))).reshape(-1, 2)
+    edges = edges[edges[:, 1] - edges[:, 0] >= wanted.lengths.min()]
+    if not len(edges):
         return spans, items
-    index = FMIndex(np.concatenate([flat[where], [0]]))
+    taken = edges[:, 1] - edges[:, 0] + 1  # with the separator behind each run; the last word has one, too
+    where = np.repeat(edges[:, 0] - np.concatenate([[0], np.cumsum(taken)[:-1]]), taken) + np.arange(int(taken.sum()))
+    index = FMIndex(np.concatenate([flat[where], [0]]).astype(np.int64))
     found, low, high = index.search(wanted.windows)
     if not len(found):
         return spans, items
@@ -208,13 +211,10 @@ def search_shard(words: list[list[bytes]], wanted: Passages) -> tuple[list[list[
     which = np.repeat(found, counts)
     starts = where[index.locate(rows)]
     doc_of = np.searchsorted(begins, starts, "right") - 1
-    change = np.zeros(len(flat) + 1, np.int64)
-    np.add.at(change, starts, 1)
-    np.add.at(change, starts + wanted.lengths[which], -1)
-    hit = np.cumsum(change[:-1]) > 0
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
-    for a, b in edges.reshape(-1, 2).tolist():
-        d = int(np.searchsorted(begins, a, "right")) - 1
+    by = np.argsort(starts, kind="stable")
+    begin, end = starts[by], np.maximum.accumulate((starts + wanted.lengths[which])[by])
+    first = np.concatenate([[True], begin[1:] > end[:-1]])  # spans that touch are one; a separator parts documents
+    for d, a, b in zip(doc_of[by][first].tolist(), begin[first].tolist(), end[np.append(first[1:], True)].tolist(), strict=True):
         spans[d].append((a - int(begins[d]), b - int(begins[d])))
     for d, w in np.unique(np.stack([doc_of, which], 1), axis=0).tolist():
         items[d].update(wanted.names[i] for i in wanted.items[wanted.first_item[w] : wanted.first_item[w + 1]].tolist())
