@@ -130,23 +130,23 @@ def shard_quotas(sources: DataFrame, n_shards: int, seed: int) -> DataFrame:
         share = share.withColumn("quota", F.expr("total * half div width"))
         drawn = F.aggregate(
             F.sequence(F.lit(0), F.size("counts") - 1),
-            F.struct(F.array().cast("array<bigint>").alias("out"), F.col("quota").alias("quota"), F.col("total").alias("total")),
+            F.struct(F.array().cast("array<bigint>").alias("out"), F.col("total").alias("total")),
             lambda s, i: F.struct(
                 F.concat(
                     s["out"],
                     F.array(
                         hypergeometric(
-                            F.get("counts", i), s["quota"], s["total"], uniform(F.lit(seed), F.col("shard"), F.col("width"), i)
+                            F.get("counts", i),
+                            F.col("quota") - F.aggregate(s["out"], F.lit(0).cast("long"), lambda a, x: a + x),
+                            s["total"],
+                            uniform(F.lit(seed), F.col("shard"), F.col("width"), i),
                         )
                     ),
                 ).alias("out"),
-                s["quota"].alias("quota"),
                 (s["total"] - F.get("counts", i)).alias("total"),
             ),
             lambda s: s["out"],
         )
-        # The quota left shrinks by what was drawn so far; `running_quota` builds that into the state.
-        drawn = running_quota(seed)
         split = share.withColumn("left", F.when(F.col("width") > 1, drawn).otherwise(F.col("counts")))
         right = F.zip_with("counts", "left", lambda a, b: a - b)
         halves = F.array(
@@ -162,3 +162,131 @@ def shard_quotas(sources: DataFrame, n_shards: int, seed: int) -> DataFrame:
         .groupBy("idx")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "upto"))), lambda x: x["upto"]).alias("upto"))
     )
+
+
+def mix_sources(
+    docs: DataFrame,
+    text: str = "text",
+    source: str = "source",
+    n_shards: int = N_SHARDS,
+    seed: int = SEED,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """The columns `keep` (default: all) with size, source_size, target, taken and mix.
+
+    `size` is the number of words. `mix` lists what the mix takes of the document, one entry for each pass
+    over its source: pass, words (the first so many; all but at most one document per source and pass are
+    whole), shard, and place, a hash that orders the shard. `taken` is the sum of the words. Null is a source
+    of its own, an empty string another. Documents without words and sources without words take nothing.
+    Identical rows share evenly what their place in the stream gets, rounded down. An empty table gives an
+    empty result. Derived columns replace input columns of the same name. `docs` should be a scan: it is read
+    several times.
+    """
+    keep = docs.columns if keep is None else keep
+    rows = docs.select(
+        F.struct(*(field(docs, c) for c in keep)).alias("row"),
+        field(docs, source).cast("string").alias("source"),
+        F.coalesce(F.regexp_count(field(docs, text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64(*(field(docs, c) for c in docs.columns)).alias("mark"),
+    )
+    if text not in keep:
+        rows = stage(rows, "mix_rows")
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
+    sources = stage(with_blocks(targets(sizes)), "mix_sources")
+    plan = stage(sources.join(shard_quotas(sources, n_shards, seed), "idx", "left"), "mix_plan")
+
+    groups = (
+        rows.select("source", "size", "mark")
+        .where("size > 0")
+        .groupBy("source", "size", "mark")
+        .agg(F.count("*").alias("copies"))
+        .withColumn("span", F.col("copies") * F.col("size"))
+    )
+    known = plan.select(F.col("source").alias("k_source"), F.col("rows").alias("source_rows"))
+    order = F.xxhash64(F.lit(seed), F.col("mark"), F.lit("order"))
+    spread = groups.join(known, F.col("source").eqNullSafe(F.col("k_source"))).drop("k_source")
+    spread = spread.withColumn("order", order).withColumn(
+        "bucket", F.floor(uniform(F.col("order")) * F.ceil(F.col("source_rows") / BUCKET_ROWS)).cast("long")
+    )
+    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (
+        spread.groupBy("source", "bucket")
+        .agg(F.sum("span").alias("bucket_span"))
+        .select(
+            F.col("source").alias("b_source"),
+            F.col("bucket").alias("b_bucket"),
+            F.coalesce(F.sum("bucket_span").over(before), F.lit(0)).alias("bucket_start"),
+        )
+    )
+    inside = Window.partitionBy("source", "bucket").orderBy("order", "mark", "size").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (
+        spread.withColumn("until", F.sum("span").over(inside))
+        .join(buckets, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
+        .select(F.col("mark").alias("p_mark"), F.col("size").alias("p_size"), "copies", (F.col("bucket_start") + F.col("until") - F.col("span")).alias("start"))
+    )
+    found = rows.join(placed, (F.col("mark") == F.col("p_mark")) & (F.col("size") == F.col("p_size")), "left")
+    plan = plan.select(F.col("source").alias("plan_source"), "source_size", "target", "block", "blocks", "passes", "rest", "upto")
+    # One row per source: what is broadcast, if anything, is decided by its measured size.
+    found = found.join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
+
+    # Identical rows stand side by side; a hash spreads them over the blocks of their common place.
+    own = F.col("start") + F.floor(uniform(F.col("mark"), F.monotonically_increasing_id()) * F.col("copies")) * F.col("size")
+    last = F.greatest(F.lit(0), F.least(F.col("copies") * F.col("size"), F.col("rest") * F.col("block") - F.col("start")))
+    placed_rows = found.withColumn("at", F.floor(own / F.col("block")).cast("long")).withColumn(
+        "last", F.floor(last / F.col("copies")).cast("long")
+    )
+    passes = F.when(F.col("start").isNull(), F.array().cast("array<bigint>")).otherwise(F.sequence(F.lit(0).cast("long"), F.col("passes")))
+    draw = lambda p: p * F.col("blocks") + F.least("at", F.when(p < F.col("passes"), F.col("blocks")).otherwise(F.col("rest")) - 1)
+    mix = F.filter(
+        F.transform(
+            passes,
+            lambda p: F.struct(
+                p.alias("pass"),
+                F.when(p < F.col("passes"), F.col("size")).otherwise(F.col("last")).alias("words"),
+                F.size(F.filter("upto", lambda c: c <= draw(p))).alias("shard"),
+                F.xxhash64(F.lit(seed), F.col("mark"), p, F.lit("place")).alias("place"),
+            ),
+        ),
+        lambda m: m["words"] > 0,
+    )
+    kept = [c for c in keep if c not in DERIVED]
+    return (
+        placed_rows.withColumn("mix", mix)
+        .withColumn("taken", F.aggregate("mix", F.lit(0).cast("long"), lambda a, m: a + m["words"]))
+        .select(*(F.col("row").getField(c).alias(c) for c in kept), *DERIVED)
+    )
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The first `n` words of a text with the white space between and behind them."""
+    pieces = F.split(text, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    lead = F.when(text.rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
+    return F.array_join(F.slice(pieces, 1, (n + lead).cast("int")), "")
+
+
+def mixed_copies(mixed: DataFrame, text: str = "text") -> DataFrame:
+    """One row per taken copy with pass, words, shard and place; a copy that is not whole has its text cut."""
+    copies = mixed.select("*", F.explode("mix").alias("copy")).drop("mix")
+    body = F.when(F.col("copy")["words"] < F.col("size"), first_words(F.col(text), F.col("copy")["words"])).otherwise(F.col(text))
+    return copies.withColumn(text, body).select("*", "copy.*").drop("copy")
+
+
+def write_mix(mixed: DataFrame, path: str, text: str = "text") -> None:
+    """One folder per output shard, its copies in hashed order."""
+    copies = mixed_copies(mixed, text)
+    copies.repartition("shard").sortWithinPartitions("shard", "place").write.partitionBy("shard").parquet(path)
+
+
+def op7_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    docs = table(spark, sf_dir, "documents")
+    mixed = mix_sources(docs, keep=["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The copies that the mix takes, with the columns of the documents; n_chars follows a cut text."""
+    copies = mixed_copies(mix_sources(docs))
+    return copies.withColumn("n_chars", F.when(F.col("words") < F.col("size"), F.length("text")).otherwise(F.col("n_chars"))).select(
+        *docs.columns
+    )
