@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from stratiform.llm import decontaminate, mixing, neardup, pii, quality, rules, sharding
+from stratiform.llm import decontaminate, licenses, mixing, neardup, pii, quality, rules, sharding
 
-MODULES = (decontaminate, mixing, neardup, pii, quality, rules, sharding)
+MODULES = (decontaminate, licenses, mixing, neardup, pii, quality, rules, sharding)
 
 QUERIES = {name: value for module in MODULES for name, value in vars(module).items() if name.startswith("op") and "_" in name and callable(value)}
 ORACLE_SQL = {name: sql for module in MODULES for name, sql in getattr(module, "ORACLE_SQL", {}).items()}
