@@ -1,11 +1,12 @@
 """N-gram Jaccard join by prefix trees: which documents share 80 % of their word shingles, and the groups.
 
-1. Documents with equal shingle sets become one node, keyed by a 64-bit hash of the set; one text of each is
-   written once, bucketed by that key, and every later join with texts reuses the buckets.
+1. Documents with equal texts become one node, keyed by a 64-bit hash; one text of each is written once,
+   bucketed by that key, and every later join with texts reuses the buckets.
 2. Shingles get a global order, rare ones first. The frequency of a shingle is that of its slot in a counter
    table of bounded size; any order gives right results, a good one gives few candidates.
-3. Nodes that share a band of minimum hashes with a smaller node are verified against it. Those that link
-   form its cluster, so a huge group of near copies is one entry from here on, not a clique.
+3. Nodes that share a band of minimum hashes are verified against the smallest of them. These links already
+   connect most near copies; nodes that link with a centre form its cluster, so a huge group of near copies
+   is one entry from here on, not a clique, and nothing that is connected is compared again.
 4. The first fifth of each ordered set, enough to meet every partner's, is dealt out by shingle. Clusters
    that share a prefix shingle and can reach the overlap by length and position become candidates.
 5. Candidates are verified exactly: the ordered sets compared with a probe stand in a trie, which is walked
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.llm import shingles as sh
-from stratiform.llm.common import field, map_texts, table, text_bytes, text_slices
+from stratiform.llm.common import field, table, text_bytes, text_slices
 from stratiform.llm.components import components
 from stratiform.workspace import new_path, remove_path, stage
 
@@ -43,49 +44,46 @@ SLICE = 1 << 12
 POSTINGS_PER_PART = 1_000_000
 CHUNK = 512
 
-SIGNATURE = T.StructType(
-    [
-        T.StructField("n", T.LongType()),
-        T.StructField("no", T.LongType()),
-        *(T.StructField(f"b{i}", T.LongType()) for i in range(sh.BANDS)),
-    ]
-)
 BANDS = [f"b{i}" for i in range(sh.BANDS)]
 
 
-def signatures(rows: DataFrame) -> DataFrame:
-    """`rows` with the size of the shingle set, its key and its bands."""
-    hashes = sh.WordHashes()
-
-    def run(texts: pa.Array) -> dict[str, object]:
-        sets = sh.shingle_sets(text_bytes(texts), hashes)
-        bands = sh.band_keys(sets)
-        return {
-            "n": np.array([len(s) for s in sets], np.int64),
-            "no": np.array([int.from_bytes(sh.set_key(s)[:8], "little", signed=True) for s in sets], np.int64),
-            **{name: bands[:, i] for i, name in enumerate(BANDS)},
-        }
-
-    return map_texts(rows, "text", SIGNATURE, run)
+def sign_and_count(texts: DataFrame, slots: int) -> DataFrame:
+    """Rows of two kinds from one pass over `texts` (no, id, text).
 
+    Nodes: no, id, the size n of the shingle set, and its bands. Counts: a slice of the counter table, and how
+    often each of its slots occurs in the task's sets.
+    """
+    width = min(SLICE, slots)
+    schema = T.StructType(
+        [texts.schema["no"], texts.schema["id"], *(T.StructField(c, T.LongType()) for c in ("n", *BANDS))]
+        + [T.StructField("slice", T.IntegerType()), T.StructField("counts", T.BinaryType())]
+    )
 
-def frequency_classes(texts: DataFrame, slots: int) -> np.ndarray:
-    """A class from 0 to 255 for each counter slot: four times the binary logarithm of its count."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = sh.WordHashes()
         counts = np.zeros(slots, np.int64)
+        kind = pa.null()
         for piece in text_slices(batches, "text"):
-            for s in sh.shingle_sets(text_bytes(piece.column("text")), hashes):
-                np.add.at(counts, sh.slot_of(s, slots), 1)
-        yield from slices(counts)
-
-    def slices(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        width = min(SLICE, slots)
+            kind = piece.column("id").type
+            sets = sh.shingle_sets(text_bytes(piece.column("text")), hashes)
+            counts += np.bincount(sh.slot_of(np.concatenate(sets), slots), minlength=slots)
+            n = np.array([len(s) for s in sets], np.int64)
+            yield whole(piece.column("no"), piece.column("id"), n, *sh.band_keys(sets).T)
         parts = counts.reshape(-1, width)
-        used = np.flatnonzero(parts.any(1))
-        for i in used.tolist():
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([parts[i].tobytes()], pa.binary())], ["slice", "counts"])
+        for i in np.flatnonzero(parts.any(1)).tolist():
+            yield whole(pa.nulls(1, pa.int64()), pa.nulls(1, kind), slice_=i, counts=parts[i].tobytes())
+
+    def whole(no: pa.Array, id_: pa.Array, *numbers: np.ndarray, slice_: int | None = None, counts: bytes | None = None) -> pa.RecordBatch:
+        size = len(no)
+        longs = [pa.array(x, pa.int64()) for x in numbers] or [pa.nulls(size, pa.int64())] * (1 + sh.BANDS)
+        extra = [pa.array([slice_] * size, pa.int32()), pa.array([counts] * size, pa.binary())]
+        return pa.RecordBatch.from_arrays([no, id_, *longs, *extra], ["no", "id", "n", *BANDS, "slice", "counts"])
+
+    return texts.select("no", "id", "text").mapInArrow(run, schema)
+
+
+def frequency_classes(counted: DataFrame, slots: int) -> np.ndarray:
+    """A class from 0 to 255 for each counter slot: four times the binary logarithm of its count."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -96,11 +94,9 @@ def frequency_classes(texts: DataFrame, slots: int) -> np.ndarray:
         for i, own in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["slice", "counts"])
 
-    schema = "slice int, counts binary"
-    counted = texts.select("text").mapInArrow(count, schema).repartition("slice").mapInArrow(add, schema)
     classes = np.zeros(slots, np.uint8)
     width = min(SLICE, slots)
-    for r in counted.toLocalIterator():
+    for r in counted.select("slice", "counts").repartition("slice").mapInArrow(add, "slice int, counts binary").toLocalIterator():
         own = np.frombuffer(r["counts"], np.int64)
         classes[r["slice"] * width : (r["slice"] + 1) * width] = np.minimum(255, np.round(4 * np.log2(np.maximum(own, 1))))
     return classes
@@ -153,19 +149,23 @@ def similarity_pairs(pairs: DataFrame, texts: DataFrame, classes: object) -> Dat
     )
 
 
-def clusters(nodes: DataFrame, texts: DataFrame, classes: object) -> DataFrame:
-    """no, cluster and distance of nodes that link with a smaller node of a common band: stars, never chains."""
+def band_links(nodes: DataFrame, texts: DataFrame, classes: object) -> DataFrame:
+    """Verified links (a, b, distance) of nodes b with the smallest node a of each of their bands."""
     banded = nodes.select("no", F.posexplode(F.array(*BANDS)).alias("band", "key"))
     hubs = banded.groupBy("band", "key").agg(F.min("no").alias("hub"), F.count("*").alias("size")).where("size > 1").drop("size")
-    near = stage(banded.join(hubs, ["band", "key"]).select("no", "hub").distinct(), "near")
-    first = near.groupBy("no").agg(F.min("hub").alias("hub"))
-    roots = first.where("no = hub").select("hub")
-    pairs = near.where("no <> hub").join(roots, "hub", "left_semi").groupBy("no").agg(F.min("hub").alias("hub"))
-    checked = similarity_pairs(pairs.select(F.col("hub").alias("a"), F.col("no").alias("b"), F.lit(SIMILAR).alias("least")), texts, classes)
-    return stage(checked.where("linked").select(F.col("b").alias("no"), F.col("a").alias("cluster"), "distance"), "members")
+    pairs = banded.join(hubs, ["band", "key"]).where("no <> hub").select(F.col("hub").alias("a"), F.col("no").alias("b")).distinct()
+    checked = similarity_pairs(pairs.withColumn("least", F.lit(SIMILAR)), texts, classes)
+    return stage(checked.where("linked").select("a", "b", "distance"), "band_links")
+
 
+def star_clusters(links: DataFrame) -> DataFrame:
+    """no, cluster and distance of nodes linked with a centre; a centre is no member of another cluster."""
+    centres = links.select("a").distinct().join(links.select("b").distinct(), F.col("a") == F.col("b"), "left_anti")
+    own = links.join(centres, "a", "left_semi").groupBy("b").agg(F.min(F.struct("a", "distance")).alias("m"))
+    return stage(own.select(F.col("b").alias("no"), F.col("m.a").alias("cluster"), F.col("m.distance").alias("distance")), "members")
 
-ENTRY = np.dtype([("token", "<u4"), ("cluster", "<i8"), ("least", "<i4"), ("most", "<i4"), ("rest", "<i4")])
+
+ENTRY = np.dtype([("token", "<u4"), ("cluster", "<i8"), ("group", "<i8"), ("least", "<i4"), ("most", "<i4"), ("rest", "<i4")])
 
 
 def combined(entries: np.ndarray) -> np.ndarray:
@@ -180,9 +180,13 @@ def combined(entries: np.ndarray) -> np.ndarray:
     return out
 
 
-def candidates(texts: DataFrame, members: DataFrame, classes: object, parts: int) -> DataFrame:
-    """Pairs of clusters (a < b) of which two members can share a first common shingle and link."""
-    owned = texts.join(members.select("no", "cluster"), "no", "left").select(F.coalesce("cluster", "no").alias("cluster"), "text")
+def candidates(texts: DataFrame, members: DataFrame, groups: DataFrame, classes: object, parts: int) -> DataFrame:
+    """Pairs of clusters (a < b), not connected yet, of which two members can share a first common shingle and link."""
+    owned = (
+        texts.join(members.select("no", "cluster"), "no", "left")
+        .join(groups.select(F.col("node").alias("no"), "component"), "no", "left")
+        .select(F.coalesce("cluster", "no").alias("cluster"), F.coalesce("component", "no").alias("group"), "text")
+    )
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = sh.WordHashes()
@@ -201,14 +205,14 @@ def candidates(texts: DataFrame, members: DataFrame, classes: object, parts: int
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], ["part", "entries"])
 
         for piece in text_slices(batches, "text"):
-            owners = piece.column("cluster").to_pylist()
-            for owner, s in zip(owners, sh.shingle_sets(text_bytes(piece.column("text")), hashes), strict=True):
+            owners = zip(piece.column("cluster").to_pylist(), piece.column("group").to_pylist(), strict=True)
+            for (owner, group), s in zip(owners, sh.shingle_sets(text_bytes(piece.column("text")), hashes), strict=True):
                 n = len(s)
                 first = sh.in_order(s, order)[: sh.prefix_length(n)]
                 mixed = sh.mixed(first)
                 own = np.empty(len(first), ENTRY)
                 own["token"] = (mixed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                own["cluster"], own["least"], own["most"] = owner, n, n
+                own["cluster"], own["group"], own["least"], own["most"] = owner, group, n, n
                 own["rest"] = n - 1 - np.arange(len(first))
                 waiting.append(own)
                 part_of.append(((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int32))
@@ -236,14 +240,14 @@ def meetings(entries: np.ndarray, block: int = 1 << 20) -> Iterator[tuple[np.nda
 
     Entries of a token stand by least size, so only a stretch of entries can be large enough but not too large.
     """
-    entries = entries[np.lexsort((entries["least"], entries["token"]))]
+    entries = apart_only(entries[np.lexsort((entries["least"], entries["token"]))])
     token = entries["token"]
     begins = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.array([], int)
     ends = np.append(begins[1:], len(token))
     many = ends - begins > 1
     starts = np.concatenate([np.arange(i, j - 1) for i, j in zip(begins[many], ends[many], strict=True)]) if many.any() else np.array([], int)
     stops = np.repeat(ends[many], (ends - begins)[many] - 1)
-    least, most, rest, cluster = (entries[c].astype(np.int64) for c in ("least", "most", "rest", "cluster"))
+    least, most, rest, cluster, group = (entries[c].astype(np.int64) for c in ("least", "most", "rest", "cluster", "group"))
     done = 0
     while done < len(starts):
         total = np.cumsum(stops[done:] - starts[done:] - 1)
@@ -253,26 +257,34 @@ def meetings(entries: np.ndarray, block: int = 1 << 20) -> Iterator[tuple[np.nda
         left = np.repeat(i, counts)
         right = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts) + left + 1
         # The right entry's sets are at least as large as the left one's smallest.
-        fits = 5 * most[left] >= 4 * least[right]
+        fits = (group[left] != group[right]) & (5 * most[left] >= 4 * least[right])
         left, right = left[fits], right[fits]
         reach = 1 + np.minimum(rest[left], rest[right])
         able = 9 * reach >= 4 * (least[left] + least[right])
         a, b = cluster[left[able]], cluster[right[able]]
         if len(a):
             both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-            both = both[both[:, 0] != both[:, 1]]
             yield both[:, 0], both[:, 1]
         done += take
 
 
-def linked_clusters(pairs: DataFrame, members: DataFrame, texts: DataFrame, classes: object) -> DataFrame:
-    """Which candidate clusters have a link between them, as edges (a, b)."""
+def apart_only(entries: np.ndarray) -> np.ndarray:
+    """The entries of tokens that more than one group has; `entries` stand by token."""
+    if not len(entries):
+        return entries
+    begins = np.flatnonzero(np.concatenate([[True], entries["token"][1:] != entries["token"][:-1]]))
+    several = np.minimum.reduceat(entries["group"], begins) != np.maximum.reduceat(entries["group"], begins)
+    return entries[np.repeat(several, np.diff(np.append(begins, len(entries))))]
+
+
+def linked_clusters(pairs: DataFrame, members: DataFrame, known: DataFrame, texts: DataFrame, classes: object) -> DataFrame:
+    """The edges `known` (a, b) and those between candidate clusters that have a link."""
     radius = members.groupBy(F.col("cluster").alias("c")).agg(F.max("distance").alias("r"))
     of = lambda side: radius.select(F.col("c").alias(side), F.col("r").alias(f"r{side}"))
     wide = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").na.fill(0.0, ["ra", "rb"])
     wide = stage(wide.withColumn("least", F.greatest(F.lit(0.0), SIMILAR - F.col("ra") - F.col("rb") - 1e-9)), "candidates")
     checked = stage(similarity_pairs(wide.select("a", "b", "least"), texts, classes), "centres")
-    edges = checked.where("linked").select("a", "b")
+    edges = known.union(checked.where("linked").select("a", "b"))
 
     # Centres that are close but not linked, unless their clusters are connected already.
     unclear = checked.where("not linked").join(wide.select("a", "b", "ra", "rb"), ["a", "b"])
@@ -312,14 +324,14 @@ def apart(pairs: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` (default: all) with n_shingles, component_id and set_id.
+    """The columns `keep` (default: all) with n_shingles, component_id and text_id.
 
     Words are what ASCII white space parts, A-Z lower-cased; a document's set has its distinct 5-word
     shingles, or all words as one if there are fewer. Documents link if 100 * intersection >= 80 * union;
     component_id is the smallest doc_id reachable. Null and empty texts have no shingles and link with
     nothing, not even with each other: their component_id is their own id. A null id is never the smallest;
-    a component of null ids only has a null component_id. Repeated rows are in one component. set_id tells
-    equal sets (equal shingles, not only equal texts). Derived columns replace input columns of those names.
+    a component of null ids only has a null component_id. Repeated rows are in one component. text_id tells
+    equal texts and is null without shingles. Derived columns replace input columns of those names.
     `docs` should be a scan: it is read twice.
     """
     spark: SparkSession = docs.sparkSession
@@ -329,18 +341,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         field(docs, doc_id).alias("id"),
         field(docs, text).cast("string").alias("text"),
     )
-    signed = signatures(base)
-    rows = signed.select("row", "id", "n", "no")
+    rows = base.withColumn("no", F.xxhash64("text")).select("row", "id", "no", F.col("text").isNotNull().alias("known"))
     if text not in keep:
         rows = stage(rows, "shingle_rows")
 
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET_BYTES)))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MOST_BUCKETS, max(width, math.ceil(total / BUCKET_BYTES)))
     one = Window.partitionBy("no").orderBy(F.col("id").asc_nulls_last())
     name, path = f"shingle_texts_{uuid.uuid4().hex}", new_path(spark, "shingle_texts")
     (
-        signed.where("n > 0")
-        .select("no", "n", "id", *BANDS, "text")
+        base.where(F.col("text").isNotNull())
+        .select(F.xxhash64("text").alias("no"), "id", "text")
         .withColumn("nth", F.row_number().over(one))
         .where("nth = 1")
         .drop("nth")
@@ -352,33 +364,36 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     )
     try:
         texts = spark.table(name)
-        nodes = stage(texts.drop("text"), "nodes")
         slots = 1 << min(MOST_SLOTS.bit_length() - 1, max(12, (total // 6 // WORDS_PER_SLOT).bit_length()))
-        classes = spark.sparkContext.broadcast(frequency_classes(texts, slots))  # at most MOST_SLOTS bytes
-        members = clusters(nodes, texts, classes)
+        signed = stage(sign_and_count(texts, slots), "signed")
+        nodes = signed.where("n > 0").drop("slice", "counts")
+        # At most MOST_SLOTS bytes.
+        classes = spark.sparkContext.broadcast(frequency_classes(signed.where("slice is not null"), slots))
+        links = band_links(nodes, texts, classes)
+        members = star_clusters(links)
+        groups = stage(components(links.select("a", "b")), "groups")
         size = F.col("n")
         postings = nodes.agg(F.sum(size - F.ceil(4 * size / 5) + 1)).first()[0] or 0
-        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(postings / POSTINGS_PER_PART))
-        pairs = candidates(texts, members, classes, int(parts))
-        edges = stage(linked_clusters(pairs, members, texts, classes), "links")
-        joined = stage(components(edges), "components")
+        parts = max(width, math.ceil(postings / POSTINGS_PER_PART))
+        pairs = candidates(texts, members, groups, classes, int(parts))
+        edges = linked_clusters(pairs, members, links.select("a", "b"), texts, classes)
+        joined = components(edges)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         remove_path(spark, path)
 
-    clustered = nodes.select("no", "id").join(members.select("no", "cluster"), "no", "left").withColumn("cluster", F.coalesce("cluster", "no"))
-    rooted = clustered.join(joined, F.col("cluster") == F.col("node"), "left").select("no", "id", F.coalesce("component", "cluster").alias("root"))
+    rooted = nodes.join(joined, F.col("no") == F.col("node"), "left").select("no", "id", "n", F.coalesce("component", "no").alias("root"))
     rooted = stage(rooted, "roots")
     smallest = rooted.groupBy("root").agg(F.min("id").alias("smallest"))
-    named = rooted.join(smallest, "root").select(F.col("no").alias("node_no"), "smallest")
-    derived = ["n_shingles", "component_id", "set_id"]
-    found = rows.join(named, (F.col("no") == F.col("node_no")) & (F.col("n") > 0), "left")
+    named = rooted.join(smallest, "root").select(F.col("no").alias("node_no"), "n", "smallest")
+    derived = ["n_shingles", "component_id", "text_id"]
+    found = rows.join(named, F.col("known") & (F.col("no") == F.col("node_no")), "left")
     kept = [c for c in keep if c not in derived]
     return found.select(
         *(F.col("row").getField(c).alias(c) for c in kept),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("id")).alias("component_id"),
-        F.when(F.col("n") > 0, F.col("no")).alias("set_id"),
+        F.coalesce("n", F.lit(0).cast("long")).alias("n_shingles"),
+        F.when(F.col("n").isNotNull(), F.col("smallest")).otherwise(F.col("id")).alias("component_id"),
+        F.col("node_no").alias("text_id"),
     )
 
 
@@ -392,9 +407,9 @@ def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """One document of each group: that with the smallest id, once if it is repeated. Documents without words stay."""
     found = near_duplicates(docs)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    alone = Window.partitionBy("doc_id", "set_id").orderBy("lang", "source", "n_chars")
-    kept = first.where("set_id is not null").withColumn("nth", F.row_number().over(alone)).where("nth = 1")
-    return kept.select(*docs.columns).union(first.where("set_id is null").select(*docs.columns))
+    alone = Window.partitionBy("doc_id", "text_id").orderBy("lang", "source", "n_chars")
+    kept = first.where("text_id is not null").withColumn("nth", F.row_number().over(alone)).where("nth = 1")
+    return kept.select(*docs.columns).union(first.where("text_id is null").select(*docs.columns))
 
 
 ORACLE_SQL = {

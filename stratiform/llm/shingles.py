@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import xxhash
 
@@ -56,11 +54,6 @@ def shingle_sets(texts: list[bytes], hashes: WordHashes, k: int = WORDS) -> list
     return out
 
 
-def set_key(s: np.ndarray) -> bytes:
-    """128 bits that two sets share only if they are equal."""
-    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-
-
 def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     """`BANDS` keys per set, each of the minima of `ROWS` hash functions; an empty set has zeros."""
     out = np.zeros((len(sets), BANDS), np.uint64)
