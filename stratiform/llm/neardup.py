@@ -220,7 +220,7 @@ def candidates(texts: DataFrame, members: DataFrame, groups: DataFrame, classes:
             if size > POSTINGS_PER_PART:
                 yield from flush()
                 waiting, part_of, size = [], [], 0
-        if waiting:
+        if size:
             yield from flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -175,8 +176,6 @@ def redact(found: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
 
     Of overlapping spans the one that starts first is replaced, then the longer one.
     """
-    import pandas as pd
-
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
         out = []
         for value, own in zip(texts, spans, strict=True):
