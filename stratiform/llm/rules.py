@@ -1,7 +1,8 @@
 """Quality rules: hashed n-gram log-likelihood ratio of a trusted target against the raw corpus.
 
-Tokens (runs of letters and digits, runs of other marks) and pairs of them are hashed into `BUCKETS` slots.
-Over the trusted documents and over the whole corpus, two smoothed multinomials are counted; the logarithm
+Tokens (what white space parts, ASCII punctuation apart) and pairs of them are hashed into `BUCKETS` slots.
+Over trusted documents (a bounded number of those labelled good) and over the whole corpus, two smoothed
+multinomials are counted; the logarithm
 of their ratio is the weight of a slot, and the score of a document is the mean weight of its n-grams. A
 fixed threshold decides for every document. Before it, plain counts decide: few words, or many repeats.
 
@@ -25,9 +26,11 @@ LEAST_WORDS = 50
 MOST_REPEATS = 50  # per cent of the words
 
 WORD = r"[^\x20\x09-\x0D]+"
-TOKEN = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]+"
-SPACES = " \t\n\x0b\f\r"
-SYMBOLS = "#*$%&|<>"
+SPACE = r"[\x20\x09-\x0D]+"
+MARKS = r"[!-/:-@\[-^`{-~]+"
+SYMBOLS = r"[#*$%&|<>]"
+#: So many documents at most make up the trusted target: those with the smallest id hashes.
+MAX_TRUSTED = 20_000
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 DERIVED = [*MEASURES, "base_failed", "score", "kept"]
 
@@ -38,7 +41,8 @@ def with_slots(df: DataFrame, text: str, out: str, buckets: int = BUCKETS) -> Da
     What a lambda refers to is a column of its own: inside a lambda an expression would be computed anew for
     each element.
     """
-    hashes = F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
+    apart = F.split(F.regexp_replace(text, MARKS, " $0 "), SPACE, -1)
+    hashes = F.transform(F.array_remove(apart, ""), lambda t: F.xxhash64(t))
     df = df.withColumn("_hashes", hashes).withColumn("_tokens", F.size("_hashes"))
     pairs = F.zip_with(
         F.slice("_hashes", 1, F.greatest(F.col("_tokens") - 1, F.lit(0))), F.slice("_hashes", 2, F.col("_tokens")), lambda a, b: F.xxhash64(a, b)
@@ -74,9 +78,9 @@ def with_repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
     Window hashes are sorted together with their places, packed into one long: as many low bits as places
     need, the hash above. Neighbours with equal high bits are compared by their full hashes.
     """
-    n = F.size(words)
-    windows = F.slice(F.arrays_zip(words, F.slice(words, 2, n), F.slice(words, 3, n)), 1, F.greatest(n - 2, F.lit(0)))
-    df = df.withColumn("_hashes", F.transform(windows, lambda w: F.xxhash64(w)))
+    df = df.withColumn("_words", F.transform(words, lambda w: F.xxhash64(w)))
+    windows = F.transform("_words", lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)))
+    df = df.withColumn("_hashes", F.slice(windows, 1, F.greatest(F.size(words) - 2, F.lit(0))))
     some = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
     df = df.withColumn("_bits", F.when(some, F.ceil(F.log2(F.size("_hashes") + 1.0)).cast("int")))
     df = df.withColumn("_low", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1)
@@ -92,15 +96,15 @@ def with_repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
         lambda s, p: F.struct(p.alias("last"), (s["sum"] + F.least(F.lit(3), p - s["last"])).alias("sum")),
         lambda s: s["sum"],
     )
-    return df.withColumn(out, F.coalesce(covered, F.lit(0)).cast("long")).drop("_hashes", "_bits", "_low", "_packed")
+    return df.withColumn(out, F.coalesce(covered, F.lit(0)).cast("long")).drop("_words", "_hashes", "_bits", "_low", "_packed")
 
 
-def measures(text: Column) -> dict[str, Column]:
-    """The plain counts of a text, null being empty."""
+def measures(text: Column, words: Column) -> dict[str, Column]:
+    """The plain counts of a text and its words."""
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(WORD))
     return {
-        "word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+        "word_chars": F.length(F.array_join(words, "")).cast("long"),
+        "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
     }
 
@@ -122,7 +126,7 @@ def apply_rules(
     keep = docs.columns if keep is None else keep
     body = F.coalesce(field(docs, text).cast("string"), F.lit(""))
     packed = docs.select(F.struct(*(field(docs, c) for c in keep)).alias("row"), body.alias("body"))
-    packed = packed.withColumn("words", F.regexp_extract_all("body", F.lit(WORD), F.lit(0)))
+    packed = packed.withColumn("words", F.array_remove(F.split("body", SPACE, -1), ""))
     # A constant of the plan: `buckets` numbers, folded once from text.
     known = weights.first()["weights"]
     own = F.split(F.lit(" ".join(map(repr, known))), " ").cast("array<double>")
@@ -130,7 +134,7 @@ def apply_rules(
         "row",
         "body",
         F.size("words").cast("long").alias("n_words"),
-        *(c.alias(name) for name, c in measures(F.col("body")).items()),
+        *(c.alias(name) for name, c in measures(F.col("body"), F.col("words")).items()),
         "n_repeat_words",
     )
     counted = with_slots(counted, "body", "own", buckets)
@@ -142,10 +146,11 @@ def apply_rules(
     return judged.select(*(F.col("row").getField(c).alias(c) for c in kept), *DERIVED)
 
 
-def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the labels call good."""
-    good = labels.where("quality = 1").select("doc_id").distinct()
-    return docs.join(good, "doc_id", "left_semi")
+def trusted_documents(docs: DataFrame, labels: DataFrame, most: int = MAX_TRUSTED) -> DataFrame:
+    """Documents that the labels call good, of at most `most` ids, which are broadcast."""
+    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    some = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return docs.join(F.broadcast(some), "doc_id", "left_semi")
 
 
 def op8_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
