@@ -36,6 +36,25 @@ def field(df: DataFrame, name: str) -> Column:
     return df["`" + name.replace("`", "``") + "`"]
 
 
+def settled(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """`df` with a column that is computed once per row.
+
+    Spark moves the expression of a plain column into whatever uses it, also into a lambda, where it would be
+    computed anew for every element. It does not move what a generator makes, here one row from each row.
+    """
+    return df.select(*(c for c in df.columns if c != name), F.explode(F.array(value)).alias(name))
+
+
+def set_aside(df: DataFrame, keep: list[str]) -> list[Column]:
+    """The kept columns under names that no derived column has."""
+    return [field(df, c).alias(f"_kept{i}") for i, c in enumerate(keep)]
+
+
+def set_back(keep: list[str], derived: list[str]) -> list[Column]:
+    """The kept columns under their own names, without those that a derived column replaces."""
+    return [F.col(f"_kept{i}").alias(c) for i, c in enumerate(keep) if c not in derived]
+
+
 def with_derived(df: DataFrame, row: str, derived: list[str]) -> DataFrame:
     """Unpack the struct `row`; a derived column replaces an input column of the same name."""
     kept = [c for c in df.schema[row].dataType.names if c not in derived]

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import field, lower_ascii, table
+from stratiform.llm.common import field, lower_ascii, set_aside, set_back, settled, table
 
 # Fixed phrases and labels of the base.
 BASE = {"the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -66,7 +66,8 @@ DERIVED = ["n_words", "n_base", "first_word", "last_word", "base_labels", "label
 def with_words(docs: DataFrame, text: str, out: str) -> DataFrame:
     """`docs` with the words of a text: letters, digits and non-ASCII characters, A-Z lower-cased."""
     plain = F.trim(F.regexp_replace(lower_ascii(F.coalesce(field(docs, text).cast("string"), F.lit(""))), NOT_WORD, " "))
-    return docs.withColumn("_plain", plain).withColumn(out, F.when(F.col("_plain") == "", F.array().cast("array<string>")).otherwise(F.split("_plain", " ")))
+    words = F.when(F.col("_plain") == "", F.array().cast("array<string>")).otherwise(F.split("_plain", " "))
+    return settled(settled(docs, "_plain", plain), out, words)
 
 
 def licence_words(templates: dict = TEMPLATES) -> list[str]:
@@ -108,7 +109,7 @@ def with_base(worded: DataFrame) -> DataFrame:
         some = F.concat(F.lit(" "), F.col("_plain"), F.lit(" ")).contains(f" {phrase} ")
         found = F.transform(begins, lambda i: F.struct(i.cast("long").alias("start"), F.lit(label).alias("label")))
         parts.append(F.when(some, found).otherwise(F.array().cast("array<struct<start:bigint,label:string>>")))
-    return worded.withColumn("base", F.concat(*parts))
+    return settled(worded, "base", F.concat(*parts))
 
 
 def _stands(words: str, at: Column, phrase: list[str]) -> Column:
@@ -140,7 +141,7 @@ def with_matches(worded: DataFrame, postings: list[tuple[str, int, int]], templa
         F.transform("words", lambda w, i: F.struct(F.array_position(index, w).cast("int").alias("word"), i.cast("int").alias("at"))), lambda h: h["word"] > 0
     )
     nothing = F.array().cast("array<struct<word:int,at:int>>")
-    df = worded.withColumn("_hits", F.when(some, hits).otherwise(nothing))
+    df = settled(worded, "_hits", F.when(some, hits).otherwise(nothing))
     votes = F.flatten(
         F.transform(
             "_hits",
@@ -149,13 +150,13 @@ def with_matches(worded: DataFrame, postings: list[tuple[str, int, int]], templa
             ),
         )
     )
-    df = df.withColumn("_votes", F.sort_array(votes)).withColumn("_need", array_of(need)).withColumn("_of", array_of(votes_of))
+    df = settled(df, "_votes", F.sort_array(votes)).withColumn("_need", array_of(need)).withColumn("_of", array_of(votes_of))
     vote = lambda i: F.get("_votes", i)
     # In sorted order, so many equal votes in a row from their first one on are an occurrence.
     first = lambda v, i: (i == 0) | (vote(i - 1) != v)
     enough = lambda v, i: F.coalesce(vote(i + F.get("_need", v["template"]) - 1) == v, F.lit(False))
     agreed = F.filter("_votes", lambda v, i: first(v, i) & enough(v, i))
-    df = df.withColumn("_agreed", agreed)
+    df = settled(df, "_agreed", agreed)
     counted = F.transform(
         "_agreed",
         lambda v: F.struct(
@@ -166,7 +167,7 @@ def with_matches(worded: DataFrame, postings: list[tuple[str, int, int]], templa
     )
     labels = array_of([label for label, _, _ in templates.values()])
     lengths = array_of([len(body.split()) for _, body, _ in templates.values()])
-    df = df.withColumn("_counted", counted)
+    df = settled(df, "_counted", counted)
     keep = F.filter("_counted", lambda m: _verified(m, templates))
     shaped = F.transform(
         keep,
@@ -178,7 +179,7 @@ def with_matches(worded: DataFrame, postings: list[tuple[str, int, int]], templa
         ),
     )
     near = F.coalesce(F.array_max(F.transform("_counted", lambda m: m["share"])), F.lit(0.0))
-    return df.withColumn("licenses", shaped).withColumn("near", near).drop("_hits", "_votes", "_need", "_of", "_agreed", "_counted")
+    return settled(settled(df, "licenses", shaped), "near", near).drop("_hits", "_votes", "_need", "_of", "_agreed", "_counted")
 
 
 def _verified(m: Column, templates: dict) -> Column:
@@ -205,7 +206,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: dict = TEMPLAT
     answered one by one; ties between templates are all listed. Derived columns replace input columns.
     """
     keep = docs.columns if keep is None else keep
-    packed = docs.select(F.struct(*(field(docs, c) for c in keep)).alias("row"), field(docs, text).cast("string").alias("body"))
+    packed = docs.select(*set_aside(docs, keep), field(docs, text).cast("string").alias("body"))
     worded = with_words(packed, "body", "words")
     total, frequencies = document_frequencies(worded, licence_words(templates))
     postings = rare_index(total, frequencies, templates)
@@ -215,9 +216,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: dict = TEMPLAT
     base_labels = F.transform("base", lambda b: b["label"])
     own_labels = F.transform("licenses", lambda m: m["label"])
     best = F.coalesce(F.array_max(F.transform("licenses", lambda m: m["share"])), F.lit(0.0))
-    kept = [c for c in keep if c not in DERIVED]
     return found.select(
-        *(F.col("row").getField(c).alias(c) for c in kept),
+        *set_back(keep, DERIVED),
         F.size("words").cast("long").alias("n_words"),
         F.size("base").cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"),

@@ -41,7 +41,8 @@ MOST_BUCKETS = 100_000
 WORDS_PER_SLOT = 256
 MOST_SLOTS = 1 << 24
 SLICE = 1 << 12
-POSTINGS_PER_PART = 1_000_000
+POSTINGS_PER_PART = 250_000
+TEXT_BYTES = 1 << 20
 CHUNK = 512
 
 BANDS = [f"b{i}" for i in range(sh.BANDS)]
@@ -63,7 +64,7 @@ def sign_and_count(texts: DataFrame, slots: int) -> DataFrame:
         hashes = sh.WordHashes()
         counts = np.zeros(slots, np.int64)
         kind = pa.null()
-        for piece in text_slices(batches, "text"):
+        for piece in text_slices(batches, "text", TEXT_BYTES):
             kind = piece.column("id").type
             sets = sh.shingle_sets(text_bytes(piece.column("text")), hashes)
             counts += np.bincount(sh.slot_of(np.concatenate(sets), slots), minlength=slots)
@@ -118,7 +119,7 @@ def similarity_pairs(pairs: DataFrame, texts: DataFrame, classes: object) -> Dat
     grouped = both.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for piece in text_slices(batches, "text"):
+        for piece in text_slices(batches, "text", TEXT_BYTES):
             columns = [piece.column(c).to_pylist() for c in ("a", "chunk", "b", "least")]
             yield from zip(*columns, text_bytes(piece.column("text")), strict=True)
 
@@ -204,7 +205,7 @@ def candidates(texts: DataFrame, members: DataFrame, groups: DataFrame, classes:
             blobs = [combined(entries[i:j]).tobytes() for i, j in zip(cuts, [*cuts[1:], len(part)], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], ["part", "entries"])
 
-        for piece in text_slices(batches, "text"):
+        for piece in text_slices(batches, "text", TEXT_BYTES):
             owners = zip(piece.column("cluster").to_pylist(), piece.column("group").to_pylist(), strict=True)
             for (owner, group), s in zip(owners, sh.shingle_sets(text_bytes(piece.column("text")), hashes), strict=True):
                 n = len(s)

@@ -2,13 +2,13 @@
 
 Tokens (what white space parts, ASCII punctuation apart) and pairs of them are hashed into `BUCKETS` slots.
 Over trusted documents (a bounded number of those labelled good) and over the whole corpus, two smoothed
-multinomials are counted; the logarithm
-of their ratio is the weight of a slot, and the score of a document is the mean weight of its n-grams. A
-fixed threshold decides for every document. Before it, plain counts decide: few words, or many repeats.
+multinomials are counted; the logarithm of their ratio is the weight of a slot, and the score of a document
+is the mean weight of its n-grams. A fixed threshold decides for every document. Before it, plain counts
+decide: few words, or many repeats.
 
 Only DataFrame functions are used. Counting adds up in each task, so at most `BUCKETS` rows per task are
-shuffled; the weights, `BUCKETS` numbers, are a constant of the scoring plan. Everything about one
-document is computed inside its row, linear in its length but for one sort.
+shuffled; the weights, `BUCKETS` numbers, are a constant of the scoring plan. Everything about one document
+is computed inside its row, linear in its length but for one sort.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import field, table
+from stratiform.llm.common import field, set_aside, set_back, settled, table
 from stratiform.workspace import stage
 
 BUCKETS = 10_000
@@ -36,19 +36,14 @@ DERIVED = [*MEASURES, "base_failed", "score", "kept"]
 
 
 def with_slots(df: DataFrame, text: str, out: str, buckets: int = BUCKETS) -> DataFrame:
-    """`df` with the slot of every token of `text` and of every pair of neighbouring tokens.
-
-    What a lambda refers to is a column of its own: inside a lambda an expression would be computed anew for
-    each element.
-    """
+    """`df` with the slot of every token of `text` and of every pair of neighbouring tokens."""
     apart = F.split(F.regexp_replace(text, MARKS, " $0 "), SPACE, -1)
     hashes = F.transform(F.array_remove(apart, ""), lambda t: F.xxhash64(t))
-    df = df.withColumn("_hashes", hashes).withColumn("_tokens", F.size("_hashes"))
-    pairs = F.zip_with(
-        F.slice("_hashes", 1, F.greatest(F.col("_tokens") - 1, F.lit(0))), F.slice("_hashes", 2, F.col("_tokens")), lambda a, b: F.xxhash64(a, b)
-    )
+    df = settled(df, "_hashes", hashes)
+    n = F.size("_hashes")
+    pairs = F.zip_with(F.slice("_hashes", 1, F.greatest(n - 1, F.lit(0))), F.slice("_hashes", 2, n), lambda a, b: F.xxhash64(a, b))
     slot = F.transform(F.concat("_hashes", pairs), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
-    return df.withColumn(out, slot).drop("_hashes", "_tokens")
+    return settled(df, out, slot).drop("_hashes")
 
 
 def multinomial(texts: DataFrame, buckets: int) -> DataFrame:
@@ -78,14 +73,14 @@ def with_repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
     Window hashes are sorted together with their places, packed into one long: as many low bits as places
     need, the hash above. Neighbours with equal high bits are compared by their full hashes.
     """
-    df = df.withColumn("_words", F.transform(words, lambda w: F.xxhash64(w)))
+    df = settled(df, "_words", F.transform(words, lambda w: F.xxhash64(w)))
     windows = F.transform("_words", lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)))
-    df = df.withColumn("_hashes", F.slice(windows, 1, F.greatest(F.size(words) - 2, F.lit(0))))
+    df = settled(df, "_hashes", F.slice(windows, 1, F.greatest(F.size(words) - 2, F.lit(0))))
     some = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
-    df = df.withColumn("_bits", F.when(some, F.ceil(F.log2(F.size("_hashes") + 1.0)).cast("int")))
-    df = df.withColumn("_low", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1)
+    df = settled(df, "_bits", F.when(some, F.ceil(F.log2(F.size("_hashes") + 1.0)).cast("int")))
+    df = settled(df, "_low", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1)
     pack = F.transform("_hashes", lambda h, i: F.call_function("shiftleft", h, F.col("_bits")).bitwiseOR(i.cast("long")))
-    df = df.withColumn("_packed", F.when(some, F.sort_array(pack)))
+    df = settled(df, "_packed", F.when(F.col("_bits").isNotNull(), F.sort_array(pack)))
     full = lambda p: F.get("_hashes", p.bitwiseAND(F.col("_low")).cast("int"))
     alike = lambda p, q: q.isNotNull() & (full(p) == full(q))
     same = F.filter("_packed", lambda p, i: alike(p, F.get("_packed", i - 1)) | alike(p, F.get("_packed", i + 1)))
@@ -96,7 +91,7 @@ def with_repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
         lambda s, p: F.struct(p.alias("last"), (s["sum"] + F.least(F.lit(3), p - s["last"])).alias("sum")),
         lambda s: s["sum"],
     )
-    return df.withColumn(out, F.coalesce(covered, F.lit(0)).cast("long")).drop("_words", "_hashes", "_bits", "_low", "_packed")
+    return settled(df, out, F.coalesce(covered, F.lit(0)).cast("long")).drop("_words", "_hashes", "_bits", "_low", "_packed")
 
 
 def measures(text: Column, words: Column) -> dict[str, Column]:
@@ -125,13 +120,13 @@ def apply_rules(
     """
     keep = docs.columns if keep is None else keep
     body = F.coalesce(field(docs, text).cast("string"), F.lit(""))
-    packed = docs.select(F.struct(*(field(docs, c) for c in keep)).alias("row"), body.alias("body"))
-    packed = packed.withColumn("words", F.array_remove(F.split("body", SPACE, -1), ""))
+    packed = docs.select(*set_aside(docs, keep), body.alias("body"))
+    packed = settled(packed, "words", F.array_remove(F.split("body", SPACE, -1), ""))
     # A constant of the plan: `buckets` numbers, folded once from text.
     known = weights.first()["weights"]
     own = F.split(F.lit(" ".join(map(repr, known))), " ").cast("array<double>")
     counted = with_repeated_words(packed, "words", "n_repeat_words").select(
-        "row",
+        *(f"_kept{i}" for i in range(len(keep))),
         "body",
         F.size("words").cast("long").alias("n_words"),
         *(c.alias(name) for name, c in measures(F.col("body"), F.col("words")).items()),
@@ -142,8 +137,7 @@ def apply_rules(
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATS * F.col("n_words"))
     judged = counted.withColumn("score", F.when(F.size("own") > 0, total / F.size("own")).otherwise(0.0)).withColumn("base_failed", failed)
     judged = judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-    kept = [c for c in keep if c not in DERIVED]
-    return judged.select(*(F.col("row").getField(c).alias(c) for c in kept), *DERIVED)
+    return judged.select(*set_back(keep, DERIVED), *DERIVED)
 
 
 def trusted_documents(docs: DataFrame, labels: DataFrame, most: int = MAX_TRUSTED) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import field, lower_ascii, table
+from stratiform.llm.common import field, lower_ascii, set_aside, set_back, table
 from stratiform.workspace import stage
 
 LEAST_LENGTH = 16
@@ -50,22 +50,23 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, text: str, path: str | None, keep: list[str]) -> DataFrame:
-    """One row per candidate: `row` (the kept columns), nth, before, candidate, after, path."""
+    """One row per candidate: the kept columns set aside, nth, before, candidate, after, path."""
     body = F.coalesce(field(docs, text).cast("string"), F.lit(""))
     where = F.coalesce(field(docs, path).cast("string"), F.lit("")) if path else F.lit("")
     found = docs.select(
-        F.struct(*(field(docs, c) for c in keep)).alias("row"),
+        *set_aside(docs, keep),
         where.alias("path"),
         body.alias("body"),
         F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)).alias("found"),
     ).where(F.size("found") > 0)
+    kept = [f"_kept{i}" for i in range(len(keep))]
     # What stands between the candidates, cut to the context before anything is exploded.
     pieces = F.split("body", CANDIDATE, -1)
     around = F.transform(pieces, lambda p: F.struct(F.right(p, F.lit(CONTEXT)).alias("before"), F.left(p, F.lit(CONTEXT)).alias("after")))
     cut = found.withColumn("around", around).drop("body")
-    each = cut.select("row", "path", "around", F.posexplode("found").alias("nth", "candidate"))
+    each = cut.select(*kept, "path", "around", F.posexplode("found").alias("nth", "candidate"))
     return each.select(
-        "row",
+        *kept,
         "path",
         F.col("nth").cast("long").alias("nth"),
         "candidate",
@@ -159,9 +160,8 @@ def scan_secrets(
     else:
         scored = model.transform(assembled(featured)).withColumn("score", vector_to_array("probability")[1])
     derived = ["nth", "length", "digest", "preview", "score", "secret"]
-    kept = [c for c in keep if c not in derived]
     return scored.select(
-        *(F.col("row").getField(c).alias(c) for c in kept),
+        *set_back(keep, derived),
         "nth",
         F.length("candidate").cast("long").alias("length"),
         F.sha2("candidate", 256).alias("digest"),

@@ -14,7 +14,7 @@ class WordHashes(dict):
     """64-bit hashes of words; forgets them when it holds too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
