@@ -104,7 +104,7 @@ def frequency_classes(counted: DataFrame, slots: int) -> np.ndarray:
 
 
 def similarity_pairs(pairs: DataFrame, texts: DataFrame, classes: object) -> DataFrame:
-    """Of `pairs` (a, b, least): a, b, sizes and overlap of those with a similarity of at least `least`.
+    """Of `pairs` (a, b, least): a, b, sizes na and nb, overlap, linked and distance of those with a similarity of at least `least`.
 
     Pairs are grouped by a, in chunks of about `CHUNK`; a chunk gets the text of a once and those of its b's.
     """
@@ -145,25 +145,27 @@ def similarity_pairs(pairs: DataFrame, texts: DataFrame, classes: object) -> Dat
 
     measured = grouped.mapInArrow(verify, "a long, b long, na long, nb long, overlap long")
     union = F.col("na") + F.col("nb") - F.col("overlap")
-    return measured.select(
-        "a", "b", (100 * F.col("overlap") >= 80 * union).alias("linked"), (1 - F.col("overlap") / union).alias("distance")
-    )
+    return measured.select("*", (100 * F.col("overlap") >= 80 * union).alias("linked"), (1 - F.col("overlap") / union).alias("distance"))
 
 
 def band_links(nodes: DataFrame, texts: DataFrame, classes: object) -> DataFrame:
-    """Verified links (a, b, distance) of nodes b with the smallest node a of each of their bands."""
+    """Verified links (a, b, nb, distance, added) of nodes b with the smallest node a of each of their bands.
+
+    `added` is how many shingles b has that a has not.
+    """
     banded = nodes.select("no", F.posexplode(F.array(*BANDS)).alias("band", "key"))
     hubs = banded.groupBy("band", "key").agg(F.min("no").alias("hub"), F.count("*").alias("size")).where("size > 1").drop("size")
     pairs = banded.join(hubs, ["band", "key"]).where("no <> hub").select(F.col("hub").alias("a"), F.col("no").alias("b")).distinct()
     checked = similarity_pairs(pairs.withColumn("least", F.lit(SIMILAR)), texts, classes)
-    return stage(checked.where("linked").select("a", "b", "distance"), "band_links")
+    return stage(checked.where("linked").select("a", "b", "nb", "distance", (F.col("nb") - F.col("overlap")).alias("added")), "band_links")
 
 
 def star_clusters(links: DataFrame) -> DataFrame:
-    """no, cluster and distance of nodes linked with a centre; a centre is no member of another cluster."""
+    """no, cluster, n, distance and added of nodes linked with a centre; a centre is no member of another cluster."""
     centres = links.select("a").distinct().join(links.select("b").distinct(), F.col("a") == F.col("b"), "left_anti")
-    own = links.join(centres, "a", "left_semi").groupBy("b").agg(F.min(F.struct("a", "distance")).alias("m"))
-    return stage(own.select(F.col("b").alias("no"), F.col("m.a").alias("cluster"), F.col("m.distance").alias("distance")), "members")
+    own = links.join(centres, "a", "left_semi").groupBy("b").agg(F.min(F.struct("a", "nb", "distance", "added")).alias("m"))
+    own = own.select(F.col("b").alias("no"), F.col("m.a").alias("cluster"), F.col("m.nb").alias("n"), "m.distance", "m.added")
+    return stage(own, "members")
 
 
 ENTRY = np.dtype([("token", "<u4"), ("cluster", "<i8"), ("group", "<i8"), ("least", "<i4"), ("most", "<i4"), ("rest", "<i4")])
@@ -291,15 +293,23 @@ def linked_clusters(pairs: DataFrame, members: DataFrame, known: DataFrame, text
     unclear = checked.where("not linked").join(wide.select("a", "b", "ra", "rb"), ["a", "b"])
     if unclear.isEmpty():
         return edges
-    unclear = stage(apart(unclear, edges).select("a", "b", "ra", "rb"), "unclear")
+    unclear = stage(apart(unclear, edges).select("a", "b", "na", "nb", "overlap", "ra", "rb"), "unclear")
     if unclear.isEmpty():
         return edges
-    inside = members.select("no", "cluster")
-    left = unclear.join(inside.withColumnRenamed("cluster", "a"), "a").select("a", "b", F.col("no").alias("x"), F.col("b").alias("to"), F.col("rb").alias("r"))
-    right = unclear.join(inside.withColumnRenamed("cluster", "b"), "b").select("a", "b", F.col("no").alias("x"), F.col("a").alias("to"), F.col("ra").alias("r"))
-    sides = stage(left.withColumn("side", F.lit("a")).union(right.withColumn("side", F.lit("b"))), "sides")
+    inside = members.select("cluster", F.col("no").alias("x"), "n", "added")
+    sides = None
+    for own, other in (("a", "b"), ("b", "a")):
+        # A member meets the other centre in what its own centre does and in what it has added. It is asked
+        # only if that can be as much as a link with some member around the other centre takes.
+        s, n, most = F.greatest(F.lit(0.0), SIMILAR - F.col(f"r{other}") - 1e-9), F.col("n"), F.col(f"n{other}")
+        reach = F.col("overlap") + F.least("added", most - F.col("overlap"))
+        able = (reach >= s / (1 + s) * (n + most) - 1e-6) & (F.least(n, most) >= s * F.greatest(n, most) - 1e-6)
+        side = unclear.join(inside, (F.col(own) == F.col("cluster")) & able)
+        side = side.select("a", "b", "x", F.col(other).alias("to"), F.col(f"r{other}").alias("r"), F.lit(own).alias("side"))
+        sides = side if sides is None else sides.union(side)
+    sides = stage(sides, "sides")
     asked = sides.groupBy(F.col("to").alias("a"), F.col("x").alias("b")).agg(F.min(F.greatest(F.lit(0.0), SIMILAR - F.col("r") - 1e-9)).alias("least"))
-    near = similarity_pairs(asked, texts, classes).select(F.col("a").alias("to"), F.col("b").alias("x"), "linked", "distance")
+    near = similarity_pairs(asked, texts, classes).select(F.col("a").alias("to"), F.col("b").alias("x"), "linked")
     near = stage(sides.join(near, ["to", "x"]), "reach")
     more = near.where("linked").select("a", "b").distinct()
     edges = stage(edges.union(more), "edges")
