@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.spec import LOAD_COLUMNS, RECENCY_COLUMNS
+from stratiform.workspace import fresh_name
 
 
 def dedupe_key(df: DataFrame, business_key: Sequence[str]) -> list[str]:
@@ -16,6 +17,15 @@ def dedupe_key(df: DataFrame, business_key: Sequence[str]) -> list[str]:
     return list(business_key) or [c for c in df.columns if c not in LOAD_COLUMNS]
 
 
+def orderable(kind: T.DataType) -> bool:
+    """Whether Spark can compare values of a type: not maps and variants, nor what holds one."""
+    if isinstance(kind, T.ArrayType):
+        return orderable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(orderable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def keep_newest(df: DataFrame, business_key: Sequence[str] = ()) -> DataFrame:
     """One row per key: the one of the newest load. NULL keys count as equal.
 
@@ -24,11 +34,8 @@ def keep_newest(df: DataFrame, business_key: Sequence[str] = ()) -> DataFrame:
     sides of the exchange), so a key that fills a third of the input sends one row per task.
     """
     key = dedupe_key(df, business_key)
-    ties = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in (*key, *RECENCY_COLUMNS) and not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
+    ties = [f.name for f in df.schema.fields if f.name not in (*key, *RECENCY_COLUMNS) and orderable(f.dataType)]
     newest_first = [F.col(f"`{c}`").desc() for c in (*RECENCY_COLUMNS, *ties)]
     rank = F.row_number().over(Window.partitionBy(*[f"`{c}`" for c in key]).orderBy(*newest_first))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    name = fresh_name(df.columns, "_rank")
+    return df.withColumn(name, rank).filter(F.col(name) == 1).drop(name)

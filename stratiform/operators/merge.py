@@ -18,12 +18,17 @@ def _all_present(keys: Sequence[str]) -> Column:
     return reduce(and_, (F.col(f"`{k}`").isNotNull() for k in keys))
 
 
-def check_merge_columns(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
+def check_merge_columns(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = (), surrogate_key: str = ""
+) -> None:
     if not keys:
         raise ValueError("a merge needs at least one key column")
     unknown = [c for c in source.columns if c not in target.columns]
     if unknown:
         raise ValueError(f"the target has no column {', '.join(unknown)}")
+    missing = [c for c in newest_by if c not in source.columns or c in (*keys, surrogate_key)]
+    if missing:
+        raise ValueError(f"no source column to compare the age of rows by: {', '.join(missing)}")
 
 
 def as_target_types(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -62,7 +67,7 @@ def upsert(
     not, a left and an anti join take the place of a full outer one, because Spark can split a hot key
     of the target at run time only in the former.
     """
-    check_merge_columns(target, source, keys)
+    check_merge_columns(target, source, keys, newest_by, surrogate_key)
     source = as_target_types(source, target)
     if not source_is_unique:
         check_single_match(target, source, keys)
@@ -97,7 +102,6 @@ def upsert(
 
 
 def _source_is_newer(payload: Sequence[str], newest_by: Sequence[str]) -> Column:
-    order = [c for c in newest_by if c in payload]
-    theirs = [F.col(f"_v{payload.index(c)}").alias(c) for c in order]
-    ours = [F.col(f"`{c}`") for c in order]
+    theirs = [F.col(f"_v{payload.index(c)}").alias(c) for c in newest_by]
+    ours = [F.col(f"`{c}`") for c in newest_by]
     return F.struct(*theirs) >= F.struct(*ours)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratiform.workspace import stage
+from stratiform.workspace import fresh_name, stage
 
 # monotonically_increasing_id() puts the partition in the upper bits and the position in the lower 33.
 _POSITION_BITS = 33
@@ -24,21 +24,24 @@ def number_rows(df: DataFrame, name: str, after: int = 0, order_by: Sequence[str
     bounds the running sum and the broadcast by the number of tasks, not of rows.
     """
     columns = df.columns
+    slot, before = fresh_name(columns, "_slot"), fresh_name(columns, "_before")
+    first = fresh_name(columns, "_part")
     if order_by:
-        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    written = stage(df.withColumn("_slot", F.monotonically_increasing_id()), "numbered")
-    part = F.shiftright("_slot", _POSITION_BITS)
-    position = F.col("_slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+        # Range partitioning samples its input, so that is written before: it is evaluated once.
+        df = stage(df, "unordered").repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    written = stage(df.withColumn(slot, F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright(slot, _POSITION_BITS)
+    position = F.col(slot).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
 
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
     offsets = stage(
-        written.groupBy(part.alias("_part"))
+        written.groupBy(part.alias(first))
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")),
+        .select(first, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(before)),
         "offsets",
     )
-    number = F.lit(after).cast("bigint") + F.col("_before") + position + 1
-    return written.join(F.broadcast(offsets), part == F.col("_part")).select(
+    number = F.lit(after).cast("bigint") + F.col(before) + position + 1
+    return written.join(F.broadcast(offsets), part == F.col(first)).select(
         *[f"`{c}`" for c in columns], number.alias(name)
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,10 @@ from stratiform.operators.numbering import max_key, number_rows
 from stratiform.operators.shape import add_audit_columns, override_types, project
 from stratiform.plans import feeds, gold
 from stratiform.plans.model import daily_sums, star_query, totals
-from stratiform.plans.silver import run_entity
+from stratiform.plans.silver import default_transform, register_transform, run_entity
 from stratiform.plans.whole_run import run_all
 from stratiform.sinks.tables import append_table, merge_table, replace_table
-from stratiform.sources.landing import land_batch
+from stratiform.sources.landing import land_archive, land_batch
 from stratiform.sources.readers import read_source
 from stratiform.sources.registry import one_id_per_client
 from stratiform.spec import LOAD_COLUMNS, EntitySpec
@@ -30,6 +31,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIRST_LOAD = datetime(2024, 1, 31, 8, 30, 15, 1, tzinfo=timezone.utc)
 SECOND_LOAD = datetime(2024, 2, 1, 7, 0, 2, 500, tzinfo=timezone.utc)
 
+LAST_FOLDER = "segment=incremental/year=2024/month=02/day=02/load=070002000500"
+
 DELIVERY_KEY = ["order_key", "line_number"]
 ORDER_TYPES = {
     "o_orderkey": "bigint",
@@ -100,6 +103,11 @@ def src_zip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     rides = feeds.bike(spark, sf_dir)
     land_batch(rides, root, "initial", FIRST_LOAD, "zip_csv")
     land_batch(rides.withColumn("member_casual", F.lit("member")), root, "incremental", SECOND_LOAD, "zip_csv")
+    # Once more in plain subfolders, where two archives have one name and members differ by folder only.
+    later = rides.withColumn("member_casual", F.lit("guest"))
+    for half, (folder, member) in enumerate((("x", "a/b.csv"), ("y", "a/b.csv"), ("y", "a__b.csv"))):
+        part = later.where((F.pmod("ride_sk", F.lit(3)) == half))
+        land_archive(part, f"{root}/{LAST_FOLDER}/{folder}", "trips" if half < 2 else "more", member)
     spec = _spec("zip_csv", root, options=options, override_column_types=BIKE_TYPES)
     return override_types(read_source(spark, spec), spec.override_column_types)
 
@@ -376,9 +384,25 @@ def entity_run_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, deliver_again = _delivered_twice(spark, sf_dir)
     spec = _orders_spec(root, _new_database(spark), "append")
     run_entity(spark, spec)
+    first = stage(spark.table(spec.destination).selectExpr("order_sk AS first_sk"))
     deliver_again()
     run_entity(spark, spec)
-    return spark.table(spec.destination).drop("order_sk")
+    return _with_key_facts(spark.table(spec.destination), first)
+
+
+def _with_key_facts(after: DataFrame, first: DataFrame) -> DataFrame:
+    """Instead of the key: whether it was there after the first run, else whether it lies above all of those,
+    and how many different keys there are."""
+    keys = after.agg(F.countDistinct("order_sk")).first()[0]
+    highest = max_key(first, "first_sk")
+    marked = after.join(first, F.col("order_sk") == F.col("first_sk"), "left")
+    return marked.withColumns(
+        {
+            "from_first_run": F.col("first_sk").isNotNull(),
+            "key_holds": F.col("first_sk").isNotNull() | (F.col("order_sk") > highest),
+            "different_keys": F.lit(keys).cast("bigint"),
+        }
+    ).drop("order_sk", "first_sk")
 
 
 def entity_run_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,9 +425,28 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, deliver_again = _delivered_twice(spark, sf_dir)
     spec, checkpoint = _orders_spec(root, _new_database(spark), "merge"), new_path(spark, "progress")
     merge_new_loads(spark, spec, checkpoint)
+    first = stage(spark.table(spec.destination).selectExpr("order_sk AS first_sk"))
     deliver_again()
     merge_new_loads(spark, spec, checkpoint)
-    return spark.table(spec.destination).drop("order_sk")
+    return _with_key_facts(spark.table(spec.destination), first)
+
+
+def _finished_only(df: DataFrame, spec: EntitySpec) -> DataFrame:
+    """A transform of a user's own: finished orders, with a price class, newest per key, numbered."""
+    finished = df.where("o_orderstatus = 'F'").withColumn("dear", F.col("o_totalprice") > 100_000)
+    return default_transform(finished, spec)
+
+
+def entity_run_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two merge runs of an entity with a registered transform."""
+    register_transform("finished_only", _finished_only)
+    root, deliver_again = _delivered_twice(spark, sf_dir)
+    spec = replace(_orders_spec(root, _new_database(spark), "merge"), custom_transform="finished_only")
+    run_entity(spark, spec)
+    first = stage(spark.table(spec.destination).selectExpr("order_sk AS first_sk"))
+    deliver_again()
+    run_entity(spark, spec)
+    return _with_key_facts(spark.table(spec.destination), first)
 
 
 def _days_of(star: dict[str, DataFrame]) -> DataFrame:
@@ -430,6 +473,27 @@ def gold_star_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _days_of(star)
 
 
+def gold_rides_by_station(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides and observations by station and part of day, through the keys of the gold tables as built."""
+    database = _new_database(spark)
+    star = gold.build_gold(
+        spark, feeds.taxi(spark, sf_dir), feeds.bike(spark, sf_dir), feeds.weather(spark, sf_dir), database
+    )
+    times = star["dim_time"].select("time_sk", "part_of_day")
+    bikes = star["dim_bike_station"].selectExpr("station_sk AS key", "station_id", "station_name")
+    rides = star["fact_bike_trip"].join(bikes, F.col("start_station_sk") == F.col("key"), "left")
+    rides = rides.join(times, F.col("start_time_sk") == F.col("time_sk"), "left")
+    weather = star["dim_weather_station"].selectExpr("station_sk AS key", "station_id", "station_name")
+    observed = star["fact_weather_observation"].join(weather, F.col("station_sk") == F.col("key"), "left")
+    observed = observed.join(times, "time_sk", "left")
+    names = ["station_id", "station_name", "part_of_day"]
+    counted = [
+        df.groupBy(*names).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), *names, "n")
+        for kind, df in (("ride", rides), ("observation", observed))
+    ]
+    return counted[0].union(counted[1])
+
+
 def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land all three feeds, the rides and observations twice, and report on the gold that results."""
     root, database = new_path(spark, "lakehouse"), _new_database(spark)
@@ -517,8 +581,10 @@ QUERIES: dict[str, Query] = {
         report_bike_by_end_station,
         entity_run_append,
         entity_run_merge,
+        entity_run_custom,
         incremental_merge,
         gold_star_build,
+        gold_rides_by_station,
         whole_run,
     )
 }

@@ -12,6 +12,7 @@ from stratiform.functions.calendar import date_key, is_weekend, part_of_day, sec
 from stratiform.operators.lookup import lookup_keys
 from stratiform.operators.numbering import number_rows
 from stratiform.sinks.tables import replace_table
+from stratiform.workspace import staging_scope
 
 
 def observed_dates(df: DataFrame, *timestamps: str) -> DataFrame:
@@ -171,9 +172,16 @@ def build_gold(
 ) -> dict[str, DataFrame]:
     """Rebuild the whole star: dimensions first, then facts against the dimensions as written.
 
-    Station keys are ranks and change between builds, so facts are always rebuilt with them.
+    Station keys are ranks and change between builds, so facts are always rebuilt with them. What is staged
+    on the way is removed afterwards.
     """
+    with staging_scope(spark):
+        return _build_gold(spark, taxi, bike, weather, schema)
 
+
+def _build_gold(
+    spark: SparkSession, taxi: DataFrame, bike: DataFrame, weather: DataFrame, schema: str
+) -> dict[str, DataFrame]:
     def publish(name: str, df: DataFrame) -> DataFrame:
         replace_table(df, f"{schema}.{name}")
         return spark.table(f"{schema}.{name}")

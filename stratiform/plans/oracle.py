@@ -211,7 +211,9 @@ ORACLE_SQL: dict[str, str] = {
     "src_zip_csv": f"""
         SELECT *, {FIRST} FROM ({BIKE_SQL}) AS b
         UNION ALL
-        SELECT * REPLACE ('member' AS member_casual), {SECOND} FROM ({BIKE_SQL}) AS c""",
+        SELECT * REPLACE ('member' AS member_casual), {SECOND} FROM ({BIKE_SQL}) AS c
+        UNION ALL
+        SELECT * REPLACE ('guest' AS member_casual), {SECOND.replace("1 AS day", "2 AS day")} FROM ({BIKE_SQL}) AS d""",
     "src_schema_drift_union": f"""
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
             l_returnflag, NULL AS l_linestatus, l_shipdate, NULL AS l_note, {FIRST} FROM lineitem
@@ -275,17 +277,35 @@ ORACLE_SQL: dict[str, str] = {
     "report_by_dropoff_date": _taxi_by_month("dropoff_date_sk"),
     "report_bike_by_start_station": _bike_by_station("start"),
     "report_bike_by_end_station": _bike_by_station("end"),
-    "entity_run_append": f"{ORDERS_FIRST} UNION ALL {ORDERS_NEWEST}",
+    "entity_run_append": f"""
+        SELECT *, TRUE AS key_holds, COUNT(*) OVER () AS different_keys
+        FROM (SELECT *, TRUE AS from_first_run FROM ({ORDERS_FIRST}) AS a
+            UNION ALL SELECT *, FALSE FROM ({ORDERS_NEWEST}) AS b) AS runs""",
     "entity_run_merge": f"""
         SELECT *, o_orderkey IN (SELECT o_orderkey FROM orders) AS known, TRUE AS key_holds
         FROM ({ORDERS_NEWEST}) AS newest""",
-    "incremental_merge": ORDERS_NEWEST,
+    "entity_run_custom": f"""
+        SELECT *, o_totalprice > 100000 AS dear, TRUE AS from_first_run, TRUE AS key_holds,
+            COUNT(*) OVER () AS different_keys
+        FROM ({ORDERS_NEWEST.replace("AS loads)", "AS loads WHERE o_orderstatus = 'F')")}) AS newest""",
+    "incremental_merge": f"""
+        SELECT *, o_orderkey IN (SELECT o_orderkey FROM orders) AS from_first_run, TRUE AS key_holds,
+            COUNT(*) OVER () AS different_keys
+        FROM ({ORDERS_NEWEST}) AS newest""",
     "gold_star_build": _days(
         TAXI_DAYS + BIKE_DAYS + WEATHER_DAYS,
         f"SELECT date_sk, altimeter FROM ({WEATHER_FACT}) AS f",
         BIKE_SQL,
         TAXI_SQL,
     ),
+    "gold_rides_by_station": f"""
+        SELECT 'ride' AS kind, s.station_id, s.station_name, t.part_of_day, COUNT(*) AS n
+        FROM ({BIKE_FACT}) AS f LEFT JOIN ({BIKE_STATIONS}) AS s ON f.start_station_sk = s.station_sk
+        LEFT JOIN ({TIMES}) AS t ON f.start_time_sk = t.time_sk GROUP BY ALL
+        UNION ALL
+        SELECT 'observation', s.station_id, s.station_name, t.part_of_day, COUNT(*)
+        FROM ({WEATHER_FACT}) AS f LEFT JOIN ({WEATHER_STATIONS}) AS s ON f.station_sk = s.station_sk
+        LEFT JOIN ({TIMES}) AS t ON f.time_sk = t.time_sk GROUP BY ALL""",
     "whole_run": _days(
         TAXI_DAYS
         + (_day_of("started_at", BIKE_SQL), _day_of("ended_at", LATER_RIDES))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stratiform.operators.merge import check_merge_columns, check_single_match, upsert
 from stratiform.spec import EntitySpec
-from stratiform.workspace import remove_path
+from stratiform.workspace import remove_path, stage, staging_scope
 
 DEFAULT_FORMAT = "parquet"
 
@@ -47,8 +47,10 @@ def replace_table(df: DataFrame, table: str, format: str = DEFAULT_FORMAT) -> No
     """Replace the whole content. `df` may read the table that is being replaced.
 
     The rows are written to a new folder and the table is pointed at it last, so readers see the old or
-    the new content, and a failed job leaves the table as it was. The old folder stays for readers still
-    using it until `drop_old_versions`.
+    the new content, and a failed job leaves the table as it was. Where the columns change, the new
+    definition is created under another name and the two names are swapped: between the two renames the
+    name is briefly missing, but the old table is there under its other name and is put back if the second
+    fails. The old folder stays for readers still using it until `drop_old_versions`.
     """
     spark = df.sparkSession
     if format in ROW_LEVEL_FORMATS:
@@ -63,10 +65,26 @@ def replace_table(df: DataFrame, table: str, format: str = DEFAULT_FORMAT) -> No
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             spark.catalog.refreshTable(table)
             return
-        spark.sql(f"DROP TABLE {table}")
+        _swap_definition(spark, table, path, format, df)
+        return
     spark.catalog.createTable(table, path=path, source=format, schema=df.schema)
 
 
+def _swap_definition(spark: SparkSession, table: str, path: str, format: str, df: DataFrame) -> None:
+    mark = uuid.uuid4().hex[:12]
+    new, old = f"{table}__new_{mark}", f"{table}__old_{mark}"
+    spark.catalog.createTable(new, path=path, source=format, schema=df.schema)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
+    spark.catalog.refreshTable(table)
+
+
 def drop_old_versions(spark: SparkSession, table: str) -> int:
     """Remove the folders a replaced or merged table no longer uses; returns how many.
 
@@ -91,8 +109,13 @@ def merge_table(
     newest_by: Sequence[str] = (),
     source_is_unique: bool = False,
     format: str = DEFAULT_FORMAT,
+    source_is_written: bool = False,
 ) -> None:
-    """Upsert into `table`; the first merge creates it. Matched rows keep their surrogate key."""
+    """Upsert into `table`; the first merge creates it. Matched rows keep their surrogate key.
+
+    The source is read several times, so unless it is a scan of something written it is staged first: it
+    is evaluated once, and one evaluation decides what is updated and what is inserted.
+    """
     if not keys:
         raise ValueError("a merge needs at least one key column")
     spark = source.sparkSession
@@ -100,11 +123,13 @@ def merge_table(
         append_table(source, table, format)
         return
     provider = _detail(spark, table, "Provider").lower()
-    if provider in ROW_LEVEL_FORMATS:
-        _merge_row_level(source, table, keys, surrogate_key, newest_by, source_is_unique)
-        return
-    merged = upsert(spark.table(table), source, keys, surrogate_key, newest_by, source_is_unique)
-    replace_table(merged, table, provider)
+    with staging_scope(spark):
+        written = source if source_is_written else stage(source, "merge_source")
+        if provider in ROW_LEVEL_FORMATS:
+            _merge_row_level(written, table, keys, surrogate_key, newest_by, source_is_unique)
+            return
+        merged = upsert(spark.table(table), written, keys, surrogate_key, newest_by, source_is_unique)
+        replace_table(merged, table, provider)
 
 
 def _merge_row_level(
@@ -116,7 +141,7 @@ def _merge_row_level(
     source_is_unique: bool,
 ) -> None:
     target = source.sparkSession.table(table)
-    check_merge_columns(target, source, keys)
+    check_merge_columns(target, source, keys, newest_by, surrogate_key)
     if not source_is_unique:
         check_single_match(target, source, keys)
     match = reduce(and_, (F.col(f"{table}.{k}") == F.col(f"source.{k}") for k in keys))
@@ -138,9 +163,11 @@ def _write_append(df: DataFrame, spec: EntitySpec) -> None:
 
 
 def _write_merge(df: DataFrame, spec: EntitySpec) -> None:
-    # The default transform leaves one row per business key; any other transform is checked.
-    unique = spec.custom_transform == "default"
-    merge_table(df, spec.destination, spec.business_key, spec.surrogate_key, source_is_unique=unique)
+    # The default transform leaves one written row per business key; any other is staged and checked.
+    default = spec.custom_transform == "default"
+    merge_table(
+        df, spec.destination, spec.business_key, spec.surrogate_key, source_is_unique=default, source_is_written=default
+    )
 
 
 # The load types entity specifications use.

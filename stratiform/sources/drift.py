@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from stratiform.operators.shape import override_present_types
 from stratiform.sources.files import list_files, open_filesystem
+from stratiform.workspace import stage
 
 # Fixed value: the footer entry in which Spark keeps its own schema.
 _SPARK_SCHEMA_ENTRY = b"org.apache.spark.sql.parquet.row.metadata"
 
 _FOOTERS_PER_TASK = 64
+_PARQUET_FILES = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 
 
 def _footer_schemas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -33,18 +35,30 @@ def _footer_schemas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def group_by_layout(spark: SparkSession, root: str) -> list[list[str]]:
-    """Paths of the Parquet files below `root`, grouped by physical schema.
+    """Folders and files that hold the Parquet files below `root`, grouped by physical schema.
 
-    Tasks read the footers. Like any file scan, the driver ends up holding the list of paths.
+    Tasks read the footers. A folder whose files share one schema is named as a whole; single files reach
+    the driver only from folders where schemas mix, or that have folders with files inside.
     """
     files = list_files(spark, root, ".parquet").select("path")
     tasks = max(1, -(-files.count() // _FOOTERS_PER_TASK))
     described = files.repartition(tasks).mapInArrow(_footer_schemas, "path string, layout string")
     # A layout is hashed so that long schemas are not repeated on the driver for every file.
-    rows = described.select("path", F.sha2("layout", 256).alias("layout")).collect()
+    placed = stage(
+        described.select("path", F.sha2("layout", 256).alias("layout"), F.regexp_replace("path", "/[^/]*$", "").alias("folder")),
+        "layouts",
+    )
+    folders = placed.groupBy("folder").agg(F.min("layout").alias("first"), F.max("layout").alias("last")).collect()
+    above = {"/".join(r["folder"].split("/")[:n]) for r in folders for n in range(1, r["folder"].count("/") + 1)}
+    whole = {r["folder"]: r["first"] for r in folders if r["first"] == r["last"] and r["folder"] not in above}
+    rest = [r["folder"] for r in folders if r["folder"] not in whole]
     groups: dict[str, list[str]] = {}
-    for row in sorted(rows):
-        groups.setdefault(row["layout"], []).append(row["path"])
+    for folder, layout in sorted(whole.items()):
+        groups.setdefault(layout, []).append(folder)
+    if rest:
+        chosen = F.broadcast(spark.createDataFrame([(f,) for f in rest], "folder string"))
+        for row in sorted(placed.join(chosen, "folder", "left_semi").select("path", "layout").collect()):
+            groups.setdefault(row["layout"], []).append(row["path"])
     return list(groups.values())
 
 
@@ -67,7 +81,9 @@ def read_drifting_parquet(
         raise FileNotFoundError(f"no Parquet files in {root}")
     scans = [
         override_present_types(
-            spark.read.options(**(options or {})).option("basePath", root).parquet(*paths), types, strict
+            spark.read.options(**{"pathGlobFilter": _PARQUET_FILES, **(options or {})}).option("basePath", root).parquet(*paths),
+            types,
+            strict,
         )
         for paths in groups
     ]

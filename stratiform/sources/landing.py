@@ -54,8 +54,16 @@ def land_batch(
     return folder
 
 
-def _write_zips(df: DataFrame, folder: str) -> None:
-    """One archive with one CSV member per partition, streamed batch by batch."""
+def land_archive(df: DataFrame, folder: str, name: str, member: str) -> None:
+    """Write the rows into the members `member` of the archives `name`.zip, one folder per partition below `folder`."""
+    _write_zips(df, folder, name, member)
+
+
+def _write_zips(df: DataFrame, folder: str, fixed_name: str = "", fixed_member: str = "") -> None:
+    """One archive with one CSV member per partition, streamed batch by batch.
+
+    With a fixed name, archives are told apart by a folder for each partition.
+    """
     batch_id = uuid.uuid4().hex
     folder = qualified(df.sparkSession, folder)
 
@@ -65,10 +73,12 @@ def _write_zips(df: DataFrame, folder: str) -> None:
             return
         filesystem, path = open_filesystem(folder)
         name = f"part-{TaskContext.get().partitionId():05d}-{batch_id}"
+        if fixed_name:
+            path, name = f"{path}/{name[:10]}", fixed_name
         with (
             write_file(filesystem, path, f"{name}.zip") as raw,
             zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive,
-            archive.open(f"{name}.csv", "w", force_zip64=True) as member,
+            archive.open(fixed_member or f"{name}.csv", "w", force_zip64=True) as member,
         ):
             for batch in chain([first], batches):
                 pa_csv.write_csv(batch, member, pa_csv.WriteOptions(include_header=batch is first))

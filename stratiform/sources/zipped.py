@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import shutil
 import zipfile
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from stratiform.sources.files import list_files, open_filesystem, write_file
 from stratiform.workspace import new_path, qualified, stage
 
 _COPY_BYTES = 8 * 1024 * 1024
+_TASK_BYTES = 256 * 1024 * 1024
+_MOST_TASKS = 10_000
+_ARCHIVES_PER_TASK = 16
 
 
 def _hidden(member: str) -> bool:
@@ -27,26 +33,46 @@ def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             filesystem, path = open_filesystem(uri)
             with filesystem.open_input_file(path) as raw, zipfile.ZipFile(raw) as archive:
                 rows += [
-                    {"path": uri, "member": entry.filename}
+                    {"path": uri, "member": entry.filename, "size": entry.file_size}
                     for entry in archive.infolist()
                     if not entry.is_dir() and not _hidden(entry.filename)
                 ]
-        yield pa.RecordBatch.from_pylist(rows, pa.schema({"path": pa.string(), "member": pa.string()}))
+        schema = pa.schema({"path": pa.string(), "member": pa.string(), "size": pa.int64()})
+        yield pa.RecordBatch.from_pylist(rows, schema)
 
 
-def _partition_folders(uri: str) -> str:
-    return "/".join(level for level in uri.split("/")[:-1] if "=" in level)
+def staged_place(root: str, uri: str, member: str) -> tuple[str, str]:
+    """Folder and file name, below the staging folder, of a member of the archive at `uri`.
+
+    The folder has the Hive levels between `root` and the archive, and no others. The name holds a hash of
+    the whole path below `root` and the member, so equal names in different folders stay apart.
+    """
+    below = uri.removeprefix(root).strip("/")
+    levels = [level for level in below.split("/")[:-1] if "=" in level]
+    mark = hashlib.sha256(f"{below}\0{member}".encode()).hexdigest()[:32]
+    return "/".join(levels), f"{mark}-{member.rsplit('/', 1)[-1]}"
+
+
+def pack_by_bytes(members: DataFrame, cores: int) -> DataFrame:
+    """`members` (path, member, size) dealt out to tasks of about equal bytes, one member at least.
+
+    One row per member passes through one task for the running sum; contents do not.
+    """
+    total, count = members.agg(F.sum(F.col("size") + 1), F.count("*")).first()
+    share = max(math.ceil(total / _MOST_TASKS), min(_TASK_BYTES, math.ceil(total / max(1, cores))))
+    before = F.sum(F.col("size") + 1).over(Window.orderBy("path", "member").rowsBetween(Window.unboundedPreceding, -1))
+    dealt = members.withColumn("task", F.floor(F.coalesce(before, F.lit(0)) / share))
+    return dealt.repartitionByRange(min(count, math.ceil(total / share)), "task").drop("task")
 
 
-def _extract_into(staging: str):
+def _extract_into(staging: str, root: str):
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target_fs, target_root = open_filesystem(staging)
         for batch in batches:
             written = []
             for row in batch.to_pylist():
-                folder = f"{target_root}/{_partition_folders(row['path'])}".rstrip("/")
-                archive_name = row["path"].rsplit("/", 1)[-1]
-                name = f"{archive_name}__{row['member'].replace('/', '__')}"
+                levels, name = staged_place(root, row["path"], row["member"])
+                folder = f"{target_root}/{levels}".rstrip("/")
                 source_fs, path = open_filesystem(row["path"])
                 with source_fs.open_input_file(path) as raw, zipfile.ZipFile(raw) as archive:
                     with archive.open(row["member"]) as member, write_file(target_fs, folder, name) as out:
@@ -60,17 +86,19 @@ def _extract_into(staging: str):
 def read_zip_csv(spark: SparkSession, root: str, options: Mapping[str, str] | None = None) -> DataFrame:
     """Unpack all archives below `root` and read the members as CSV with the given reader options.
 
-    Tasks unpack one archive member each, as a stream, into the shared folder under the same Hive
-    folders. The text read back from there splits, so one huge member does not stay in one task.
+    Tasks unpack archive members, packed by their unpacked size, as streams into the shared folder under
+    the same Hive folders. The text read back from there splits, so one huge member does not stay in one task.
     """
     archives = list_files(spark, root, ".zip").select("path")
     count = archives.count()
     if not count:
         raise FileNotFoundError(f"no zip archives in {root}")
-    members = stage(archives.repartition(count).mapInArrow(_list_members, "path string, member string"))
+    listing = archives.repartition(min(_MOST_TASKS, math.ceil(count / _ARCHIVES_PER_TASK)))
+    members = stage(listing.mapInArrow(_list_members, "path string, member string, size long"))
     total = members.count()
     if not total:
         raise FileNotFoundError(f"the archives in {root} are empty")
     staging = qualified(spark, new_path(spark, "unzipped"))
-    members.repartition(total).mapInArrow(_extract_into(staging), "written string").count()
+    packed = pack_by_bytes(members, spark.sparkContext.defaultParallelism)
+    packed.mapInArrow(_extract_into(staging, qualified(spark, root)), "written string").count()
     return spark.read.options(**(options or {})).csv(staging)

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratiform.operators.dedupe import orderable
 from stratiform.operators.shape import project
 from stratiform.plans.silver import transform_entity
-from stratiform.sinks.tables import merge_table
+from stratiform.sinks.tables import merge_table, table_exists
 from stratiform.sources.readers import source_path
 from stratiform.spec import RECENCY_COLUMNS, EntitySpec
 from stratiform.workspace import staging_scope
@@ -31,22 +32,35 @@ def merge_new_loads(spark: SparkSession, spec: EntitySpec, checkpoint: str, root
         raise ValueError("only merged entities can be loaded incrementally")
 
     path = source_path(spec, root)
-    layout = spark.read.format(spec.format).options(**spec.options).load(path).schema
-    loads = spark.readStream.format(spec.format).options(**spec.options).schema(layout).load(path)
+    # Every Parquet load has a say in the schema, so a column that a later load brings arrives; text whose
+    # header does not name the columns read so far raises instead of shifting them.
+    whole = {"mergeSchema": "true"} if spec.format == "parquet" else {}
+    checked = {"enforceSchema": "false"} if spec.format == "csv" and str(spec.options.get("header")).lower() == "true" else {}
+    layout = spark.read.format(spec.format).options(**{**spec.options, **whole}).load(path).schema
+    loads = spark.readStream.format(spec.format).options(**{**spec.options, **checked}).schema(layout).load(path)
 
     def merge(batch: DataFrame, _: int) -> None:
         with staging_scope(spark):
             rows = transform_entity(project(batch, spec.projected_columns), spec)
-            content = [c for c in rows.columns if c not in (*RECENCY_COLUMNS, *spec.business_key, spec.surrogate_key)]
+            content = [
+                f.name
+                for f in rows.schema.fields
+                if f.name not in (*RECENCY_COLUMNS, *spec.business_key, spec.surrogate_key) and orderable(f.dataType)
+            ]
+            default = spec.custom_transform == "default"
             merge_table(
                 rows,
                 spec.destination,
                 spec.business_key,
                 spec.surrogate_key,
                 newest_by=[*RECENCY_COLUMNS, *content],
-                source_is_unique=spec.custom_transform == "default",
+                source_is_unique=default,
+                source_is_written=default,
             )
 
     loads.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(
         availableNow=True
     ).start().awaitTermination()
+    if table_exists(spark, spec.destination):
+        # Batches run in a session of their own; this one may still know the table as it was.
+        spark.catalog.refreshTable(spec.destination)

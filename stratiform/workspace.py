@@ -1,14 +1,13 @@
 """Shared scratch space: where intermediate tables are written between jobs.
 
 Everything lives below the folder the cluster names in ``spark.checkpoint.dir``, so what was staged
-outlives any executor. A folder of our own is used only by a local session that names none.
+outlives any executor. A session that names none stages in its warehouse, where managed tables live already.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -20,12 +19,7 @@ _open_scope: ContextVar[list[str] | None] = ContextVar("stratiform_staged_paths"
 def shared_root(spark: SparkSession) -> str:
     """The shared folder of this session."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stratiform-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged").rstrip("/")
 
 
 def new_path(spark: SparkSession, purpose: str) -> str:
@@ -60,6 +54,14 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
             remove_path(spark, path)
 
 
+def fresh_name(columns: Sequence[str], name: str) -> str:
+    """`name`, with underscores in front until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The full URI of a path as Spark understands it, for code that opens it without Spark."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

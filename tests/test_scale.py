@@ -93,6 +93,9 @@ def test_hot_key_reaches_the_shuffle_once_per_task(spark, hot_facts):
         "k", "filler", "'s' AS segment", "2024 AS year", "1 AS month", "1 AS day", "cast(hash(filler) AS bigint) AS load"
     )
     newest = keep_newest(rows, ["k"])
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange hashpartitioning(k")
+    assert "WindowGroupLimit" in plan[exchange:] and "Partial" in plan[exchange:]
     assert newest.count() == rows.select("k").distinct().count()
     best = rows.filter("k = 'hot'").agg(F.max("load")).first()[0]
     assert newest.filter("k = 'hot'").first()["load"] == best
