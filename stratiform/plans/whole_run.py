@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratiform.plans.gold import build_gold
 from stratiform.plans.silver import run_entities
+from stratiform.sinks.tables import drop_old_versions
 from stratiform.spec import EntitySpec
 
 # The silver tables gold is built from.
@@ -21,9 +22,17 @@ def run_all(
     landings: Iterable[Callable[[], object]] = (),
     silver_schema: str = "dbo",
     gold_schema: str = "gold",
+    drop_old: bool = False,
 ) -> dict[str, DataFrame]:
+    """`drop_old` removes, after success, the versions of tables that merges and rebuilds no longer use."""
+    specs = list(specs)
     for land in landings:
         land()
     run_entities(spark, specs, root)
     taxi, bike, weather = (spark.table(f"{silver_schema}.{name}") for name in SILVER_TABLES)
-    return build_gold(spark, taxi, bike, weather, gold_schema)
+    star = build_gold(spark, taxi, bike, weather, gold_schema)
+    if drop_old:
+        merged = [s.destination for s in specs if s.load_type == "merge"]
+        for table in (*merged, *(f"{gold_schema}.{name}" for name in star)):
+            drop_old_versions(spark, table)
+    return star
