@@ -17,7 +17,6 @@ from dataclasses import dataclass
 from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -74,8 +73,9 @@ class Model:
     step: np.ndarray
     emit: dict[str, np.ndarray]
 
-    def scores(self, features: dict[str, np.ndarray]) -> np.ndarray:
-        return sum(self.emit[name][features[name]] for name in FEATURES)
+    def scores(self, codes: np.ndarray) -> np.ndarray:
+        """Of lines whose feature values are the columns of `codes`."""
+        return sum(self.emit[name][values] for name, values in zip(FEATURES, codes, strict=True))
 
 
 def train(lines: DataFrame, conversation: str = "conv_id", turn: str = "turn", text: str = "text", role: str = "role") -> Model:
@@ -152,8 +152,14 @@ def link_blocks(matrices: list[np.ndarray], model: Model) -> list[tuple[np.ndarr
 
 
 def in_blocks(lines: DataFrame, model: Model, block: int) -> DataFrame:
-    """The sorted lines with block number, place in the block and, on a block's last line, its matrix."""
-    schema = T.StructType([*lines.schema.fields]).add("part", "long").add("block", "long").add("place", "long").add("matrix", T.ArrayType(T.DoubleType()))
+    """The sorted lines with block number and place in the block; a block's last line has its matrix and codes.
+
+    The codes are the feature values of all lines of the block, a byte each, so that a block can be decoded
+    without bringing its lines together again.
+    """
+    schema = T.StructType([*lines.schema.fields])
+    for name, kind in (("part", "long"), ("block", "long"), ("place", "long"), ("matrix", T.ArrayType(T.DoubleType())), ("codes", "binary")):
+        schema = schema.add(name, kind)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -163,13 +169,14 @@ def in_blocks(lines: DataFrame, model: Model, block: int) -> DataFrame:
 
         def flush() -> Iterator[pa.RecordBatch]:
             whole = pa.Table.from_batches(waiting).combine_chunks()
-            scores = emissions(whole, model)
-            matrix = [None] * (size - 1) + [block_matrix(scores, model.step).ravel().tolist()]
+            codes = np.stack([whole.column(name).to_numpy() for name in FEATURES]).astype(np.int8)
+            matrix = [None] * (size - 1) + [block_matrix(model.scores(codes), model.step).ravel().tolist()]
             for name, values, kind in (
                 ("part", np.full(size, part), pa.int64()),
                 ("block", np.full(size, number), pa.int64()),
                 ("place", np.arange(size), pa.int64()),
                 ("matrix", matrix, pa.list_(pa.float64())),
+                ("codes", [None] * (size - 1) + [codes.tobytes()], pa.binary()),
             ):
                 whole = whole.append_column(name, pa.array(values, kind))
             yield from whole.to_batches()
@@ -195,10 +202,6 @@ def in_blocks(lines: DataFrame, model: Model, block: int) -> DataFrame:
     return lines.mapInArrow(cut, schema)
 
 
-def emissions(rows: pa.Table, model: Model) -> np.ndarray:
-    return model.scores({name: rows.column(name).to_numpy() for name in FEATURES})
-
-
 def recover_roles(
     lines: DataFrame, model: Model, conversation: str = "conv_id", turn: str = "turn", text: str = "text", keep: list[str] | None = None, block: int = BLOCK
 ) -> DataFrame:
@@ -228,57 +231,68 @@ def recover_roles(
     blocked = stage(in_blocks(lines_in_order, model, block), "lines")
     blocks = blocked.where("matrix is not null").select("conversation", "part", "block", (F.col("place") + 1).alias("size"), "matrix")
 
-    def link(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["part", "block"])
-        linked = link_blocks([np.array(m).reshape(len(ROLES), -1) for m in frame["matrix"]], model)
-        return pd.DataFrame(
-            {
-                "p": frame["part"].to_numpy(),
-                "k": frame["block"].to_numpy(),
-                "offset": frame["size"].cumsum().to_numpy() - frame["size"].to_numpy(),
-                "entry": [e.tolist() for e, _, _ in linked],
-                "last": [r for _, r, _ in linked],
-                "before": [r for _, _, r in linked],
-            }
-        )
-
-    links = blocks.groupBy("conversation").applyInPandas(link, "p long, k long, offset long, entry array<double>, last long, before long")
-    joined = blocked.drop("matrix").join(links, (F.col("part") == F.col("p")) & (F.col("block") == F.col("k")))
-    schema = "part long, block long, place long, state long, change long"
-
-    def decode(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("place")
-        one = frame.iloc[0]
-        scores = model.scores({name: frame[name].to_numpy() for name in FEATURES})
-        roles, _ = viterbi(np.array(one["entry"]), scores, model.step, int(one["last"]))
-        return pd.DataFrame(
-            {
-                "part": frame["part"].to_numpy(), "block": frame["block"].to_numpy(), "place": frame["place"].to_numpy(),
-                "state": roles, "change": (roles != np.concatenate([[one["before"]], roles[:-1]])).astype(np.int64),
-            }
-        )
-
-    decoded = joined.select("part", "block", "place", "entry", "last", "before", *FEATURES).groupBy("part", "block").applyInPandas(decode, schema)
-    decoded = stage(decoded, "roles")
-    in_block = Window.partitionBy("part", "block").orderBy("place")
-    turns = decoded.groupBy("part", "block").agg(F.sum("change").alias("turns"))
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = ["conversation", "part", "block", "size", "matrix"]
+        rows = (r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in columns), strict=True))
+        out: list[tuple] = []
+        for _, own in groupby(rows, key=lambda r: r[0]):
+            of = list(own)
+            linked = link_blocks([np.array(r[4]).reshape(len(ROLES), -1) for r in of], model)
+            offset = 0
+            for (_, part, number, size, _), (entry, last, before) in zip(of, linked, strict=True):
+                out.append((part, number, offset, entry.tolist(), last, before))
+                offset += size
+            if len(out) > 5000:
+                yield link_batch(out)
+                out = []
+        if out:
+            yield link_batch(out)
+
+    def link_batch(out: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.int64(), pa.int64()]
+        arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, ["p", "k", "offset", "entry", "last", "before"])
+
+    chained = blocks.repartition("conversation").sortWithinPartitions("conversation", "part", "block")
+    links = stage(chained.mapInArrow(link, "p long, k long, offset long, entry array<double>, last long, before long"), "links")
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            states, changes = [], []
+            for codes, entry, last, before in zip(*(batch.column(c).to_pylist() for c in ("codes", "entry", "last", "before")), strict=True):
+                own = np.frombuffer(codes, np.int8).reshape(len(FEATURES), -1)
+                roles, _ = viterbi(np.array(entry), model.scores(own), model.step, last)
+                states.append(roles.tolist())
+                changes.append(np.cumsum(roles != np.concatenate([[before], roles[:-1]])).tolist())
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (states, changes)]
+            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("block"), *lists], ["part", "block", "states", "changes"])
+
+    coded = blocked.where("matrix is not null").select("part", "block", "codes")
+    coded = coded.join(links, (F.col("part") == F.col("p")) & (F.col("block") == F.col("k"))).select("part", "block", "codes", "entry", "last", "before")
+    roles = coded.mapInArrow(decode, "part long, block long, states array<long>, changes array<long>")
+    roles = stage(roles, "roles")
+    turns = roles.select("part", "block", F.element_at("changes", -1).alias("turns"))
     so_far = Window.partitionBy("conversation").orderBy("part", "block").rowsBetween(Window.unboundedPreceding, -1)
-    chained = blocks.select("conversation", "part", "block").join(turns, ["part", "block"])
-    begun = chained.select("part", "block", F.coalesce(F.sum("turns").over(so_far), F.lit(0)).alias("begun"))
+    begun = blocks.select("conversation", "part", "block").join(turns, ["part", "block"])
+    begun = begun.select("part", "block", F.coalesce(F.sum("turns").over(so_far), F.lit(0)).alias("begun"))
+    pieces = roles.select("part", "block", F.posexplode(F.arrays_zip("states", "changes")).alias("place", "own"))
+    pieces = pieces.select("part", "block", F.col("place").cast("long").alias("place"), "own.states", "own.changes")
+    before = F.lag("changes", 1, 0).over(Window.partitionBy("part", "block").orderBy("place"))
+    pieces = pieces.withColumn("change", F.col("changes") - before)
     full = (
         blocked.select("row", "text", "part", "block", "place")
-        .join(decoded.withColumn("nth", F.sum("change").over(in_block)), ["part", "block", "place"])
+        .join(pieces, ["part", "block", "place"])
         .join(links.select(F.col("p").alias("part"), F.col("k").alias("block"), "offset"), ["part", "block"])
         .join(begun, ["part", "block"])
     )
-    role = F.get(F.array(*map(F.lit, ROLES)), F.col("state").cast("int"))
+    role = F.get(F.array(*map(F.lit, ROLES)), F.col("states").cast("int"))
     header = F.when(F.col("change") == 1, F.concat(F.lit("<|"), role, F.lit("|>\n"))).otherwise("")
     derived = ["position", "turn_no", "recovered_role", "rendered"]
     kept = [c for c in keep if c not in derived]
     return full.select(
         *(F.col("row").getField(c).alias(c) for c in kept),
         (F.col("offset") + F.col("place")).alias("position"),
-        (F.col("begun") + F.col("nth") - 1).alias("turn_no"),
+        (F.col("begun") + F.col("changes") - 1).alias("turn_no"),
         role.alias("recovered_role"),
         F.concat(header, without_marker(F.col("text")), F.lit("\n")).alias("rendered"),
     )

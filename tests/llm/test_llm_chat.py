@@ -47,7 +47,7 @@ def test_blocks_give_one_pass_of_viterbi(spark, block):
     assert len(got) == len(LINES)
     for conversation, own in in_order(LINES).items():
         features = chat.with_features(spark.createDataFrame(own, SCHEMA).coalesce(1)).toPandas()
-        roles, _ = chat.viterbi(m.start, m.scores({n: features[n].to_numpy() for n in chat.FEATURES}), m.step)
+        roles, _ = chat.viterbi(m.start, m.scores(features[list(chat.FEATURES)].to_numpy().T), m.step)
         mine = sorted((r for r in got if r["conv_id"] == conversation), key=lambda r: r["position"])
         assert [r["position"] for r in mine] == list(range(len(own)))
         assert [r["recovered_role"] for r in mine] == [chat.ROLES[k] for k in roles]
