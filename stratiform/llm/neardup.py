@@ -4,8 +4,8 @@
    bucketed by that key, and every later join with texts reuses the buckets.
 2. Shingles get a global order, rare ones first. The frequency of a shingle is that of its slot in a counter
    table of bounded size; any order gives right results, a good one gives few candidates.
-3. Nodes that share a band of minimum hashes are verified against the smallest of them. These links already
-   connect most near copies; nodes that link with a centre form its cluster, so a huge group of near copies
+3. Nodes that share a band of minimum hashes are verified against four of them. These links already connect
+   most near copies; nodes that link with a centre form its cluster, so a huge group of near copies
    is one entry from here on, not a clique, and nothing that is connected is compared again.
 4. The first fifth of each ordered set, enough to meet every partner's, is dealt out by shingle. Clusters
    that share a prefix shingle and can reach the overlap by length and position become candidates.
@@ -149,13 +149,18 @@ def similarity_pairs(pairs: DataFrame, texts: DataFrame, classes: object) -> Dat
 
 
 def band_links(nodes: DataFrame, texts: DataFrame, classes: object) -> DataFrame:
-    """Verified links (a, b, nb, distance, added) of nodes b with the smallest node a of each of their bands.
+    """Verified links (a, b, nb, distance, added), a < b, of nodes with four nodes of each of their bands.
 
-    `added` is how many shingles b has that a has not.
+    The four are the first and last by key and by a hash of it, so that a group whose members hardly link
+    with one of them is still connected by the others. `added` is how many shingles b has that a has not.
     """
     banded = nodes.select("no", F.posexplode(F.array(*BANDS)).alias("band", "key"))
-    hubs = banded.groupBy("band", "key").agg(F.min("no").alias("hub"), F.count("*").alias("size")).where("size > 1").drop("size")
-    pairs = banded.join(hubs, ["band", "key"]).where("no <> hub").select(F.col("hub").alias("a"), F.col("no").alias("b")).distinct()
+    hashed = F.struct(F.xxhash64("no").alias("h"), "no")
+    hubs = banded.groupBy("band", "key").agg(
+        F.array(F.min("no"), F.max("no"), F.min(hashed)["no"], F.max(hashed)["no"]).alias("hubs"), F.count("*").alias("size")
+    )
+    near = banded.join(hubs.where("size > 1").drop("size"), ["band", "key"]).select("no", F.explode(F.array_distinct("hubs")).alias("hub"))
+    pairs = near.where("no <> hub").select(F.least("no", "hub").alias("a"), F.greatest("no", "hub").alias("b")).distinct()
     checked = similarity_pairs(pairs.withColumn("least", F.lit(SIMILAR)), texts, classes)
     return stage(checked.where("linked").select("a", "b", "nb", "distance", (F.col("nb") - F.col("overlap")).alias("added")), "band_links")
 
