@@ -5,12 +5,16 @@ import subprocess
 import sys
 from collections import Counter, defaultdict
 
+import duckdb
+import pytest
+
 import corpus_pipeline
 import test_llm_decontaminate as decontaminate
 import test_llm_mixing as mixing
 import test_llm_neardup as neardup
 from stratiform.llm import quality
 from stratiform.llm.common import table
+from stratiform.llm.queries import ORACLE_SQL, QUERIES
 from stratiform.workspace import stage
 
 SF = "/root/testdata/sf0.001"
@@ -60,6 +64,17 @@ def test_every_stage_does_what_brute_force_does(spark):
     assert max(load.values()) - sum(load.values()) / 40 <= max(r["size"] for r in sharded)
 
 
+@pytest.mark.parametrize("name", list(ORACLE_SQL))
+def test_query_equals_its_sql(spark, name):
+    db = duckdb.connect()
+    for own in ("documents", "benchmark"):
+        db.execute(f"CREATE VIEW {own} AS SELECT * FROM read_parquet('{SF}/{own}.parquet')")
+    found, relation = QUERIES[name](spark, SF), db.sql(ORACLE_SQL[name])
+    assert sorted(found.columns) == sorted(relation.columns)
+    names = ", ".join(sorted(relation.columns))
+    assert sorted(map(repr, map(tuple, found.select(*sorted(found.columns)).collect()))) == sorted(map(repr, db.sql(f"SELECT {names} FROM relation").fetchall()))
+
+
 def test_run_applies_all_stages(spark):
     assert corpus_pipeline.run(spark, SF).columns[-1] == "grown_shard"
 
