@@ -1,14 +1,16 @@
 """Quality rules: hashed n-gram log-likelihood ratio of a trusted target against the raw corpus.
 
 Tokens (what white space parts, ASCII punctuation apart) and pairs of them are hashed into `BUCKETS` slots.
-Over trusted documents (a bounded number of those labelled good) and over the whole corpus, two smoothed
+Over all trusted documents (those labelled good) and over the whole corpus, two smoothed
 multinomials are counted; the logarithm of their ratio is the weight of a slot, and the score of a document
 is the mean weight of its n-grams. A fixed threshold decides for every document. Before it, plain counts
 decide: few words, or many repeats.
 
-Only DataFrame functions are used. Counting adds up in each task, so at most `BUCKETS` rows per task are
-shuffled; the weights, `BUCKETS` numbers, are a constant of the scoring plan. Everything about one document
-is computed inside its row, linear in its length but for one sort.
+Only DataFrame functions are used. Documents are reduced to their slots and both multinomials counted in one
+pass. Good ids that fit `BROADCAST_BYTES` are broadcast, and counting adds up in each task, so at most
+`BUCKETS` rows per task are shuffled; beyond that, ids and slots (two bytes each) are, never texts. The
+weights, `BUCKETS` numbers, are a constant of the scoring plan. Everything about one document is computed
+inside its row, linear in its length but for one sort.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.llm.common import field, set_aside, set_back, settled, table
+from stratiform.operators.lookup import broadcast_if_small
 from stratiform.workspace import stage
 
 BUCKETS = 10_000
@@ -29,8 +32,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 MARKS = r"[!-/:-@\[-^`{-~]+"
 SYMBOLS = r"[#*$%&|<>]"
-#: So many documents at most make up the trusted target: those with the smallest id hashes.
-MAX_TRUSTED = 20_000
+#: Good ids are broadcast up to this size, measured; more of them meet the slots of the documents in a shuffle.
+BROADCAST_BYTES = 16 << 20
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 DERIVED = [*MEASURES, "base_failed", "score", "kept"]
 
@@ -140,17 +143,30 @@ def apply_rules(
     return judged.select(*set_back(keep, DERIVED), *DERIVED)
 
 
-def trusted_documents(docs: DataFrame, labels: DataFrame, most: int = MAX_TRUSTED) -> DataFrame:
-    """Documents that the labels call good, of at most `most` ids, which are broadcast."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    some = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.join(F.broadcast(some), "doc_id", "left_semi")
+def good_ids(labels: DataFrame) -> DataFrame:
+    """The ids that the labels call good, each once."""
+    return labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+
+
+def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """All documents that the labels call good."""
+    return docs.join(good_ids(labels), "doc_id", "left_semi")
+
+
+def corpus_and_trusted(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """slot, raw and target: n-grams of all documents and of all trusted ones, from one pass over the texts."""
+    good = broadcast_if_small(stage(good_ids(labels), "good_ids"), limit_bytes).withColumn("good", F.lit(1))
+    narrow = "array<smallint>" if buckets <= 1 << 15 else "array<int>"
+    reduced = with_slots(docs.select("doc_id", "text"), "text", "slots", buckets).select("doc_id", F.col("slots").cast(narrow).alias("slots"))
+    each = reduced.join(good, "doc_id", "left").select("good", F.explode("slots").alias("slot"))
+    return each.withColumn("slot", F.col("slot").cast("int")).groupBy("slot").agg(F.count("*").alias("raw"), F.count("good").alias("target"))
 
 
 def op8_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base verdict and verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    trusted = trusted_documents(docs, table(spark, sf_dir, "labels"))
-    weights = stage(ratio_weights(multinomial(docs, BUCKETS), multinomial(trusted, BUCKETS)), "ratio_weights")
+    both = stage(corpus_and_trusted(docs, table(spark, sf_dir, "labels")), "slot_counts")
+    corpus, trusted = (both.select("slot", F.col(side).alias("n")) for side in ("raw", "target"))
+    weights = stage(ratio_weights(corpus, trusted), "ratio_weights")
     judged = apply_rules(docs, weights, keep=["doc_id"])
     return judged.select("doc_id", *MEASURES, "base_failed", "kept", "score")

@@ -62,3 +62,18 @@ def test_empty_tables(spark):
     assert weights.first()["weights"] == [0.0] * 5
     assert rules.apply_rules(frame, weights, buckets=5).count() == 0
     assert rules.trusted_documents(frame, spark.createDataFrame([(None, 1)], "doc_id long, quality int")).count() == 0
+
+
+def test_every_trusted_document_counts(spark):
+    """More good documents than any fixed number that was once taken, broadcast and shuffled alike."""
+    n = 20_100
+    docs = spark.range(n).select(F.when(F.col("id") < n - 2, F.col("id")).alias("doc_id"), F.concat_ws(" ", F.lit("w"), F.col("id") % 7).alias("text"))
+    docs = docs.union(docs.where("doc_id = 5"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    labels = labels.union(labels.limit(50)).union(spark.sql("select cast(null as long), 1")).union(spark.sql("select 0L, 0"))
+    for limit in (rules.BROADCAST_BYTES, 0):
+        rows = rules.corpus_and_trusted(docs, labels, 64, limit).collect()
+        trusted = {r["slot"]: r["n"] for r in rules.multinomial(rules.trusted_documents(docs, labels), 64).collect()}
+        assert sum(r["raw"] for r in rows) == 3 * (n + 1) and sum(r["target"] for r in rows) == 3 * (n - 1)
+        assert {r["slot"]: r["target"] for r in rows if r["target"]} == trusted
+        assert {r["slot"]: r["raw"] for r in rows} == {r["slot"]: r["n"] for r in rules.multinomial(docs, 64).collect()}
