@@ -1,11 +1,12 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-Candidates are runs of at least `LEAST_LENGTH` token characters with a digit. The forest sees length,
+Candidates are runs of at least `LEAST_LENGTH` token characters with a digit, and behind a secret's name and
+its assignment sign the value, whatever its length and characters. The forest sees length,
 transitions between character classes, character statistics, how much of the candidate is made of dictionary
 words, the path of the document and the words around. It is trained from labelled findings: a table of
 (text before, candidate, text after, path, label), or, where none is given, findings of the scanned
-documents that fixed rules can label (an assignment to a secret's name or a known key format; a plain
-number, a host or mail name, a digest with its name).
+documents that fixed rules can label (a value with a digit or in quotes that is assigned to a secret's name,
+or a known key format; a call or stand-in assigned so, a plain number, a host or mail name, a digest with its name).
 
 Only DataFrame and ML pipeline functions are used. Scanning and scoring are narrow; training takes at most
 `MAX_TRAINING` findings, those with the smallest hashes, so its cost does not grow with the corpus.
@@ -27,7 +28,6 @@ CONTEXT = 60
 MAX_TRAINING = 20_000
 TREES, DEPTH, SEED = 30, 8, 11
 CUT = 0.5
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{" + str(LEAST_LENGTH) + r",}+"
 
 #: Names that stand before a secret, before something harmless, and words that tokens of code are made of.
 SECRET_NAMES = ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "api-key", "auth", "credential", "bearer", "private")
@@ -39,9 +39,35 @@ DICTIONARY = (
 )
 KEY_FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|[sr]k_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})$"
 
+# What is proposed, tried in this order at every place:
+# 1. behind a secret's name and its assignment sign, the value, however short and whatever it is made of (in
+#    quotes also several words, unless a token of kind 2 is among them),
+# 2. a run of at least `LEAST_LENGTH` token characters with a digit, '=' only as its padding,
+# 3. such a run with '=' anywhere that holds none of the others.
+# Look-behinds and look-aheads are bounded or stay in one run or line, the cheap ones first.
+CLASS = "[A-Za-z0-9+/_-]"
+LONG = "(?=[A-Za-z+/_-]*[0-9])" + CLASS + "{" + str(LEAST_LENGTH) + ",}+"
+TOKEN = "(?<!" + CLASS + ")" + LONG + "(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+NAMES = "(?i:" + "|".join(SECRET_NAMES) + ")[A-Za-z0-9_-]{0,24}"
+SIGN = "(?::=|=>|[:=])"
+BEHIND_SIGN = "(?<=[:=> \\t\"'`])(?<=[:=>][ \\t]{0,4}[\"'`]?)"
+NAMED = "(?<=" + NAMES + "[\"'`]?[ \\t]{0,4}" + SIGN + "[ \\t]{0,4}[\"'`]?)"
+BARE = r"[^\s\"'`,;&<>(){}\[\]]"
+# Without quotes: up to a blank, bracket or quote, or a separator with another field or nothing behind it; not a
+# whole address that has fields itself.
+PLAIN = "(?!" + BARE + r"*[?&][\w.-]+=)(?![=:])" + BARE + r"++(?:[,;&](?![\w.-]*[=:])" + BARE + "++){0,50}+"
+# In quotes: up to the same quote.
+QUOTED = "|".join(f"(?<={q})(?=[^{q}\\r\\n]+{q})(?!(?=[^{q}\\r\\n]*[ \\t])[^{q}\\r\\n]*{TOKEN})[^{q}\\r\\n]++" for q in "\"'`")
+VALUE = BEHIND_SIGN + NAMED + "(?:" + QUOTED + "|" + PLAIN + ")"
+INSIDE = "[A-Za-z0-9+/_=-]*=(?:" + LONG + "|(?<=" + NAMES + "=)" + CLASS + ")"
+MIXED = "(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?!" + INSIDE + ")[A-Za-z0-9+/_=-]{" + str(LEAST_LENGTH) + ",}+"
+CANDIDATE = VALUE + "|" + TOKEN + "|" + MIXED
+
 # The words of HARMLESS_NAMES count for the features as whole words; so do those of SECRET_NAMES, which may
 # be followed by an assignment.
-ASSIGNED = r"(?:" + "|".join(SECRET_NAMES) + r")[a-z_-]*[\"']?\s*(?:[:=]|:=|=>)\s*[\"']?$"
+ASSIGNED = r"(?:" + "|".join(SECRET_NAMES) + r")[a-z0-9_-]*[\"'`]?\s*(?:[:=]|:=|=>)\s*[\"'`]?$"
+#: Values that only stand for one: code, placeholders, words about a secret.
+STAND_INS = r"^(?:none|null|nil|true|false|undefined|string|str|text|bytes|int|any|optional|\$.*|%.*|\*+|x+|\.+)$"
 NAMED_HARMLESS = r"\b(?:" + "|".join(HARMLESS_NAMES) + r")\w*\W{0,3}$"
 FEATURES = [
     "length", "transitions", "distinct", "entropy", "digits", "uppers", "lowers", "others", "hexadecimal", "only_digits",
@@ -62,7 +88,10 @@ def candidates(docs: DataFrame, text: str, path: str | None, keep: list[str]) ->
     kept = [f"_kept{i}" for i in range(len(keep))]
     # What stands between the candidates, cut to the context before anything is exploded.
     pieces = F.split("body", CANDIDATE, -1)
-    around = F.transform(pieces, lambda p: F.struct(F.right(p, F.lit(CONTEXT)).alias("before"), F.left(p, F.lit(CONTEXT)).alias("after")))
+    tail = lambda value: F.right(value, F.lit(CONTEXT))
+    # A candidate may be the name that the next one is assigned to, so it belongs to what stands before that.
+    before = lambda p, i: tail(F.concat(F.coalesce(tail(F.get("found", i - 1)), F.lit("")), tail(p)))
+    around = F.transform(pieces, lambda p, i: F.struct(before(p, i).alias("before"), F.left(p, F.lit(CONTEXT)).alias("after")))
     cut = found.withColumn("around", around).drop("body")
     each = cut.select(*kept, "path", "around", F.posexplode("found").alias("nth", "candidate"))
     return each.select(
@@ -99,7 +128,7 @@ def with_features(found: DataFrame) -> DataFrame:
         (covered / F.col("_n")).alias("dictionary"),
         flag(before.rlike("|".join(SECRET_NAMES))).alias("secret_near"),
         flag(before.rlike(NAMED_HARMLESS)).alias("harmless_near"),
-        flag(before.rlike(r"[:=]\s*[\"']?$")).alias("assigned"),
+        flag(before.rlike(r"[:=]>?\s*[\"'`]?$")).alias("assigned"),
         flag(before.rlike("[\"'`]$") & after.rlike("^[\"'`]")).alias("quoted"),
         flag(before.rlike("@[a-z0-9.]*$") | after.rlike(r"^(@|\.[a-z])")).alias("mail_like"),
         flag(before.rlike(r"(://|/|\\|\.)$") | c.contains("/")).alias("path_like"),
@@ -111,10 +140,13 @@ def with_features(found: DataFrame) -> DataFrame:
 def rule_label() -> Column:
     """1, 0, or null where no rule applies: the label of a finding that fixed rules can tell."""
     before, after, c = lower_ascii(F.col("before")), lower_ascii(F.col("after")), F.col("candidate")
+    quoted = before.rlike("[\"'`]$") & after.rlike("^[\"'`]")
     return (
         F.when(c.rlike(KEY_FORMATS), 1)
         .when(c.rlike("^[0-9]+$") | before.rlike(NAMED_HARMLESS) | before.rlike("@[a-z0-9.]*$") | after.rlike(r"^(@|\.[a-z])"), 0)
-        .when(before.rlike(ASSIGNED), 1)
+        .when(before.rlike(ASSIGNED) & (lower_ascii(c).rlike(STAND_INS) | (after.rlike(r"^[(\[{]") & ~quoted)), 0)
+        .when(before.rlike(ASSIGNED) & (c.rlike("[0-9]") | quoted), 1)
+        .when(before.rlike(ASSIGNED), None)
         .when(before.rlike(r"(^|\s)$") & after.rlike(r"^(\s|$)") & c.rlike("^[A-Za-z]+[0-9]{1,4}$"), 0)
     )
 

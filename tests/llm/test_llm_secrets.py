@@ -42,3 +42,36 @@ def test_one_label_only_and_empty_table(spark):
     frame = spark.createDataFrame([(1, "token = \"" + "ab12" * 10 + '"', None, None)], SCHEMA)
     assert [r["secret"] for r in secrets.scan_secrets(frame).collect()] == [True]
     assert secrets.scan_secrets(frame.limit(0)).count() == 0
+
+
+def test_assigned_values_are_candidates_of_their_own(spark):
+    key, hexed = "ghp_" + "a1B2c3" * 6, "24be" * 8
+    cases = [
+        (f"API_TOKEN={key}", key), (f"export AWS_SECRET_KEY_2024={key}\n", key), (f"https://h.io/a?x=1&access_token={hexed}&y=2", hexed),
+        (f"https://h.io/cb?token={hexed}", hexed), ("DB_PASSWORD=p@ss!w0rd.9", "p@ss!w0rd.9"), ('password = "hunter2hunter2"', "hunter2hunter2"), ("pwd: 'abc'", "abc"),
+        ('password = "correct horse battery staple"', "correct horse battery staple"), (f'auth: "Bearer {hexed}"', hexed), ("secret=QUJDREVGR0hJSktMTU4x==", "QUJDREVGR0hJSktMTU4x=="),
+        ('password = "it\'s a&b;c1"', "it's a&b;c1"), ("PASSWORD=a1&b,c?d", "a1&b,c?d"), ("f(password=abc1,user=x)", "abc1"), (f"auth_url=https://h.io/?access_token={hexed}&y=1", hexed),
+        ('{"api_key": "s3cr3t"}', "s3cr3t"), ("password=", None), ("a password is kept", None), ("status=200", None),
+    ]
+    frame = spark.createDataFrame([(i, text, None, None) for i, (text, _) in enumerate(cases)], SCHEMA)
+    found = secrets.candidates(frame, "text", None, ["doc_id"])
+    rows = found.select("*", secrets.rule_label().alias("label")).collect()
+    for i, (text, want) in enumerate(cases):
+        own = {r["candidate"]: r["label"] for r in rows if r["_kept0"] == i}
+        assert (want in own and text not in own) if want else not own, (text, own)
+        if want and "Bearer" not in text:
+            assert own[want] == 1, (text, own)
+
+
+def test_forest_finds_short_and_assigned_secrets(spark):
+    lines = []
+    for i in range(300):
+        digest = hashlib.sha1(str(i).encode()).hexdigest()
+        lines += [f"API_TOKEN={digest}", f"https://h.io/{i % 7}?access_token={digest[:32]}&z=1", f'password = "{digest[:9]}"', f"see commit {digest} there", f"call {int(digest, 16) % 10**16:016d} now", f"token = get_{digest[:3]}(user)"]
+    frame = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(lines)], SCHEMA).repartition(2)
+    got = {}
+    for r in secrets.scan_secrets(frame, keep=["doc_id"]).collect():
+        got.setdefault(r["doc_id"] % 6, []).append((r["length"], r["secret"]))
+    for kind, length, secret in ((0, 40, True), (1, 32, True), (2, 9, True), (3, 40, False), (4, 16, False), (5, 7, False)):
+        assert len(got[kind]) == 300 and {n for n, _ in got[kind]} == {length}
+        assert sum(s == secret for _, s in got[kind]) > 290
