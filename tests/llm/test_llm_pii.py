@@ -53,6 +53,24 @@ def test_added_kinds_need_checksum_or_context():
     assert pii.scan("é a.b@c.de")[0][1:3] == (2, 10)
 
 
+@pytest.mark.parametrize("iban", ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"])
+def test_ibans_end_where_they_end(iban):
+    spans = lambda text: [text[a:b] for kind, a, b, _ in pii.scan(text) if kind == "iban"]
+    for behind in ("", " ok", " BIC COBADEFFXXX", " BIC COBADEFF", " 50 EUR", " 1250 EUR", " EUR", " A", " 2024", ", 50", "\nBIC"):
+        for before in ("IBAN ", "REF AB12 ", "ZZ99 AB12 IBAN "):
+            assert spans(before + iban + behind) == [iban]
+    assert spans(f"{iban} {iban}") == [iban, iban]
+    assert spans(iban[:-1] + ("1" if iban[-1] != "1" else "2") + " BIC COBADEFF") == []
+    assert spans(iban + "X") == []
+
+
+def test_ibans_of_other_countries():
+    rest = "ABCD 1234 5678 9012"
+    check = next(c for c in range(2, 99) if pii.mod97(f"QQ{c:02}{rest}".replace(" ", "")))
+    iban = f"QQ{check:02} {rest}"
+    assert [s[:3] for s in pii.scan(f"{iban} ok") if s[0] == "iban"] == [("iban", 0, len(iban))]
+
+
 def test_long_texts_stay_linear():
     for text in ("1" * 300_000, "a" * 300_000 + "@", "1." * 200_000, "+1" + " " * 300_000, "@a" * 100_000, "A1 " * 100_000):
         pii.scan(text)
