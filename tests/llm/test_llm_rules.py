@@ -71,9 +71,18 @@ def test_every_trusted_document_counts(spark):
     docs = docs.union(docs.where("doc_id = 5"))
     labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
     labels = labels.union(labels.limit(50)).union(spark.sql("select cast(null as long), 1")).union(spark.sql("select 0L, 0"))
-    for limit in (rules.BROADCAST_BYTES, 0):
-        rows = rules.corpus_and_trusted(docs, labels, 64, limit).collect()
-        trusted = {r["slot"]: r["n"] for r in rules.multinomial(rules.trusted_documents(docs, labels), 64).collect()}
-        assert sum(r["raw"] for r in rows) == 3 * (n + 1) and sum(r["target"] for r in rows) == 3 * (n - 1)
-        assert {r["slot"]: r["target"] for r in rows if r["target"]} == trusted
-        assert {r["slot"]: r["raw"] for r in rows} == {r["slot"]: r["n"] for r in rules.multinomial(docs, 64).collect()}
+    own = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for key in own:
+        spark.conf.set(key, "-1")
+    try:
+        for limit in (rules.BROADCAST_BYTES, 0):
+            counts = rules.corpus_and_trusted(docs, labels, 64, limit)
+            rows = counts.collect()
+            assert ("SortMergeJoin" in counts._jdf.queryExecution().executedPlan().toString()) == (limit == 0)
+            trusted = {r["slot"]: r["n"] for r in rules.multinomial(rules.trusted_documents(docs, labels), 64).collect()}
+            assert sum(r["raw"] for r in rows) == 3 * (n + 1) and sum(r["target"] for r in rows) == 3 * (n - 1)
+            assert {r["slot"]: r["target"] for r in rows if r["target"]} == trusted
+            assert {r["slot"]: r["raw"] for r in rows} == {r["slot"]: r["n"] for r in rules.multinomial(docs, 64).collect()}
+    finally:
+        for key in own:
+            spark.conf.unset(key)
