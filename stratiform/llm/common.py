@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratiform.workspace import new_path, staging_scope
+
 #: Text handled at once inside a task; a single longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
 
@@ -26,6 +28,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written_result(spark: SparkSession, purpose: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What `build` makes, written to the shared folder; all that was staged on the way is removed."""
+    path = new_path(spark, purpose)
+    with staging_scope(spark):
+        made = build()
+        made.write.parquet(path)
+        schema = made.schema
+    return spark.read.schema(schema).parquet(path)
+
+
 def lower_ascii(text: Column) -> Column:
     """Only A-Z are folded; `lower` would fold every alphabet."""
     return F.translate(text, UPPER, UPPER.lower())
