@@ -12,9 +12,9 @@ from stratiform.spec import LOAD_COLUMNS, RECENCY_COLUMNS
 from stratiform.workspace import fresh_name
 
 
-def dedupe_key(df: DataFrame, business_key: Sequence[str]) -> list[str]:
-    """The business key, or the whole row without its load columns where there is none."""
-    return list(business_key) or [c for c in df.columns if c not in LOAD_COLUMNS]
+def dedupe_key(df: DataFrame, business_key: Sequence[str], beside: Sequence[str] = ()) -> list[str]:
+    """The business key, or the whole row without its load columns and those of `beside` where there is none."""
+    return list(business_key) or [c for c in df.columns if c not in (*LOAD_COLUMNS, *beside)]
 
 
 def orderable(kind: T.DataType) -> bool:
@@ -26,14 +26,14 @@ def orderable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
-def keep_newest(df: DataFrame, business_key: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the one of the newest load. NULL keys count as equal.
+def keep_newest(df: DataFrame, business_key: Sequence[str] = (), beside: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the one of the newest load. NULL keys count as equal; columns of `beside` are no key.
 
     Equal loads are settled by the remaining columns, so a re-run picks the same row. Each task keeps
     one row per key before the shuffle (the optimizer turns the rank filter into a group limit on both
     sides of the exchange), so a key that fills a third of the input sends one row per task.
     """
-    key = dedupe_key(df, business_key)
+    key = dedupe_key(df, business_key, beside)
     ties = [f.name for f in df.schema.fields if f.name not in (*key, *RECENCY_COLUMNS) and orderable(f.dataType)]
     newest_first = [F.col(f"`{c}`").desc() for c in (*RECENCY_COLUMNS, *ties)]
     rank = F.row_number().over(Window.partitionBy(*[f"`{c}`" for c in key]).orderBy(*newest_first))

@@ -48,6 +48,11 @@ def override_present_types(df: DataFrame, types: Mapping[str, str], strict: bool
     return override_types(df, {n: t for n, t in types.items() if n in df.columns}, strict)
 
 
+def with_source_file(scan: DataFrame, name: str) -> DataFrame:
+    """Record in column `name` the file each row of a file scan comes from; no name, no column."""
+    return scan.select("*", F.col("_metadata.file_path").alias(name)) if name else scan
+
+
 def add_audit_columns(df: DataFrame, source: str) -> DataFrame:
     """Record when the rows were processed and where they came from."""
     return df.withColumns({"audit_timestamp": F.current_timestamp(), "audit_source": F.lit(source)})

@@ -19,6 +19,7 @@ from stratiform.plans.model import daily_sums, star_query, totals
 from stratiform.plans.silver import default_transform, register_transform, run_entity
 from stratiform.plans.whole_run import run_all
 from stratiform.sinks.tables import append_table, merge_table, replace_table
+from stratiform.sources.drift import read_drifting_parquet
 from stratiform.sources.landing import land_archive, land_batch
 from stratiform.sources.readers import read_source
 from stratiform.sources.registry import one_id_per_client
@@ -122,6 +123,42 @@ def src_schema_drift_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_source(spark, _spec("new_york_taxi", root, override_column_types=types))
 
 
+def src_mixed_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two layouts in one folder, read a few at a time."""
+    lines, root = feeds.table(spark, sf_dir, "lineitem"), new_path(spark, "bronze")
+    older = lines.withColumn("l_quantity", F.col("l_quantity").cast("int")).drop("l_linestatus")
+    newer = lines.withColumn("l_suppkey", F.col("l_suppkey").cast("double"))
+    for part in (older, newer):
+        land_batch(part.repartition(6, "l_orderkey"), root, "initial", FIRST_LOAD)
+    types = {"l_quantity": "double", "l_suppkey": "bigint"}
+    return read_drifting_parquet(spark, root, types, files_per_scan=5)
+
+
+def audit_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For rows of each format, the load folder and the ending of the file they name as their source."""
+    found = None
+    for format, name, key in (
+        ("parquet", "events", "event_id"),
+        ("csv", "orders", "o_orderkey"),
+        ("zip_csv", "customer", "c_custkey"),
+        ("new_york_taxi", "part", "p_partkey"),
+    ):
+        rows, root = feeds.table(spark, sf_dir, name), new_path(spark, "bronze")
+        landed, options = ("parquet" if format == "new_york_taxi" else format), {"header": "true"}
+        land_batch(rows, root, "initial", FIRST_LOAD, landed, options if format == "csv" else None)
+        land_batch(rows, root, "incremental", SECOND_LOAD, landed, options if format == "csv" else None)
+        spec = _spec(format, root, options=options if "csv" in format else {}, source_file_column="audit_file")
+        own = read_source(spark, spec).select(
+            F.lit(format).alias("format"),
+            F.col(key).cast("bigint").alias("id"),
+            F.regexp_extract("audit_file", r"/(segment=.*/load=[0-9]+)/", 1).alias("folder"),
+            F.regexp_extract("audit_file", r"(\.zip!)?[^.!/]*(\.[a-z]+)$", 1).alias("archive"),
+            F.regexp_extract("audit_file", r"\.[a-z]+$", 0).alias("ending"),
+        )
+        found = own if found is None else found.union(own)
+    return found
+
+
 def bronze_land_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_path(spark, "bronze")
     land_batch(feeds.table(spark, sf_dir, "customer"), root, "incremental", SECOND_LOAD)
@@ -204,6 +241,27 @@ def sink_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def sink_merge_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `sink_merge`, in a table kept in buckets, and then the last day's deliveries again with twice the
+    quantity. `rest_untouched` says that a row is in a bucket of those or still in the file it was in before."""
+    target, source = _target_and_source(spark, sf_dir)
+    name = f"{_new_database(spark)}.deliveries"
+    merge_table(target, name, DELIVERY_KEY, "delivery_sk", key_buckets=64)
+    merge_table(source, name, DELIVERY_KEY, "delivery_sk")
+    day = F.struct("year", "month", "day")
+    last = spark.table(name).agg(F.max(day).alias("last"))
+    again = spark.table(name).join(F.broadcast(last), day == F.col("last")).where("line_number IS NOT NULL")
+    again = stage(again.withColumn("quantity", F.col("quantity") * 2).drop("last"))
+    files = stage(spark.table(name).select(F.col("_metadata.file_path").alias("file")).distinct())
+    merge_table(again.drop("key_bucket"), name, DELIVERY_KEY, "delivery_sk")
+    touched = again.select(F.col("key_bucket").alias("touched")).distinct()
+    rows = spark.table(name).select("*", F.col("_metadata.file_path").alias("now"))
+    rows = rows.join(F.broadcast(touched), F.col("key_bucket") == F.col("touched"), "left")
+    rows = rows.join(files, F.col("now") == F.col("file"), "left")
+    rest = F.col("touched").isNotNull() | F.col("file").isNotNull()
+    return rows.withColumn("rest_untouched", rest).drop("touched", "file", "now", "key_bucket")
+
+
 def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, name = feeds.table(spark, sf_dir, "orders"), f"{_new_database(spark)}.orders"
     append_table(orders, name)
@@ -333,6 +391,14 @@ def report_by_dropoff_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _taxi_by_month(spark, sf_dir, use=["dropoff_date_sk"])
 
 
+def report_filtered_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card payments on working days of the first quarters, by year."""
+    where = {"dim_date.month": [1, 2, 3], "dim_date.day_of_week": (2, 6), "payment_type": 1}
+    star = _taxi_star(spark, sf_dir)
+    sums = star_query(star, "fact_taxi_trip", by=["dim_date.year", "dim_date.month"], where=where)
+    return _as_double(sums, *TAXI_AMOUNTS)
+
+
 def report_bike_by_start_station(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = ["dim_bike_station.station_name", "dim_time.part_of_day", "member_casual"]
     return star_query(_bike_star(spark, sf_dir), "fact_bike_trip", by=by)
@@ -390,19 +456,19 @@ def entity_run_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_key_facts(spark.table(spec.destination), first)
 
 
-def _with_key_facts(after: DataFrame, first: DataFrame) -> DataFrame:
+def _with_key_facts(after: DataFrame, first: DataFrame, key: str = "order_sk") -> DataFrame:
     """Instead of the key: whether it was there after the first run, else whether it lies above all of those,
     and how many different keys there are."""
-    keys = after.agg(F.countDistinct("order_sk")).first()[0]
+    keys = after.agg(F.countDistinct(key)).first()[0]
     highest = max_key(first, "first_sk")
-    marked = after.join(first, F.col("order_sk") == F.col("first_sk"), "left")
+    marked = after.join(first, F.col(key) == F.col("first_sk"), "left")
     return marked.withColumns(
         {
             "from_first_run": F.col("first_sk").isNotNull(),
-            "key_holds": F.col("first_sk").isNotNull() | (F.col("order_sk") > highest),
+            "key_holds": F.col("first_sk").isNotNull() | (F.col(key) > highest),
             "different_keys": F.lit(keys).cast("bigint"),
         }
-    ).drop("order_sk", "first_sk")
+    ).drop(key, "first_sk")
 
 
 def entity_run_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -431,6 +497,61 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_key_facts(spark.table(spec.destination), first)
 
 
+def _two_new_loads(spark: SparkSession, spec: EntitySpec, land_again: Callable[[], object]) -> DataFrame:
+    """Two incremental runs with a landing between them, and a third that finds nothing."""
+    checkpoint = new_path(spark, "progress")
+    merge_new_loads(spark, spec, checkpoint)
+    first = stage(spark.table(spec.destination).select(F.col(spec.surrogate_key).alias("first_sk")))
+    land_again()
+    merge_new_loads(spark, spec, checkpoint)
+    merge_new_loads(spark, spec, checkpoint)
+    return _with_key_facts(spark.table(spec.destination), first, spec.surrogate_key)
+
+
+def incremental_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides in zip archives, loaded as they arrive: later ones of electric bikes, some under new ids."""
+    rides, root = feeds.bike(spark, sf_dir).drop("ride_sk"), new_path(spark, "bronze")
+    later = rides.where("rideable_type = 'electric_bike'").withColumn("member_casual", F.lit("guest"))
+    renamed = F.when(F.col("start_station_id").isNull(), F.concat(F.lit("N"), "ride_id")).otherwise(F.col("ride_id"))
+    land_batch(rides, root, "initial", FIRST_LOAD, "zip_csv")
+    spec = EntitySpec(
+        format="zip_csv",
+        source=root,
+        options={"header": "true", "escape": '"'},
+        override_column_types={c: t for c, t in BIKE_TYPES.items() if c in rides.columns},
+        business_key=["ride_id"],
+        surrogate_key="ride_sk",
+        load_type="merge",
+        destination=f"{_new_database(spark)}.rides",
+        key_buckets=16,
+    )
+    again = lambda: land_batch(later.withColumn("ride_id", renamed), root, "incremental", SECOND_LOAD, "zip_csv")
+    return _two_new_loads(spark, spec, again).drop("key_bucket")
+
+
+def incremental_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in Parquet files whose types and columns differ between loads; the later one lacks the status."""
+    orders, root = feeds.table(spark, sf_dir, "orders"), new_path(spark, "bronze")
+    land_batch(orders.withColumn("o_totalprice", F.floor("o_totalprice")), root, "initial", FIRST_LOAD)
+    later = orders.where("o_orderstatus = 'F'").drop("o_orderstatus")
+    later = later.withColumns({"o_custkey": F.col("o_custkey").cast("double"), "o_note": F.lit("late")})
+    spec = replace(
+        _orders_spec(root, _new_database(spark), "merge"),
+        format="new_york_taxi",
+        override_column_types={"o_custkey": "bigint", "o_totalprice": "double"},
+    )
+    return _two_new_loads(spark, spec, lambda: land_batch(later, root, "incremental", SECOND_LOAD))
+
+
+def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appended loads, each once."""
+    root, deliver_again = _delivered_twice(spark, sf_dir)
+    spec = _orders_spec(root, _new_database(spark), "append")
+    found = _two_new_loads(spark, spec, deliver_again)
+    batches = found.agg(F.countDistinct("load_batch")).first()[0]
+    return found.withColumn("batches", F.lit(batches).cast("bigint")).drop("load_batch")
+
+
 def _finished_only(df: DataFrame, spec: EntitySpec) -> DataFrame:
     """A transform of a user's own: finished orders, with a price class, newest per key, numbered."""
     finished = df.where("o_orderstatus = 'F'").withColumn("dear", F.col("o_totalprice") > 100_000)
@@ -551,6 +672,8 @@ QUERIES: dict[str, Query] = {
         src_psv,
         src_zip_csv,
         src_schema_drift_union,
+        src_mixed_folder,
+        audit_source_files,
         bronze_land_batch,
         registry_by_client,
         silver_project_cast,
@@ -562,6 +685,7 @@ QUERIES: dict[str, Query] = {
         audit_columns,
         merge_upsert,
         sink_merge,
+        sink_merge_touched,
         sink_append,
         sink_overwrite,
         dim_date,
@@ -577,12 +701,16 @@ QUERIES: dict[str, Query] = {
         report_star_join,
         report_taxi_measures,
         report_by_dropoff_date,
+        report_filtered_star,
         report_bike_by_start_station,
         report_bike_by_end_station,
         entity_run_append,
         entity_run_merge,
         entity_run_custom,
         incremental_merge,
+        incremental_zip,
+        incremental_drift,
+        incremental_append,
         gold_star_build,
         gold_rides_by_station,
         whole_run,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stratiform.functions.calendar import date_key, is_weekend, part_of_day, seconds_between, time_key
 from stratiform.operators.lookup import lookup_keys
 from stratiform.operators.numbering import number_rows
+from stratiform.plans.at_once import AT_ONCE, run_at_once
 from stratiform.sinks.tables import replace_table
 from stratiform.workspace import staging_scope
 
@@ -168,33 +169,37 @@ def fact_weather_observation(observations: DataFrame, stations: DataFrame) -> Da
 
 
 def build_gold(
-    spark: SparkSession, taxi: DataFrame, bike: DataFrame, weather: DataFrame, schema: str = "gold"
+    spark: SparkSession,
+    taxi: DataFrame,
+    bike: DataFrame,
+    weather: DataFrame,
+    schema: str = "gold",
+    at_once: int = AT_ONCE,
 ) -> dict[str, DataFrame]:
-    """Rebuild the whole star: dimensions first, then facts against the dimensions as written.
+    """Rebuild the whole star: tables that do not need each other at the same time, facts with looked-up keys
+    against the dimensions as written.
 
-    Station keys are ranks and change between builds, so facts are always rebuilt with them. What is staged
-    on the way is removed afterwards.
+    Station keys are ranks and change between builds, so facts are always rebuilt with them. The first failure
+    stops the build. What is staged on the way is removed afterwards.
     """
-    with staging_scope(spark):
-        return _build_gold(spark, taxi, bike, weather, schema)
-
 
-def _build_gold(
-    spark: SparkSession, taxi: DataFrame, bike: DataFrame, weather: DataFrame, schema: str
-) -> dict[str, DataFrame]:
-    def publish(name: str, df: DataFrame) -> DataFrame:
-        replace_table(df, f"{schema}.{name}")
-        return spark.table(f"{schema}.{name}")
-
-    gold = {
-        "dim_date": publish("dim_date", silver_dates(taxi, bike, weather)),
-        "dim_time": publish("dim_time", dim_time(spark)),
-        "dim_bike_station": publish("dim_bike_station", dim_bike_station(bike)),
-        "dim_weather_station": publish("dim_weather_station", dim_weather_station(weather)),
+    def publish(name: str, build: Callable[[dict], DataFrame]) -> Callable[[dict], DataFrame]:
+        def run(done: dict) -> DataFrame:
+            replace_table(build(done), f"{schema}.{name}")
+            return spark.table(f"{schema}.{name}")
+
+        return run
+
+    builders = {
+        "dim_date": lambda done: silver_dates(taxi, bike, weather),
+        "dim_time": lambda done: dim_time(spark),
+        "dim_bike_station": lambda done: dim_bike_station(bike),
+        "dim_weather_station": lambda done: dim_weather_station(weather),
+        "fact_taxi_trip": lambda done: fact_taxi_trip(taxi),
+        "fact_bike_trip": lambda done: fact_bike_trip(bike, done["dim_bike_station"]),
+        "fact_weather_observation": lambda done: fact_weather_observation(weather, done["dim_weather_station"]),
     }
-    gold["fact_taxi_trip"] = publish("fact_taxi_trip", fact_taxi_trip(taxi))
-    gold["fact_bike_trip"] = publish("fact_bike_trip", fact_bike_trip(bike, gold["dim_bike_station"]))
-    gold["fact_weather_observation"] = publish(
-        "fact_weather_observation", fact_weather_observation(weather, gold["dim_weather_station"])
-    )
-    return gold
+    after = {"fact_bike_trip": ["dim_bike_station"], "fact_weather_observation": ["dim_weather_station"]}
+    with staging_scope(spark):
+        built = run_at_once(spark, {name: publish(name, build) for name, build in builders.items()}, after, at_once)
+    return {name: built[name] for name in builders}

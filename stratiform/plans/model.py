@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratiform.operators.lookup import broadcast_if_small
+
 
 @dataclass(frozen=True)
 class Relationship:
@@ -67,18 +71,62 @@ def relationship_for(fact: str, dimension: str, use: Sequence[str] = ()) -> Rela
     return chosen[0]
 
 
+def condition(column: Column, wanted: object) -> Column:
+    """Whether a column has the wanted value, one of a list, or one within a tuple (from, to)."""
+    if isinstance(wanted, tuple):
+        low, high = wanted
+        ends = [column >= F.lit(low)] * (low is not None) + [column <= F.lit(high)] * (high is not None)
+        return reduce(and_, ends, column.isNotNull())
+    if isinstance(wanted, (list, set, frozenset)):
+        chosen = column.isin([v for v in wanted if v is not None])
+        return chosen | column.isNull() if None in wanted else chosen
+    return column.isNull() if wanted is None else column == F.lit(wanted)
+
+
+def selected_facts(tables: Mapping[str, DataFrame], fact: str, where: Mapping[str, object], use: Sequence[str] = ()) -> DataFrame:
+    """The facts that meet `where` ("dimension.column" or a column of the fact -> wanted values).
+
+    Conditions on one dimension are put to it first. Its chosen keys then select the facts by a semi join, for
+    which they are broadcast if measured to fit: where the fact is partitioned by the key, Spark prunes its
+    partitions by them at run time. Their smallest and largest are put to the fact's scan as well, which skips
+    row groups outside.
+    """
+    facts = tables[fact]
+    by_dimension: dict[str, dict[str, object]] = {}
+    for attribute, wanted in where.items():
+        table, column = attribute.split(".", 1) if "." in attribute else (fact, attribute)
+        by_dimension.setdefault(table, {})[column] = wanted
+    for column, wanted in by_dimension.pop(fact, {}).items():
+        facts = facts.where(condition(F.col(column), wanted))
+    for dimension, wanted in by_dimension.items():
+        path = relationship_for(fact, dimension, use)
+        chosen = tables[dimension].where(reduce(and_, (condition(F.col(c), w) for c, w in wanted.items())))
+        keys = chosen.select(F.col(path.key).alias("_key")).where("_key IS NOT NULL").distinct()
+        low, high = keys.agg(F.min("_key"), F.max("_key")).first()
+        if low is None:
+            return facts.limit(0)
+        facts = facts.where(F.col(path.column).between(low, high))
+        facts = facts.join(broadcast_if_small(keys), F.col(path.column) == F.col("_key"), "left_semi")
+    return facts
+
+
 def star_query(
     tables: Mapping[str, DataFrame],
     fact: str,
     measures: Sequence[str] | None = None,
     by: Sequence[str] = (),
     use: Sequence[str] = (),
+    where: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Sums of measures by attributes ("dimension.column" or a column of the fact).
 
     `use` names fact columns of inactive relationships to follow instead of the active ones. Facts
     without a dimension row form the NULL group; groups whose sums are all NULL are left out.
 
+    `where` keeps the facts whose attributes have the given values: a single value (None for NULL), a list of
+    values, or a tuple (from, to) whose ends both count and may be None. A dimension's attributes select its
+    keys, and only facts with one of those are read on; see `selected_facts`.
+
     The fact is summed by the keys it holds before anything is joined, so the fact itself is never
     shuffled row by row, a hot key collapses inside each task, and the joins see one row per key.
     """
@@ -93,7 +141,8 @@ def star_query(
     own = [column for table, column in attributes if table == fact]
 
     held = list(dict.fromkeys([p.column for p in paths.values()] + own))
-    result = tables[fact].groupBy(*held).agg(*[F.sum(m).alias(m) for m in measures])
+    facts = selected_facts(tables, fact, where, use) if where else tables[fact]
+    result = facts.groupBy(*held).agg(*[F.sum(m).alias(m) for m in measures])
     if dimensions:
         for dimension, path in paths.items():
             wanted = list(dict.fromkeys(c for d, c in attributes if d == dimension))

@@ -7,6 +7,9 @@ from stratiform.plans.feeds import BIKE_SQL, DELIVERIES_SQL, TAXI_SQL, WEATHER_S
 FIRST = "'initial' AS segment, 2024 AS year, 1 AS month, 31 AS day, CAST(83015000001 AS BIGINT) AS load"
 SECOND = "'incremental' AS segment, 2024 AS year, 2 AS month, 1 AS day, CAST(70002000500 AS BIGINT) AS load"
 
+FIRST_FOLDER = "segment=initial/year=2024/month=01/day=31/load=083015000001"
+SECOND_FOLDER = "segment=incremental/year=2024/month=02/day=01/load=070002000500"
+
 NEWEST = "year DESC, month DESC, day DESC, load DESC"
 DELIVERY_TIES = (
     "part_key DESC, supplier_key DESC, quantity DESC NULLS LAST, price DESC NULLS LAST, "
@@ -220,6 +223,19 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
             l_returnflag, l_linestatus, l_shipdate, l_returnflag, {SECOND} FROM lineitem""",
+    "src_mixed_folder": f"""
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+            l_returnflag, NULL AS l_linestatus, l_shipdate, {FIRST} FROM lineitem
+        UNION ALL
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+            l_returnflag, l_linestatus, l_shipdate, {FIRST} FROM lineitem""",
+    "audit_source_files": f"""
+        SELECT format, id, folder, archive, ending FROM (
+            SELECT 'parquet' AS format, event_id AS id, '' AS archive, '.parquet' AS ending FROM events
+            UNION ALL SELECT 'csv', o_orderkey, '', '.csv' FROM orders
+            UNION ALL SELECT 'zip_csv', c_custkey, '.zip!', '.csv' FROM customer
+            UNION ALL SELECT 'new_york_taxi', p_partkey, '', '.parquet' FROM part) AS landed,
+            (VALUES ('{FIRST_FOLDER}'), ('{SECOND_FOLDER}')) AS loads(folder)""",
     "bronze_land_batch": f"SELECT *, {SECOND} FROM customer",
     "registry_by_client": """
         SELECT o_custkey AS ClientGUID, MAX(o_orderkey) AS RandomUniqueId FROM orders GROUP BY o_custkey""",
@@ -250,6 +266,11 @@ ORACLE_SQL: dict[str, str] = {
     "audit_columns": "SELECT *, 'documents' AS audit_source, TRUE AS is_timed FROM documents",
     "merge_upsert": MERGE,
     "sink_merge": MERGE,
+    "sink_merge_touched": f"""
+        SELECT * REPLACE (CASE WHEN line_number IS NOT NULL AND (year, month, day) = (
+                SELECT MAX((year, month, day)) FROM ({MERGE}) AS last) THEN quantity * 2 ELSE quantity END AS quantity),
+            TRUE AS rest_untouched
+        FROM ({MERGE}) AS merged""",
     "sink_append": "SELECT * FROM orders UNION ALL SELECT * REPLACE ('X' AS o_orderstatus) FROM orders",
     "sink_overwrite": "SELECT * REPLACE (CAST(p_size + 1 AS INTEGER) AS p_size) FROM part",
     "dim_date": _dates(*TAXI_DAYS, *BIKE_DAYS, *WEATHER_DAYS),
@@ -275,6 +296,11 @@ ORACLE_SQL: dict[str, str] = {
         GROUP BY s.station_name, d.is_weekend, t.part_of_day""",
     "report_taxi_measures": _taxi_by_month("pickup_date_sk"),
     "report_by_dropoff_date": _taxi_by_month("dropoff_date_sk"),
+    "report_filtered_star": f"""
+        SELECT d.year, d.month, {TAXI_SUMS} FROM ({TAXI_FACT}) AS f
+        JOIN ({_dates(*TAXI_DAYS)}) AS d ON f.pickup_date_sk = d.date_sk
+        WHERE d.month IN (1, 2, 3) AND d.day_of_week BETWEEN 2 AND 6 AND f.payment_type = 1
+        GROUP BY d.year, d.month""",
     "report_bike_by_start_station": _bike_by_station("start"),
     "report_bike_by_end_station": _bike_by_station("end"),
     "entity_run_append": f"""
@@ -292,6 +318,30 @@ ORACLE_SQL: dict[str, str] = {
         SELECT *, o_orderkey IN (SELECT o_orderkey FROM orders) AS from_first_run, TRUE AS key_holds,
             COUNT(*) OVER () AS different_keys
         FROM ({ORDERS_NEWEST}) AS newest""",
+    "incremental_zip": f"""
+        SELECT *, COUNT(*) OVER () AS different_keys FROM (
+            SELECT * EXCLUDE (ride_sk, again) REPLACE (CASE WHEN again THEN 'guest' ELSE member_casual END AS member_casual),
+                CASE WHEN again THEN 'incremental' ELSE 'initial' END AS segment, 2024 AS year,
+                CASE WHEN again THEN 2 ELSE 1 END AS month, CASE WHEN again THEN 1 ELSE 31 END AS day,
+                CASE WHEN again THEN CAST(70002000500 AS BIGINT) ELSE CAST(83015000001 AS BIGINT) END AS load,
+                TRUE AS from_first_run, TRUE AS key_holds
+            FROM (SELECT *, rideable_type = 'electric_bike' AND start_station_id IS NOT NULL AS again FROM ({BIKE_SQL}) AS r) AS s
+            UNION ALL
+            SELECT * EXCLUDE (ride_sk) REPLACE ('guest' AS member_casual, concat('N', ride_id) AS ride_id), {SECOND},
+                FALSE, TRUE
+            FROM ({BIKE_SQL}) AS n WHERE rideable_type = 'electric_bike' AND start_station_id IS NULL) AS rides""",
+    "incremental_drift": f"""
+        SELECT *, COUNT(*) OVER () AS different_keys FROM (
+            SELECT o_orderkey, o_custkey, o_orderstatus, CAST(floor(o_totalprice) AS DOUBLE) AS o_totalprice, {FIRST},
+                TRUE AS from_first_run, TRUE AS key_holds
+            FROM orders WHERE o_orderstatus <> 'F'
+            UNION ALL
+            SELECT o_orderkey, o_custkey, NULL, o_totalprice, {SECOND}, TRUE, TRUE FROM orders WHERE o_orderstatus = 'F'
+        ) AS loads""",
+    "incremental_append": f"""
+        SELECT *, TRUE AS key_holds, COUNT(*) OVER () AS different_keys, CAST(2 AS BIGINT) AS batches
+        FROM (SELECT *, TRUE AS from_first_run FROM ({ORDERS_FIRST}) AS a
+            UNION ALL SELECT *, FALSE FROM ({ORDERS_SECOND}) AS b) AS runs""",
     "gold_star_build": _days(
         TAXI_DAYS + BIKE_DAYS + WEATHER_DAYS,
         f"SELECT date_sk, altimeter FROM ({WEATHER_FACT}) AS f",

@@ -24,7 +24,7 @@ def default_transform(df: DataFrame, spec: EntitySpec) -> DataFrame:
     """Casts, then the newest row per key, then a surrogate key above those in use."""
     spark = df.sparkSession
     typed = override_types(df, spec.override_column_types, spec.strict_casts)
-    newest = keep_newest(typed, spec.business_key)
+    newest = keep_newest(typed, spec.business_key, beside=[spec.source_file_column])
     used = max_key(spark.table(spec.destination), spec.surrogate_key) if table_exists(spark, spec.destination) else 0
     return number_rows(newest, spec.surrogate_key, after=used)
 
@@ -47,7 +47,7 @@ def run_entity(spark: SparkSession, spec: EntitySpec, root: str = "") -> None:
     log.info("entity %s: start", spec.destination)
     try:
         with staging_scope(spark):
-            bronze = project(read_source(spark, spec, root), spec.projected_columns)
+            bronze = project(read_source(spark, spec, root), spec.kept_columns())
             write_entity(transform_entity(bronze, spec), spec)
     except Exception:
         log.exception("entity %s: failed", spec.destination)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import logging
 import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
@@ -9,13 +11,23 @@ from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratiform.operators.merge import check_merge_columns, check_single_match, upsert
+from stratiform.operators.merge import as_target_types, check_merge_columns, check_single_match, upsert
 from stratiform.spec import EntitySpec
-from stratiform.workspace import remove_path, stage, staging_scope
+from stratiform.workspace import keep_path, new_path, remove_path, stage, staging_scope
+
+log = logging.getLogger(__name__)
 
 DEFAULT_FORMAT = "parquet"
 
+#: Partition column of tables whose merges rewrite only the buckets they touch, and of tables appended by batch.
+KEY_BUCKET = "key_bucket"
+LOAD_BATCH = "load_batch"
+
+# Table properties that say how rows are dealt to buckets.
+_BUCKET_COUNT, _BUCKET_KEYS = "stratiform.key_buckets", "stratiform.bucket_keys"
+
 # Table formats whose catalogs carry out a row-level MERGE themselves.
 ROW_LEVEL_FORMATS = ("delta", "iceberg")
 
@@ -43,6 +55,60 @@ def append_table(df: DataFrame, table: str, format: str = DEFAULT_FORMAT) -> Non
     writer.saveAsTable(table)
 
 
+def append_batch(df: DataFrame, table: str, batch: str, format: str = DEFAULT_FORMAT) -> bool:
+    """Append the rows of one batch unless the table has that batch already; returns whether it was written.
+
+    The batch's name is the partition its rows go to, so rows and name are committed together. A write that
+    broke off before its commit left nothing that readers see, and is replaced by the next attempt. The
+    first batch creates the table. Columns are matched by name; the table's other columns are NULL.
+    """
+    spark = df.sparkSession
+    marked = df.withColumn(LOAD_BATCH, F.lit(batch))
+    if not table_exists(spark, table):
+        writer = marked.write.format(format).partitionBy(LOAD_BATCH).option("path", _version_path(spark, table))
+        writer.saveAsTable(table)
+        return True
+    if batch_is_there(spark, table, batch):
+        return False
+    target = spark.table(table)
+    unknown = [c for c in marked.columns if c not in target.columns]
+    if unknown:
+        raise ValueError(f"the target has no column {', '.join(unknown)}")
+    rows, columns = as_target_types(marked, target), [c for c in target.columns if c != LOAD_BATCH]
+    aligned = rows.select(*[F.col(f"`{c}`") if c in rows.columns else F.lit(None).alias(c) for c in columns])
+    view = f"batch_{uuid.uuid4().hex}"
+    aligned.createOrReplaceTempView(view)
+    try:
+        # One named partition is replaced, whatever the session's overwrite mode.
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD_BATCH}='{batch}') SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+    spark.catalog.refreshTable(table)
+    return True
+
+
+def batch_is_there(spark: SparkSession, table: str, batch: str) -> bool:
+    """Whether `append_batch` has committed this batch."""
+    if not table_exists(spark, table):
+        return False
+    if LOAD_BATCH not in spark.table(table).columns:
+        raise ValueError(f"{table} was not created by batches: it has no column {LOAD_BATCH}")
+    return not spark.sql(f"SHOW PARTITIONS {table} PARTITION ({LOAD_BATCH}='{batch}')").isEmpty()
+
+
+def _overwrite_partitions(spark: SparkSession, path: str, schema: T.StructType, table: str) -> None:
+    """Replace the partitions of `table` that the rows written at `path` belong to, and no others.
+
+    Spark takes the overwrite mode of a catalog table from the session alone, so this has one of its own.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    name = table if "." in table else f"{spark.catalog.currentDatabase()}.{table}"
+    rows = session.read.schema(schema).parquet(path)
+    rows.select(*[f"`{c}`" for c in session.table(name).columns]).write.insertInto(name, overwrite=True)
+    spark.catalog.refreshTable(table)
+
+
 def replace_table(df: DataFrame, table: str, format: str = DEFAULT_FORMAT) -> None:
     """Replace the whole content. `df` may read the table that is being replaced.
 
@@ -110,17 +176,24 @@ def merge_table(
     source_is_unique: bool = False,
     format: str = DEFAULT_FORMAT,
     source_is_written: bool = False,
+    key_buckets: int = 0,
 ) -> None:
     """Upsert into `table`; the first merge creates it. Matched rows keep their surrogate key.
 
     The source is read several times, so unless it is a scan of something written it is staged first: it
     is evaluated once, and one evaluation decides what is updated and what is inserted.
+
+    With `key_buckets` the table is created with its rows dealt by a hash of the keys to that many partitions
+    (column `key_bucket`). Its merges then read and rewrite only the partitions that the source has keys of.
     """
     if not keys:
         raise ValueError("a merge needs at least one key column")
     spark = source.sparkSession
     if not table_exists(spark, table):
-        append_table(source, table, format)
+        if key_buckets and format not in ROW_LEVEL_FORMATS:
+            _create_bucketed(source, table, keys, key_buckets, format)
+        else:
+            append_table(source, table, format)
         return
     provider = _detail(spark, table, "Provider").lower()
     with staging_scope(spark):
@@ -128,10 +201,76 @@ def merge_table(
         if provider in ROW_LEVEL_FORMATS:
             _merge_row_level(written, table, keys, surrogate_key, newest_by, source_is_unique)
             return
+        buckets = _bucketing(spark, table)
+        if buckets:
+            _merge_touched(written, table, keys, surrogate_key, newest_by, source_is_unique, *buckets)
+            return
         merged = upsert(spark.table(table), written, keys, surrogate_key, newest_by, source_is_unique)
         replace_table(merged, table, provider)
 
 
+def _in_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*[f"`{k}`" for k in keys]), F.lit(buckets)).cast("int"))
+
+
+def _create_bucketed(source: DataFrame, table: str, keys: Sequence[str], buckets: int, format: str) -> None:
+    spark = source.sparkSession
+    if KEY_BUCKET in source.columns:
+        raise ValueError(f"the column {KEY_BUCKET} is taken")
+    dealt = _in_bucket(source, keys, buckets).hint("rebalance", KEY_BUCKET)
+    dealt.write.format(format).partitionBy(KEY_BUCKET).option("path", _version_path(spark, table)).saveAsTable(table)
+    names = json.dumps(list(keys)).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_BUCKET_COUNT}' = '{buckets}', '{_BUCKET_KEYS}' = '{names}')")
+
+
+def _bucketing(spark: SparkSession, table: str) -> tuple[list[str], int] | None:
+    """The keys a table's rows are dealt by and the number of buckets; none for other tables."""
+    held = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if _BUCKET_COUNT not in held:
+        if KEY_BUCKET in spark.table(table).columns:
+            raise ValueError(f"{table} has a column {KEY_BUCKET} but no property {_BUCKET_COUNT}")
+        return None
+    return json.loads(held[_BUCKET_KEYS]), int(held[_BUCKET_COUNT])
+
+
+def _merge_touched(
+    source: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    surrogate_key: str,
+    newest_by: Sequence[str],
+    source_is_unique: bool,
+    bucket_keys: Sequence[str],
+    buckets: int,
+) -> None:
+    """Upsert within the partitions that hold the source's keys, by Spark's dynamic partition overwrite.
+
+    The merged rows are written to the shared folder first, so the table is changed by moving files only. If
+    that fails on the way, the rows stay there and the error names the place; merging once more repairs the
+    table, too, unless a partition was lost between its removal and its replacement.
+    """
+    if list(bucket_keys) != list(keys):
+        raise ValueError(f"{table} is dealt to buckets by {', '.join(bucket_keys)}, not by {', '.join(keys)}")
+    spark = source.sparkSession
+    target = spark.table(table)
+    check_merge_columns(target, source, keys, newest_by, surrogate_key)
+    dealt = _in_bucket(as_target_types(source, target), keys, buckets)
+    # At most one number per bucket.
+    touched = sorted(r[0] for r in dealt.select(KEY_BUCKET).distinct().collect())
+    if not touched:
+        return
+    log.info("%s: %d of %d buckets are rewritten", table, len(touched), buckets)
+    part = target.where(F.col(KEY_BUCKET).isin(touched))
+    merged = upsert(part, dealt, keys, surrogate_key, newest_by, source_is_unique).hint("rebalance", KEY_BUCKET)
+    path = new_path(spark, "merged_buckets")
+    merged.write.parquet(path)
+    try:
+        _overwrite_partitions(spark, path, merged.schema, table)
+    except Exception as error:
+        keep_path(path)
+        raise RuntimeError(f"merging into {table} broke off; the new rows of its partitions are in {path}") from error
+
+
 def _merge_row_level(
     source: DataFrame,
     table: str,
@@ -166,7 +305,13 @@ def _write_merge(df: DataFrame, spec: EntitySpec) -> None:
     # The default transform leaves one written row per business key; any other is staged and checked.
     default = spec.custom_transform == "default"
     merge_table(
-        df, spec.destination, spec.business_key, spec.surrogate_key, source_is_unique=default, source_is_written=default
+        df,
+        spec.destination,
+        spec.business_key,
+        spec.surrogate_key,
+        source_is_unique=default,
+        source_is_written=default,
+        key_buckets=spec.key_buckets,
     )
 
 

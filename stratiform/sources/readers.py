@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratiform.operators.shape import with_source_file
 from stratiform.sources.drift import read_drifting_parquet
 from stratiform.sources.zipped import read_zip_csv
 from stratiform.spec import EntitySpec
@@ -14,19 +15,21 @@ Reader = Callable[[SparkSession, str, EntitySpec], DataFrame]
 
 
 def _parquet(spark: SparkSession, path: str, spec: EntitySpec) -> DataFrame:
-    return spark.read.options(**spec.options).parquet(path)
+    return with_source_file(spark.read.options(**spec.options).parquet(path), spec.source_file_column)
 
 
 def _csv(spark: SparkSession, path: str, spec: EntitySpec) -> DataFrame:
-    return spark.read.options(**spec.options).csv(path)
+    return with_source_file(spark.read.options(**spec.options).csv(path), spec.source_file_column)
 
 
 def _zip_csv(spark: SparkSession, path: str, spec: EntitySpec) -> DataFrame:
-    return read_zip_csv(spark, path, spec.options)
+    return read_zip_csv(spark, path, spec.options, source_file=spec.source_file_column)
 
 
 def _drifting_parquet(spark: SparkSession, path: str, spec: EntitySpec) -> DataFrame:
-    return read_drifting_parquet(spark, path, spec.override_column_types, spec.options, spec.strict_casts)
+    return read_drifting_parquet(
+        spark, path, spec.override_column_types, spec.options, spec.strict_casts, source_file=spec.source_file_column
+    )
 
 
 # The format names entity specifications use.

@@ -12,13 +12,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratiform.operators.lookup import broadcast_if_small
 from stratiform.sources.files import list_files, open_filesystem, write_file
-from stratiform.workspace import new_path, qualified, stage
+from stratiform.workspace import fresh_name, new_path, qualified, stage
 
 _COPY_BYTES = 8 * 1024 * 1024
 _TASK_BYTES = 256 * 1024 * 1024
 _MOST_TASKS = 10_000
 _ARCHIVES_PER_TASK = 16
+_MARK_LENGTH = 32
 
 
 def _hidden(member: str) -> bool:
@@ -49,7 +51,7 @@ def staged_place(root: str, uri: str, member: str) -> tuple[str, str]:
     """
     below = uri.removeprefix(root).strip("/")
     levels = [level for level in below.split("/")[:-1] if "=" in level]
-    mark = hashlib.sha256(f"{below}\0{member}".encode()).hexdigest()[:32]
+    mark = hashlib.sha256(f"{below}\0{member}".encode()).hexdigest()[:_MARK_LENGTH]
     return "/".join(levels), f"{mark}-{member.rsplit('/', 1)[-1]}"
 
 
@@ -69,7 +71,7 @@ def _extract_into(staging: str, root: str):
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target_fs, target_root = open_filesystem(staging)
         for batch in batches:
-            written = []
+            marks, sources = [], []
             for row in batch.to_pylist():
                 levels, name = staged_place(root, row["path"], row["member"])
                 folder = f"{target_root}/{levels}".rstrip("/")
@@ -77,19 +79,29 @@ def _extract_into(staging: str, root: str):
                 with source_fs.open_input_file(path) as raw, zipfile.ZipFile(raw) as archive:
                     with archive.open(row["member"]) as member, write_file(target_fs, folder, name) as out:
                         shutil.copyfileobj(member, out, _COPY_BYTES)
-                written.append(f"{folder}/{name}")
-            yield pa.RecordBatch.from_pydict({"written": pa.array(written, pa.string())})
+                marks.append(name[:_MARK_LENGTH])
+                sources.append(f"{row['path']}!{row['member']}")
+            yield pa.RecordBatch.from_pydict({"mark": pa.array(marks, pa.string()), "source": pa.array(sources, pa.string())})
 
     return extract
 
 
-def read_zip_csv(spark: SparkSession, root: str, options: Mapping[str, str] | None = None) -> DataFrame:
+def read_zip_csv(
+    spark: SparkSession,
+    root: str,
+    options: Mapping[str, str] | None = None,
+    archives: DataFrame | None = None,
+    source_file: str = "",
+) -> DataFrame:
     """Unpack all archives below `root` and read the members as CSV with the given reader options.
 
+    `archives` (path) names those to read instead. `source_file` names a column that says for each row the
+    archive and, after an exclamation mark, the member it comes from.
+
     Tasks unpack archive members, packed by their unpacked size, as streams into the shared folder under
     the same Hive folders. The text read back from there splits, so one huge member does not stay in one task.
     """
-    archives = list_files(spark, root, ".zip").select("path")
+    archives = list_files(spark, root, ".zip").select("path") if archives is None else archives.select("path")
     count = archives.count()
     if not count:
         raise FileNotFoundError(f"no zip archives in {root}")
@@ -100,5 +112,11 @@ def read_zip_csv(spark: SparkSession, root: str, options: Mapping[str, str] | No
         raise FileNotFoundError(f"the archives in {root} are empty")
     staging = qualified(spark, new_path(spark, "unzipped"))
     packed = pack_by_bytes(members, spark.sparkContext.defaultParallelism)
-    packed.mapInArrow(_extract_into(staging, qualified(spark, root)), "written string").count()
-    return spark.read.options(**(options or {})).csv(staging)
+    written = stage(packed.mapInArrow(_extract_into(staging, qualified(spark, root)), "mark string, source string"), "members")
+    rows = spark.read.options(**(options or {})).csv(staging)
+    if not source_file:
+        return rows
+    mark = fresh_name(rows.columns, "_mark")
+    named = broadcast_if_small(written.select(F.col("mark").alias(mark), F.col("source").alias(source_file)))
+    marked = rows.select("*", F.substring("_metadata.file_name", 1, _MARK_LENGTH).alias(mark))
+    return marked.join(named, mark).drop(mark)

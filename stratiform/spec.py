@@ -14,6 +14,9 @@ log = logging.getLogger(__name__)
 # The folder levels every bronze load is written under.
 LOAD_COLUMNS = ("segment", "year", "month", "day", "load")
 
+# Types of the load columns wherever single loads are read; a folder's digits alone may suggest others.
+LOAD_TYPES = dict(zip(LOAD_COLUMNS, ("string", "int", "int", "int", "bigint"), strict=True))
+
 # The newest load wins; `segment` names the kind of load and carries no recency.
 RECENCY_COLUMNS = LOAD_COLUMNS[1:]
 
@@ -33,6 +36,10 @@ class EntitySpec:
     options: Mapping[str, str] = field(default_factory=dict)
     custom_transform: str = "default"
     strict_casts: bool = True
+    #: A merged table keeps its rows in so many partitions by key, and a merge rewrites those it touches; 0: one table.
+    key_buckets: int = 0
+    #: Column that names the file each row was read from; none if empty.
+    source_file_column: str = ""
 
     def __post_init__(self) -> None:
         if self.custom_transform == "default" and not self.surrogate_key:
@@ -40,6 +47,11 @@ class EntitySpec:
         if self.load_type == "merge" and not self.business_key:
             raise ValueError(f"{self.destination}: load_type 'merge' needs a business_key")
 
+    def kept_columns(self) -> list[str]:
+        """The projected columns, with that of the source file; none stands for all."""
+        named = [self.source_file_column] if self.source_file_column else []
+        return [*self.projected_columns, *(c for c in named if c not in self.projected_columns)] if self.projected_columns else []
+
     @classmethod
     def from_dict(cls, raw: Mapping) -> EntitySpec:
         missing = [k for k in ("format", "source", "load_type", "destination") if k not in raw]

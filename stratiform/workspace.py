@@ -54,6 +54,13 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
             remove_path(spark, path)
 
 
+def keep_path(path: str) -> None:
+    """Exempt a path from removal at the end of the enclosing scope."""
+    scope = _open_scope.get()
+    if scope is not None and path in scope:
+        scope.remove(path)
+
+
 def fresh_name(columns: Sequence[str], name: str) -> str:
     """`name`, with underscores in front until no column is called so."""
     taken = {c.lower() for c in columns}

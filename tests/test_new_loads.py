@@ -1,0 +1,158 @@
+"""Incremental loads of every format, provenance of rows, and folders of mixed layouts."""
+
+import glob
+import os
+import shutil
+
+import pytest
+
+from stratiform.plans.silver import run_entity
+from stratiform.sources import drift
+from stratiform.sources.drift import read_drifting_parquet
+from stratiform.sources.landing import land_batch
+from stratiform.sources.readers import read_source
+from stratiform.sources.zipped import read_zip_csv
+from stratiform.streaming import incremental
+from stratiform.streaming.incremental import merge_new_loads
+from test_runs import DAY_1, DAY_2, DAY_3, spec
+from test_verdict_cases import archive, staged_folders
+
+CSV = {"header": "true"}
+
+
+def land(spark, tmp_path, when, data, format="parquet", schema="k string, v string"):
+    return land_batch(spark.createDataFrame(data, schema), f"{tmp_path}/things", "incremental", when, format, CSV if format == "csv" else None)
+
+
+@pytest.mark.parametrize("format", ["parquet", "csv", "zip_csv", "new_york_taxi"])
+@pytest.mark.parametrize("per_batch", [10_000, 1])
+def test_incremental_runs_equal_a_full_run(spark, tmp_path, database, rows, format, per_batch):
+    landed = "parquet" if format == "new_york_taxi" else format
+    options = CSV if "csv" in format else {}
+    entity, checkpoint = spec(database, format=format, options=options, key_buckets=3), f"{tmp_path}/progress"
+    loads = [(DAY_1, [("a", "1"), ("b", "2")]), (DAY_3, [("a", "3"), ("c", "3")]), (DAY_2, [("a", "2"), ("b", "22"), ("d", "2")])]
+    for when, data in loads:
+        land(spark, tmp_path, when, data, landed)
+        merge_new_loads(spark, entity, checkpoint, str(tmp_path), per_batch)
+    merge_new_loads(spark, entity, checkpoint, str(tmp_path), per_batch)
+    full = spec(database, format=format, options=options, destination=f"{database}.full")
+    run_entity(spark, full, str(tmp_path))
+    got, want = spark.table(entity.destination), spark.table(full.destination)
+    columns = want.drop("sk").columns
+    assert rows(got, *columns) == rows(want, *columns)
+    assert got.select("sk").distinct().count() == 4
+    assert {c: t for c, t in got.dtypes if c in columns} == {c: t for c, t in want.dtypes if c in columns}
+
+
+@pytest.mark.parametrize("format", ["parquet", "zip_csv", "new_york_taxi"])
+def test_the_second_run_opens_no_file_of_the_first(spark, tmp_path, database, rows, format):
+    landed = "parquet" if format == "new_york_taxi" else format
+    entity, checkpoint = spec(database, format=format, options=CSV if "csv" in format else {}), f"{tmp_path}/progress"
+    first = land(spark, tmp_path, DAY_1, [("a", "1"), ("b", "2")], landed)
+    merge_new_loads(spark, entity, checkpoint, str(tmp_path))
+    for path in glob.glob(f"{first}/*.*"):
+        with open(path, "w") as out:
+            out.write("no longer what it was")
+    for path in glob.glob(f"{first}/.*.crc"):
+        os.remove(path)
+    land(spark, tmp_path, DAY_2, [("a", "10"), ("c", "30")], landed)
+    merge_new_loads(spark, entity, checkpoint, str(tmp_path))
+    assert rows(spark.table(entity.destination), "k", "v") == [("a", "10"), ("b", "2"), ("c", "30")]
+
+
+@pytest.mark.parametrize("format", ["parquet", "new_york_taxi"])
+def test_columns_that_a_later_load_lacks_are_null(spark, tmp_path, database, rows, format):
+    types = {"n": "double"} if format == "new_york_taxi" else {}
+    entity = spec(database, format=format, override_column_types=types, projected_columns=["k", "v", "n", "year", "month", "day", "load"])
+    land(spark, tmp_path, DAY_1, [("a", "1", 1)], schema="k string, v string, n int")
+    merge_new_loads(spark, entity, f"{tmp_path}/progress", str(tmp_path))
+    land(spark, tmp_path, DAY_2, [("b", 2.5 if types else 2)], schema=f"k string, n {'double' if types else 'int'}")
+    merge_new_loads(spark, entity, f"{tmp_path}/progress", str(tmp_path))
+    assert rows(spark.table(entity.destination), "k", "v", "n") == [("a", "1", 1), ("b", None, 2.5 if types else 2)]
+
+
+def test_text_with_another_header_raises(spark, tmp_path, database):
+    entity = spec(database, format="csv", options=CSV)
+    land(spark, tmp_path, DAY_1, [("a", "1")], "csv")
+    merge_new_loads(spark, entity, f"{tmp_path}/progress", str(tmp_path))
+    land(spark, tmp_path, DAY_2, [("1", "a")], "csv", "v string, k string")
+    with pytest.raises(Exception, match="(?i)header"):
+        merge_new_loads(spark, entity, f"{tmp_path}/progress", str(tmp_path))
+
+
+def test_appended_loads_arrive_once_even_if_a_batch_is_repeated(spark, tmp_path, database, rows):
+    entity, checkpoint = spec(database, "append", business_key=[]), f"{tmp_path}/progress"
+    for when, data in ((DAY_1, [("a", "1"), ("a", "1"), ("b", "2")]), (DAY_2, [("a", "1"), ("c", "3")])):
+        land(spark, tmp_path, when, data)
+        merge_new_loads(spark, entity, checkpoint, str(tmp_path))
+    want = [("a", "1", 1), ("a", "1", 4), ("b", "2", 2), ("c", "3", 5)]
+    got = rows(spark.table(entity.destination), "k", "v", "sk")
+    assert [r[:2] for r in got] == [r[:2] for r in want] and len({r[2] for r in got}) == 4
+
+    # As after a driver that died between the write and the note that the batch is done.
+    for path in (f"{checkpoint}/commits/1", f"{checkpoint}/commits/.1.crc"):
+        os.remove(path)
+    before = staged_folders(spark)
+    merge_new_loads(spark, entity, checkpoint, str(tmp_path))
+    assert rows(spark.table(entity.destination), "k", "v", "sk") == got
+    assert staged_folders(spark) == before
+
+
+def test_a_merged_batch_may_be_repeated(spark, tmp_path, database, rows):
+    entity, checkpoint = spec(database, key_buckets=2), f"{tmp_path}/progress"
+    land(spark, tmp_path, DAY_1, [("a", "1"), ("b", "2")])
+    merge_new_loads(spark, entity, checkpoint, str(tmp_path))
+    got = rows(spark.table(entity.destination), "k", "v", "sk")
+    shutil.rmtree(f"{checkpoint}/commits")
+    merge_new_loads(spark, entity, checkpoint, str(tmp_path))
+    assert rows(spark.table(entity.destination), "k", "v", "sk") == got
+
+
+def test_incremental_runs_need_a_known_format_and_load_type(spark, tmp_path, database):
+    with pytest.raises(ValueError, match="cannot be loaded incrementally"):
+        merge_new_loads(spark, spec(database, format="other"), f"{tmp_path}/progress")
+    with pytest.raises(ValueError, match="only merged and appended"):
+        merge_new_loads(spark, spec(database, "remember"), f"{tmp_path}/progress")
+    assert set(incremental.NEW_FILES) == {"parquet", "csv", "zip_csv", "new_york_taxi"}
+
+
+def test_each_row_names_its_file(spark, tmp_path, rows):
+    archive(tmp_path / "z" / "load=1" / "t.zip", {"a/b c.csv": "v\n1\n", "d.csv": "v\n2\n3\n"})
+    found = read_zip_csv(spark, str(tmp_path / "z"), CSV, source_file="from")
+    place = f"file:{tmp_path}/z/load=1/t.zip"
+    assert rows(found, "v", "from") == [("1", f"{place}!a/b c.csv"), ("2", f"{place}!d.csv"), ("3", f"{place}!d.csv")]
+    for format, options in (("parquet", {}), ("csv", CSV)):
+        for load, value in ((1, "x"), (2, "y")):
+            spark.sql(f"SELECT '{value}' AS v").write.format(format).options(**options).save(f"{tmp_path}/{format}/load={load}")
+    for format, source in (("parquet", "parquet"), ("csv", "csv"), ("new_york_taxi", "parquet")):
+        entity = spec("db", format=format, source=f"{tmp_path}/{source}", options=CSV if format == "csv" else {}, source_file_column="from")
+        named = {r["v"]: r["from"] for r in read_source(spark, entity).collect()}
+        assert f"/{source}/load=1/part-" in named["x"] and f"/{source}/load=2/part-" in named["y"]
+
+
+def test_entities_keep_the_file_of_each_row(spark, tmp_path, database, rows):
+    entity = spec(database, business_key=[], load_type="append", projected_columns=["k", "v", "year", "month", "day", "load"], source_file_column="from")
+    land(spark, tmp_path, DAY_1, [("a", "1")])
+    land(spark, tmp_path, DAY_2, [("a", "1"), ("b", "2")])
+    run_entity(spark, entity, str(tmp_path))
+    table = spark.table(entity.destination)
+    assert rows(table, "k", "v", "day") == [("a", "1", 2), ("b", "2", 2)] and table.where("`from` LIKE '%day=02%'").count() == 2
+
+
+def test_mixed_folders_are_read_in_bounded_turns(spark, tmp_path, monkeypatch):
+    for i in range(30):
+        spark.sql(f"SELECT {i}L AS a, 'x' AS only_old").coalesce(1).write.mode("append").parquet(f"{tmp_path}/load=070002000500")
+        spark.sql(f"SELECT cast({i} AS double) AS a, {i} AS only_new").coalesce(1).write.mode("append").parquet(f"{tmp_path}/load=070002000500")
+    spark.sql("SELECT 99L AS a, 'y' AS only_old").coalesce(1).write.parquet(f"{tmp_path}/load=000000000001")
+    at_once = []
+    plain = drift.with_source_file
+
+    def watched(scan, name):
+        at_once.append(len(scan.inputFiles()))
+        return plain(scan, name)
+
+    monkeypatch.setattr(drift, "with_source_file", watched)
+    got = read_drifting_parquet(spark, str(tmp_path), {"a": "double"}, files_per_scan=16, source_file="from")
+    assert max(at_once) <= 16 and dict(got.dtypes)["load"] == "bigint"
+    want = read_drifting_parquet(spark, str(tmp_path), {"a": "double"}, source_file="from").select(*got.columns)
+    assert got.count() == 61 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

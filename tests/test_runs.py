@@ -154,10 +154,3 @@ def test_incremental_runs_equal_a_full_run_even_when_loads_arrive_late(spark, tm
     got, want = spark.table(entity.destination), spark.table(full.destination)
     assert rows(got.drop("sk"), *want.drop("sk").columns) == rows(want.drop("sk"))
     assert got.select("sk").distinct().count() == 4
-
-
-def test_incremental_runs_are_for_merged_entities(spark, tmp_path, database):
-    with pytest.raises(ValueError, match="only merged"):
-        merge_new_loads(spark, spec(database, "append"), f"{tmp_path}/progress")
-    with pytest.raises(ValueError, match="stream"):
-        merge_new_loads(spark, spec(database, format="zip_csv"), f"{tmp_path}/progress")
