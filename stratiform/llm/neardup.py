@@ -1,20 +1,22 @@
 """N-gram Jaccard join by prefix trees: which documents share 80 % of their word shingles, and the groups.
 
-1. Documents with equal texts become one node, keyed by a 64-bit hash; one text of each is written once,
-   bucketed by that key, and every later join with texts reuses the buckets.
+1. Documents with equal texts become one node, known by a 128-bit hash; one text of each is written once,
+   bucketed by its number, and every later join with texts reuses the buckets.
 2. Shingles get a global order, rare ones first. The frequency of a shingle is that of its slot in a counter
-   table of bounded size; any order gives right results, a good one gives few candidates.
+   table of fixed size; any order gives right results, a good one meets few strangers.
 3. Nodes that share a band of minimum hashes are verified against four of them. These links already connect
-   most near copies; nodes that link with a centre form its cluster, so a huge group of near copies
-   is one entry from here on, not a clique, and nothing that is connected is compared again.
-4. The first fifth of each ordered set, enough to meet every partner's, is dealt out by shingle. Clusters
-   that share a prefix shingle and can reach the overlap by length and position become candidates.
-5. Candidates are verified exactly: the ordered sets compared with a probe stand in a trie, which is walked
-   once, counting shared starts once and leaving a path when what remains cannot reach the overlap.
-6. For clusters whose centres are close but not linked, the triangle inequality of the Jaccard distance says
-   which members could still link; those are verified as well. No link between different sets is lost as
-   far as components go: links inside a cluster, or between linked clusters, need not be listed.
-7. Components of the linked clusters, by star steps in Spark.
+   most near copies, and nodes that are connected need not be compared again.
+4. The first fifth of each ordered set, enough to meet every partner's, is dealt out by shingle, one entry for
+   each connected group. A shingle stays only if groups meet there that can reach the overlap by length and position.
+5. Nodes that share such a shingle come to one home. Shingles met by the same few groups have one home, and so
+   have more frequent shingles that occur together, so that a pair meets in few places. A home is cut into tiles of
+   bounded bytes, and each pair of tiles is a unit of work of its own.
+6. The ordered sets of a tile stand in a trie, which is walked with each set of the other tile, counting shared
+   starts once and leaving a path when what remains cannot reach the overlap. Before that, parity signatures
+   bound the difference of two sets from below, and pairs whose groups have become connected are passed over.
+   Only links that connect two groups leave the task.
+7. Components of all links, by star steps in Spark. No link between different groups is lost; links inside a
+   group need not be listed.
 """
 
 from __future__ import annotations
@@ -26,24 +28,36 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.llm import shingles as sh
-from stratiform.llm.common import field, table, text_bytes, text_slices
+from stratiform.llm.common import field, table, text_bytes, text_slices, written_result
 from stratiform.llm.components import components
+from stratiform.operators.lookup import broadcast_if_small
+from stratiform.operators.numbering import number_rows
 from stratiform.workspace import new_path, remove_path, stage
 
 SIMILAR = 0.8
 BUCKET_BYTES = 64 << 20
 MOST_BUCKETS = 100_000
 WORDS_PER_SLOT = 256
-MOST_SLOTS = 1 << 24
+#: Counters of one task, whatever the size of the input: 4 MiB written, and as much work for each slice of text.
+MOST_SLOTS = 1 << 20
 SLICE = 1 << 12
 POSTINGS_PER_PART = 250_000
 TEXT_BYTES = 1 << 20
 CHUNK = 512
+#: Groups at a shingle up to which pairs are formed to see whether any can link.
+SHORT = 64
+#: Groups at a shingle up to which its home is named after them.
+FEW = 4
+TILE_ROWS = 256
+TILE_BYTES = 1 << 20
+TILES_PER_GROUP = 16
 
 BANDS = [f"b{i}" for i in range(sh.BANDS)]
 
@@ -51,12 +65,12 @@ BANDS = [f"b{i}" for i in range(sh.BANDS)]
 def sign_and_count(texts: DataFrame, slots: int) -> DataFrame:
     """Rows of two kinds from one pass over `texts` (no, id, text).
 
-    Nodes: no, id, the size n of the shingle set, and its bands. Counts: a slice of the counter table, and how
+    Nodes: no, id, the size n of the shingle set, bytes of the text, and its bands. Counts: a slice of the counter table, and how
     often each of its slots occurs in the task's sets.
     """
     width = min(SLICE, slots)
     schema = T.StructType(
-        [texts.schema["no"], texts.schema["id"], *(T.StructField(c, T.LongType()) for c in ("n", *BANDS))]
+        [texts.schema["no"], texts.schema["id"], *(T.StructField(c, T.LongType()) for c in ("n", "bytes", *BANDS))]
         + [T.StructField("slice", T.IntegerType()), T.StructField("counts", T.BinaryType())]
     )
 
@@ -69,16 +83,17 @@ def sign_and_count(texts: DataFrame, slots: int) -> DataFrame:
             sets = sh.shingle_sets(text_bytes(piece.column("text")), hashes)
             counts += np.bincount(sh.slot_of(np.concatenate(sets), slots), minlength=slots)
             n = np.array([len(s) for s in sets], np.int64)
-            yield whole(piece.column("no"), piece.column("id"), n, *sh.band_keys(sets).T)
-        parts = counts.reshape(-1, width)
+            size = pc.binary_length(piece.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield whole(piece.column("no"), piece.column("id"), n, size, *sh.band_keys(sets).T)
+        parts = np.minimum(counts, 2**32 - 1).astype(np.uint32).reshape(-1, width)
         for i in np.flatnonzero(parts.any(1)).tolist():
             yield whole(pa.nulls(1, pa.int64()), pa.nulls(1, kind), slice_=i, counts=parts[i].tobytes())
 
     def whole(no: pa.Array, id_: pa.Array, *numbers: np.ndarray, slice_: int | None = None, counts: bytes | None = None) -> pa.RecordBatch:
         size = len(no)
-        longs = [pa.array(x, pa.int64()) for x in numbers] or [pa.nulls(size, pa.int64())] * (1 + sh.BANDS)
+        longs = [pa.array(x, pa.int64()) for x in numbers] or [pa.nulls(size, pa.int64())] * (2 + sh.BANDS)
         extra = [pa.array([slice_] * size, pa.int32()), pa.array([counts] * size, pa.binary())]
-        return pa.RecordBatch.from_arrays([no, id_, *longs, *extra], ["no", "id", "n", *BANDS, "slice", "counts"])
+        return pa.RecordBatch.from_arrays([no, id_, *longs, *extra], ["no", "id", "n", "bytes", *BANDS, "slice", "counts"])
 
     return texts.select("no", "id", "text").mapInArrow(run, schema)
 
@@ -90,7 +105,7 @@ def frequency_classes(counted: DataFrame, slots: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = np.frombuffer(blob, np.int64)
+                own = np.frombuffer(blob, np.uint32).astype(np.int64)
                 sums[i] = sums[i] + own if i in sums else own
         for i, own in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["slice", "counts"])
@@ -165,21 +180,13 @@ def band_links(nodes: DataFrame, texts: DataFrame, classes: object) -> DataFrame
     return stage(checked.where("linked").select("a", "b", "nb", "distance", (F.col("nb") - F.col("overlap")).alias("added")), "band_links")
 
 
-def star_clusters(links: DataFrame) -> DataFrame:
-    """no, cluster, n, distance and added of nodes linked with a centre; a centre is no member of another cluster."""
-    centres = links.select("a").distinct().join(links.select("b").distinct(), F.col("a") == F.col("b"), "left_anti")
-    own = links.join(centres, "a", "left_semi").groupBy("b").agg(F.min(F.struct("a", "nb", "distance", "added")).alias("m"))
-    own = own.select(F.col("b").alias("no"), F.col("m.a").alias("cluster"), F.col("m.nb").alias("n"), "m.distance", "m.added")
-    return stage(own, "members")
-
-
-ENTRY = np.dtype([("token", "<u4"), ("cluster", "<i8"), ("group", "<i8"), ("least", "<i4"), ("most", "<i4"), ("rest", "<i4")])
+ENTRY = np.dtype([("token", "<u4"), ("group", "<i8"), ("least", "<i4"), ("most", "<i4"), ("rest", "<i4")])
 
 
 def combined(entries: np.ndarray) -> np.ndarray:
-    """One entry per token and cluster: smallest and largest set size, largest number of elements behind."""
-    entries = entries[np.lexsort((entries["cluster"], entries["token"]))]
-    new = np.concatenate([[True], (entries["token"][1:] != entries["token"][:-1]) | (entries["cluster"][1:] != entries["cluster"][:-1])])
+    """One entry per token and group: smallest and largest set size, largest number of elements behind."""
+    entries = entries[np.lexsort((entries["group"], entries["token"]))]
+    new = np.concatenate([[True], (entries["token"][1:] != entries["token"][:-1]) | (entries["group"][1:] != entries["group"][:-1])])
     begins = np.flatnonzero(new)
     out = entries[begins].copy()
     out["least"] = np.minimum.reduceat(entries["least"], begins)
@@ -188,20 +195,32 @@ def combined(entries: np.ndarray) -> np.ndarray:
     return out
 
 
-def candidates(texts: DataFrame, members: DataFrame, groups: DataFrame, classes: object, parts: int) -> DataFrame:
-    """Pairs of clusters (a < b), not connected yet, of which two members can share a first common shingle and link."""
-    owned = (
-        texts.join(members.select("no", "cluster"), "no", "left")
-        .join(groups.select(F.col("node").alias("no"), "component"), "no", "left")
-        .select(F.coalesce("cluster", "no").alias("cluster"), F.coalesce("component", "no").alias("group"), "text")
-    )
+def prefix_tokens(first: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The part and the number within it of each element of a prefix."""
+    mixed = sh.mixed(first)
+    return ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64), (mixed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def prefixes(batches: Iterator[pa.RecordBatch], order: np.ndarray) -> Iterator[tuple[dict, int, np.ndarray]]:
+    """For each row (group, text and more): the row without its text, the size of its set, and the prefix."""
+    hashes = sh.WordHashes()
+    for piece in text_slices(batches, "text", TEXT_BYTES):
+        others = [c for c in piece.schema.names if c != "text"]
+        for row, s in zip(piece.select(others).to_pylist(), sh.shingle_sets(text_bytes(piece.column("text")), hashes), strict=True):
+            yield row, len(s), sh.in_order(s, order)[: sh.prefix_length(len(s))]
+
+
+def meeting_groups(texts: DataFrame, groups: DataFrame, classes: object, parts: int) -> DataFrame:
+    """token, home and group: shingles in the prefixes of groups that can link there.
+
+    home tells shingles that the same groups meet at; for those of more than `FEW` groups it is null.
+    """
+    owned = texts.join(groups, "no", "left").select(F.coalesce("component", "no").alias("group"), "text")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = sh.WordHashes()
-        order = classes.value
         waiting: list[np.ndarray] = []
-        size = 0
         part_of: list[np.ndarray] = []
+        size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             entries, part = np.concatenate(waiting), np.concatenate(part_of)
@@ -212,19 +231,14 @@ def candidates(texts: DataFrame, members: DataFrame, groups: DataFrame, classes:
             blobs = [combined(entries[i:j]).tobytes() for i, j in zip(cuts, [*cuts[1:], len(part)], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], ["part", "entries"])
 
-        for piece in text_slices(batches, "text", TEXT_BYTES):
-            owners = zip(piece.column("cluster").to_pylist(), piece.column("group").to_pylist(), strict=True)
-            for (owner, group), s in zip(owners, sh.shingle_sets(text_bytes(piece.column("text")), hashes), strict=True):
-                n = len(s)
-                first = sh.in_order(s, order)[: sh.prefix_length(n)]
-                mixed = sh.mixed(first)
-                own = np.empty(len(first), ENTRY)
-                own["token"] = (mixed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                own["cluster"], own["group"], own["least"], own["most"] = owner, group, n, n
-                own["rest"] = n - 1 - np.arange(len(first))
-                waiting.append(own)
-                part_of.append(((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int32))
-                size += len(first)
+        for row, n, first in prefixes(batches, classes.value):
+            part, token = prefix_tokens(first, parts)
+            own = np.empty(len(first), ENTRY)
+            own["token"], own["group"], own["least"], own["most"] = token, row["group"], n, n
+            own["rest"] = n - 1 - np.arange(len(first))
+            waiting.append(own)
+            part_of.append(part)
+            size += len(first)
             if size > POSTINGS_PER_PART:
                 yield from flush()
                 waiting, part_of, size = [], [], 0
@@ -233,29 +247,37 @@ def candidates(texts: DataFrame, members: DataFrame, groups: DataFrame, classes:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = ((p, e) for b in batches for p, e in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-        for _, group in groupby(stream, key=lambda r: r[0]):
-            entries = combined(np.concatenate([np.frombuffer(e, ENTRY) for _, e in group]))
-            for a, b in meetings(entries):
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        for part, group in groupby(stream, key=lambda r: r[0]):
+            entries, homes = meeting_entries(combined(np.concatenate([np.frombuffer(e, ENTRY) for _, e in group])))
+            if len(entries):
+                token = (np.int64(part) << np.int64(32)) | entries["token"].astype(np.int64)
+                home = pa.array(homes, pa.int64(), mask=homes == 0)
+                yield pa.RecordBatch.from_arrays([pa.array(token), home, pa.array(entries["group"])], ["token", "home", "group"])
 
     dealt = owned.mapInArrow(deal, "part int, entries binary")
     together = dealt.repartition(parts, "part").sortWithinPartitions("part")
-    return together.mapInArrow(meet, "a long, b long").distinct()
+    return together.mapInArrow(meet, "token long, home long, group long")
+
 
+def runs_of(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each run of equal tokens."""
+    begins = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
+    return begins, np.append(begins[1:], len(token))[: len(begins)]
 
-def meetings(entries: np.ndarray, block: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of clusters with a common token that sizes and positions allow, in blocks, without repeats in one.
 
-    Entries of a token stand by least size, so only a stretch of entries can be large enough but not too large.
+def meeting_entries(entries: np.ndarray, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """The entries that sizes and positions allow to link with another of their token, and the homes of these.
+
+    Tokens of more than `SHORT` groups keep all their entries; pairs are only formed below that. Tokens of more
+    than `FEW` groups have home 0. Entries of a token stand by least size, so only a stretch of entries can be large enough but not too large.
     """
-    entries = apart_only(entries[np.lexsort((entries["least"], entries["token"]))])
-    token = entries["token"]
-    begins = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.array([], int)
-    ends = np.append(begins[1:], len(token))
-    many = ends - begins > 1
-    starts = np.concatenate([np.arange(i, j - 1) for i, j in zip(begins[many], ends[many], strict=True)]) if many.any() else np.array([], int)
-    stops = np.repeat(ends[many], (ends - begins)[many] - 1)
-    least, most, rest, cluster, group = (entries[c].astype(np.int64) for c in ("least", "most", "rest", "cluster", "group"))
+    entries = entries[np.lexsort((entries["least"], entries["token"]))]
+    begins, ends = runs_of(entries["token"])
+    held = np.repeat(ends - begins > SHORT, ends - begins)
+    some = (ends - begins > 1) & (ends - begins <= SHORT)
+    starts = np.concatenate([np.zeros(0, np.int64), *(np.arange(i, j - 1) for i, j in zip(begins[some], ends[some], strict=True))]).astype(np.int64)
+    stops = np.repeat(ends[some], (ends - begins)[some] - 1)
+    least, most, rest = (entries[c].astype(np.int64) for c in ("least", "most", "rest"))
     done = 0
     while done < len(starts):
         total = np.cumsum(stops[done:] - starts[done:] - 1)
@@ -265,90 +287,183 @@ def meetings(entries: np.ndarray, block: int = 1 << 20) -> Iterator[tuple[np.nda
         left = np.repeat(i, counts)
         right = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts) + left + 1
         # The right entry's sets are at least as large as the left one's smallest.
-        fits = (group[left] != group[right]) & (5 * most[left] >= 4 * least[right])
+        fits = 5 * most[left] >= 4 * least[right]
         left, right = left[fits], right[fits]
         reach = 1 + np.minimum(rest[left], rest[right])
         able = 9 * reach >= 4 * (least[left] + least[right])
-        a, b = cluster[left[able]], cluster[right[able]]
-        if len(a):
-            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-            yield both[:, 0], both[:, 1]
+        held[left[able]] = held[right[able]] = True
         done += take
+    entries = entries[held]
+    begins, ends = runs_of(entries["token"])
+    homes = np.zeros(len(entries), np.int64)
+    for i, j in zip(begins.tolist(), ends.tolist(), strict=True):
+        if j - i <= FEW:
+            homes[i:j] = xxhash.xxh3_64_intdigest(np.sort(entries["group"][i:j]).tobytes()) >> 1 or 1
+    return entries, homes
+
 
+def homes_of(met: DataFrame) -> DataFrame:
+    """`met` with homes for the shingles of many groups: the most frequent one that occurs with it in a group."""
+    frequent = met.where("home IS NULL").select("token", "group")
+    sizes = frequent.groupBy("token").agg(F.count("*").alias("size"))
+    sized = frequent.join(sizes, "token")
+    leaders = sized.groupBy("group").agg(F.max(F.struct("size", "token")).alias("leader"))
+    homes = sized.join(leaders, "group").groupBy("token").agg((-1 - F.max("leader")["token"]).alias("home"))
+    return met.where("home IS NOT NULL").select("token", "group", "home").union(frequent.join(homes, "token").select("token", "group", "home"))
 
-def apart_only(entries: np.ndarray) -> np.ndarray:
-    """The entries of tokens that more than one group has; `entries` stand by token."""
-    if not len(entries):
-        return entries
-    begins = np.flatnonzero(np.concatenate([[True], entries["token"][1:] != entries["token"][:-1]]))
-    several = np.minimum.reduceat(entries["group"], begins) != np.maximum.reduceat(entries["group"], begins)
-    return entries[np.repeat(several, np.diff(np.append(begins, len(entries))))]
-
-
-def linked_clusters(pairs: DataFrame, members: DataFrame, known: DataFrame, texts: DataFrame, classes: object) -> DataFrame:
-    """The edges `known` (a, b) and those between candidate clusters that have a link."""
-    radius = members.groupBy(F.col("cluster").alias("c")).agg(F.max("distance").alias("r"))
-    of = lambda side: radius.select(F.col("c").alias(side), F.col("r").alias(f"r{side}"))
-    wide = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").na.fill(0.0, ["ra", "rb"])
-    wide = stage(wide.withColumn("least", F.greatest(F.lit(0.0), SIMILAR - F.col("ra") - F.col("rb") - 1e-9)), "candidates")
-    checked = stage(similarity_pairs(wide.select("a", "b", "least"), texts, classes), "centres")
-    edges = known.union(checked.where("linked").select("a", "b"))
-
-    # Centres that are close but not linked, unless their clusters are connected already.
-    unclear = checked.where("not linked").join(wide.select("a", "b", "ra", "rb"), ["a", "b"])
-    if unclear.isEmpty():
-        return edges
-    unclear = stage(apart(unclear, edges).select("a", "b", "na", "nb", "overlap", "ra", "rb"), "unclear")
-    if unclear.isEmpty():
-        return edges
-    inside = members.select("cluster", F.col("no").alias("x"), "n", "added")
-    sides = None
-    for own, other in (("a", "b"), ("b", "a")):
-        # A member meets the other centre in what its own centre does and in what it has added. It is asked
-        # only if that can be as much as a link with some member around the other centre takes.
-        s, n, most = F.greatest(F.lit(0.0), SIMILAR - F.col(f"r{other}") - 1e-9), F.col("n"), F.col(f"n{other}")
-        reach = F.col("overlap") + F.least("added", most - F.col("overlap"))
-        able = (reach >= s / (1 + s) * (n + most) - 1e-6) & (F.least(n, most) >= s * F.greatest(n, most) - 1e-6)
-        side = unclear.join(inside, (F.col(own) == F.col("cluster")) & able)
-        side = side.select("a", "b", "x", F.col(other).alias("to"), F.col(f"r{other}").alias("r"), F.lit(own).alias("side"))
-        sides = side if sides is None else sides.union(side)
-    sides = stage(sides, "sides")
-    asked = sides.groupBy(F.col("to").alias("a"), F.col("x").alias("b")).agg(F.min(F.greatest(F.lit(0.0), SIMILAR - F.col("r") - 1e-9)).alias("least"))
-    near = similarity_pairs(asked, texts, classes).select(F.col("a").alias("to"), F.col("b").alias("x"), "linked")
-    near = stage(sides.join(near, ["to", "x"]), "reach")
-    more = near.where("linked").select("a", "b").distinct()
-    edges = stage(edges.union(more), "edges")
-
-    # Members on both sides that may meet although neither meets the other side's centre.
-    a, b = (near.where((F.col("side") == s) & ~F.col("linked")).select("a", "b", F.col("x").alias(f"x{s}")) for s in ("a", "b"))
-    both = a.join(b, ["a", "b"])
-    if both.isEmpty():
-        return edges
-    both = stage(apart(both, edges), "both")
-    asked = both.select(F.least("xa", "xb").alias("a"), F.greatest("xa", "xb").alias("b")).distinct()
-    met = similarity_pairs(asked.withColumn("least", F.lit(SIMILAR)), texts, classes).where("linked")
-    met = both.join(met.select(F.col("a").alias("p"), F.col("b").alias("q")), (F.least("xa", "xb") == F.col("p")) & (F.greatest("xa", "xb") == F.col("q")))
-    return edges.union(met.select("a", "b").distinct())
-
-
-def apart(pairs: DataFrame, edges: DataFrame) -> DataFrame:
-    """Pairs of clusters that the edges do not connect."""
-    known = stage(components(edges), "known")
-    of = lambda side: known.select(F.col("node").alias(side), F.col("component").alias(f"root_{side}"))
-    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).drop("root_a", "root_b")
+
+def memberships(met: DataFrame, nodes: DataFrame, groups: DataFrame, texts: DataFrame, classes: object, parts: int) -> DataFrame:
+    """home, node, group, n and size of text of every node that comes to a home.
+
+    A node that is a group of its own comes with its group's shingles, a member of a larger group with those in its own prefix.
+    """
+    linked = groups.select("no", F.col("component").alias("group"))
+    single = met.join(linked, met["group"] == linked["no"], "left_anti").select("home", F.col("group").alias("node"), "group")
+    asked = met.join(linked.select("group").distinct(), "group", "left_semi")
+    own = texts.join(linked.join(asked.select("group").distinct(), "group", "left_semi"), "no").select("no", "group", "text")
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, _, first in prefixes(batches, classes.value):
+            part, token = prefix_tokens(first, parts)
+            same = [pa.array(np.full(len(first), row[c], np.int64)) for c in ("no", "group")]
+            yield pa.RecordBatch.from_arrays([pa.array((part << 32) | token.astype(np.int64)), *same], ["token", "node", "group"])
+
+    held = own.mapInArrow(tokens, "token long, node long, group long").join(asked, ["token", "group"]).select("home", "node", "group")
+    sized = nodes.select(F.col("no").alias("node"), "n", "bytes")
+    return single.union(held).distinct().join(sized, "node")
+
+
+def in_tiles(members: DataFrame) -> DataFrame:
+    """`members` with the tile of each: the number of its first member. Members of a tile have about one size of
+    text, and it holds at most `TILE_BYTES` of text or one member."""
+    members = members.withColumn("kind", F.floor(F.log2(F.col("bytes") + 1)).cast("int"))
+    numbered = number_rows(members, "place", order_by=["home", "kind", "group", "node"])
+    rows = F.greatest(F.lit(1), F.least(F.lit(TILE_ROWS), F.floor(F.lit(TILE_BYTES) / F.pow(F.lit(2.0), F.col("kind") + 1)).cast("long")))
+    own = Window.partitionBy("home", "kind", F.floor(F.col("place") / rows))
+    return numbered.select("home", "node", "group", "n", F.min("place").over(own).alias("tile"))
+
+
+class Tile:
+    """Ordered sets of a tile's members, the trie they stand in, and their signatures."""
+
+    def __init__(self, members: list[tuple[int, int, bytes]], hashes: sh.WordHashes, order: np.ndarray):
+        self.nodes, self.groups = [m[0] for m in members], [m[1] for m in members]
+        self.sets = [sh.in_order(s, order) for s in sh.shingle_sets([m[2] for m in members], hashes)]
+        self.sizes = np.array([len(s) for s in self.sets], np.int64)
+        self.trie = sh.Trie(self.sets)
+        self.signed: dict[int, np.ndarray] = {}
+
+    def signatures(self, bits: int) -> np.ndarray:
+        if bits not in self.signed:
+            self.signed[bits] = sh.parities(self.sets, bits)
+        return self.signed[bits]
+
+
+class Roots(dict):
+    """Groups that links have joined, as far as this task knows."""
+
+    def of(self, group: int) -> int:
+        while group in self:
+            if self[group] in self:
+                self[group] = self[self[group]]
+            group = self[group]
+        return group
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.of(a), self.of(b)
+        if a != b:
+            self[max(a, b)] = min(a, b)
+        return a != b
+
+
+def connecting_links(p: Tile, q: Tile, roots: Roots) -> Iterator[tuple[int, int]]:
+    """Links between a set of `p` and one of `q` that connect two groups not connected so far."""
+    bits = sh.signature_bits(int(max(p.sizes.max(), q.sizes.max())))
+    differ = (bits - p.signatures(bits) @ q.signatures(bits).T) / 2
+    able = 9 * differ <= p.sizes[:, None] + q.sizes
+    for i in np.flatnonzero(able.any(1)).tolist():
+        own = roots.of(p.groups[i])
+        needed = [
+            sh.least_overlap(int(p.sizes[i]), int(q.sizes[j])) if fits and roots.of(q.groups[j]) != own else sh.NEVER
+            for j, fits in enumerate(able[i].tolist())
+        ]
+        if min(needed) == sh.NEVER:
+            continue
+        for j, overlap in enumerate(q.trie.overlaps(p.sets[i], needed)):
+            if overlap >= 0 and roots.join(p.groups[i], q.groups[j]):
+                yield p.nodes[i], q.nodes[j]
+
+
+def trie_links(members: DataFrame, texts: DataFrame, classes: object) -> DataFrame:
+    """Links (a, b) that connect the groups that come together at a home.
+
+    Work is dealt out by tile: alone, or as one tile with up to `TILES_PER_GROUP` others of its home. Texts are
+    fetched from their buckets and shuffled once, to the work that needs them.
+    """
+    ends = [F.min("n").alias("least"), F.max("n").alias("most"), F.min("group").alias("first"), F.max("group").alias("last")]
+    shapes = stage(members.groupBy("home", "tile").agg(*ends), "tiles")
+    left, right = (shapes.select(*[F.col(c).alias(f"{c}_{side}" if c != "home" else c) for c in shapes.columns]) for side in "ab")
+    fits = (5 * F.col("most_a") >= 4 * F.col("least_b")) & (5 * F.col("most_b") >= 4 * F.col("least_a"))
+    apart = (F.col("first_a") != F.col("last_a")) | (F.col("first_b") != F.col("last_b")) | (F.col("first_a") != F.col("first_b"))
+    pairs = left.join(right, "home").where((F.col("tile_a") < F.col("tile_b")) & fits & apart).select(F.col("tile_a").alias("a"), F.col("tile_b").alias("b"))
+    # Tiles of one home are next to each other by number, so neighbours of a tile fall into one part.
+    pairs = stage(pairs.withColumn("part", F.floor(F.col("b") / (TILE_ROWS * TILES_PER_GROUP))), "tile_pairs")
+    nothing = F.lit(None).cast("long")
+    held = lambda side: members.select(F.col("tile").alias(side), "node", "group")
+    alone = shapes.where("first <> last").select(F.col("tile").alias("a")).join(held("a"), "a")
+    alone = alone.select("a", F.lit(-1).cast("long").alias("part"), nothing.alias("b"), "node", "group")
+    probes = pairs.select("a", "part").distinct().join(held("a"), "a").select("a", "part", nothing.alias("b"), "node", "group")
+    others = pairs.join(held("b"), "b").select("a", "part", "b", "node", "group")
+    work = alone.union(probes).union(others).join(texts.select(F.col("no").alias("node"), "text"), "node")
+    work = work.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for piece in text_slices(batches, "text", TEXT_BYTES):
+            columns = [piece.column(c).to_pylist() for c in ("a", "part", "b", "node", "group")]
+            yield from zip(*columns, text_bytes(piece.column("text")), strict=True)
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, roots, probe = sh.WordHashes(), Roots(), None
+        for (_, part, b), tile in groupby(rows(batches), key=lambda r: r[:3]):
+            own = Tile([r[3:] for r in tile], hashes, classes.value)
+            if b is None:
+                probe = own
+                if part >= 0:
+                    continue
+            found = list(connecting_links(probe, own, roots))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
+
+    return work.mapInArrow(link, "a long, b long")
+
+
+def text_hashes(text: Column) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes."""
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
+def text_numbers(base: DataFrame) -> DataFrame:
+    """`base` with `no`, a number for each distinct text: a 64-bit hash, or another one where two texts share that."""
+    first, second = text_hashes(F.col("text"))
+    both = base.where(F.col("text").isNotNull()).select(first.alias("h1"), second.alias("h2")).distinct()
+    shared = stage(both.groupBy("h1").agg(F.min("h2").alias("least"), F.count("*").alias("n")).where("n > 1").select("h1", "least"), "shared_hashes")
+    if shared.isEmpty():
+        return base.withColumn("no", first)
+    marked = base.withColumns({"h1": first, "h2": second}).join(broadcast_if_small(shared), "h1", "left")
+    no = F.when(F.col("least").isNotNull() & (F.col("h2") != F.col("least")), F.xxhash64("h1", "h2")).otherwise(F.col("h1"))
+    return marked.withColumn("no", no).drop("h1", "h2", "least")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` (default: all) with n_shingles, component_id and text_id.
+    """The columns `keep` (default: all) with n_shingles, component_id, text_id and group_id.
 
     Words are what ASCII white space parts, A-Z lower-cased; a document's set has its distinct 5-word
     shingles, or all words as one if there are fewer. Documents link if 100 * intersection >= 80 * union;
     component_id is the smallest doc_id reachable. Null and empty texts have no shingles and link with
     nothing, not even with each other: their component_id is their own id. A null id is never the smallest;
     a component of null ids only has a null component_id. Repeated rows are in one component. text_id tells
-    equal texts and is null without shingles. Derived columns replace input columns of those names.
-    `docs` should be a scan: it is read twice.
+    equal texts and group_id components, whatever their ids; both are null without shingles. Derived columns
+    replace input columns of those names. `docs` should be a scan: it is read several times.
     """
     spark: SparkSession = docs.sparkSession
     keep = docs.columns if keep is None else keep
@@ -357,7 +472,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         field(docs, doc_id).alias("id"),
         field(docs, text).cast("string").alias("text"),
     )
-    rows = base.withColumn("no", F.xxhash64("text")).select("row", "id", "no", F.col("text").isNotNull().alias("known"))
+    base = text_numbers(base)
+    rows = base.select("row", "id", "no", F.col("text").isNotNull().alias("known"))
     if text not in keep:
         rows = stage(rows, "shingle_rows")
 
@@ -368,7 +484,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     name, path = f"shingle_texts_{uuid.uuid4().hex}", new_path(spark, "shingle_texts")
     (
         base.where(F.col("text").isNotNull())
-        .select(F.xxhash64("text").alias("no"), "id", "text")
+        .select("no", "id", "text")
         .withColumn("nth", F.row_number().over(one))
         .where("nth = 1")
         .drop("nth")
@@ -386,14 +502,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         # At most MOST_SLOTS bytes.
         classes = spark.sparkContext.broadcast(frequency_classes(signed.where("slice is not null"), slots))
         links = band_links(nodes, texts, classes)
-        members = star_clusters(links)
-        groups = stage(components(links.select("a", "b")), "groups")
+        groups = stage(components(links).select(F.col("node").alias("no"), "component"), "groups")
         size = F.col("n")
         postings = nodes.agg(F.sum(size - F.ceil(4 * size / 5) + 1)).first()[0] or 0
         parts = max(width, math.ceil(postings / POSTINGS_PER_PART))
-        pairs = candidates(texts, members, groups, classes, int(parts))
-        edges = linked_clusters(pairs, members, links.select("a", "b"), texts, classes)
-        joined = components(edges)
+        met = stage(meeting_groups(texts, groups, classes, int(parts)), "met")
+        met = stage(homes_of(met), "homes")
+        members = stage(memberships(met, nodes, groups, texts, classes, int(parts)), "members")
+        more = stage(trie_links(stage(in_tiles(members), "in_tiles"), texts, classes), "trie_links")
+        joined = components(links.select("a", "b").union(more))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         remove_path(spark, path)
@@ -401,8 +518,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rooted = nodes.join(joined, F.col("no") == F.col("node"), "left").select("no", "id", "n", F.coalesce("component", "no").alias("root"))
     rooted = stage(rooted, "roots")
     smallest = rooted.groupBy("root").agg(F.min("id").alias("smallest"))
-    named = rooted.join(smallest, "root").select(F.col("no").alias("node_no"), "n", "smallest")
-    derived = ["n_shingles", "component_id", "text_id"]
+    named = rooted.join(smallest, "root").select(F.col("no").alias("node_no"), "n", "smallest", "root")
+    derived = ["n_shingles", "component_id", "text_id", "group_id"]
     found = rows.join(named, F.col("known") & (F.col("no") == F.col("node_no")), "left")
     kept = [c for c in keep if c not in derived]
     return found.select(
@@ -410,22 +527,28 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         F.coalesce("n", F.lit(0).cast("long")).alias("n_shingles"),
         F.when(F.col("n").isNotNull(), F.col("smallest")).otherwise(F.col("id")).alias("component_id"),
         F.col("node_no").alias("text_id"),
+        F.col("root").alias("group_id"),
     )
 
 
 def op5_prefix_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle set size and group of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_duplicates(docs, keep=["doc_id"]).select("doc_id", "n_shingles", "component_id")
+    names = ["doc_id", "n_shingles", "component_id"]
+    return written_result(spark, "op5", lambda: near_duplicates(docs, keep=["doc_id"]).select(*names))
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: that with the smallest id, once if it is repeated. Documents without words stay."""
-    found = near_duplicates(docs)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    alone = Window.partitionBy("doc_id", "text_id").orderBy("lang", "source", "n_chars")
-    kept = first.where("text_id is not null").withColumn("nth", F.row_number().over(alone)).where("nth = 1")
-    return kept.select(*docs.columns).union(first.where("text_id is null").select(*docs.columns))
+    """One document of each group, also of groups whose ids are null or repeated: that with the smallest id, null
+    last, and of several such the first by text and the other columns. Documents without words stay."""
+
+    def kept() -> DataFrame:
+        found = near_duplicates(docs)
+        order = Window.partitionBy("group_id").orderBy(F.col("doc_id").asc_nulls_last(), "text_id", "lang", "source", "n_chars")
+        first = found.where("group_id is not null").withColumn("nth", F.row_number().over(order)).where("nth = 1")
+        return first.select(*docs.columns).union(found.where("group_id is null").select(*docs.columns))
+
+    return written_result(spark, "near_duplicates", kept)
 
 
 ORACLE_SQL = {

@@ -7,6 +7,8 @@ import xxhash
 
 WORDS = 5
 BANDS, ROWS = 4, 3
+#: An overlap that no set has.
+NEVER = 1 << 62
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -83,6 +85,23 @@ def in_order(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return np.sort((classes[slot].astype(np.uint64) << np.uint64(56)) | (s & np.uint64((1 << 56) - 1)))
 
 
+def signature_bits(n: int) -> int:
+    """Bits of the signatures of sets of up to n elements: enough that those some ninth apart differ in most of them."""
+    return 1 << min(11, max(7, n.bit_length()))
+
+
+def parities(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """A signature for each set: 1 or -1 for each of `bits` hash classes, by whether an even number of elements falls there.
+
+    Each element that one set has and another has not changes one of the bits, so sets differ at least in as
+    many elements as signatures in bits.
+    """
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    bit = (np.concatenate(sets) & np.uint64(bits - 1)).astype(np.int64)
+    counts = np.bincount(owner * bits + bit, minlength=len(sets) * bits).reshape(len(sets), bits)
+    return (1 - 2 * (counts & 1)).astype(np.float32)
+
+
 def least_overlap(m: int, n: int) -> int:
     """The smallest intersection of sets of m and n elements with 100 * intersection >= 80 * union."""
     return -(-4 * (m + n) // 9)
@@ -120,6 +139,8 @@ class Trie:
             need = needed[row]
             depth = min(shared, len(held))
             held = held[:depth]
+            if need > len(own):
+                continue
             overlap = int(held[-1]) if depth else 0
             while True:
                 left = len(probe) - int(np.searchsorted(probe, own[depth - 1], "right")) if depth else len(probe)

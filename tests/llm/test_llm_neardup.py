@@ -86,8 +86,8 @@ def test_a_hub_whose_members_do_not_link(spark):
     compare(spark, docs)
 
 
-def test_unclear_clusters_are_searched(spark, monkeypatch):
-    """With one band of one minimum, clusters are bad and the member searches must find what is missing."""
+def test_links_that_bands_miss_are_found(spark, monkeypatch):
+    """With bands that say next to nothing, the homes and their tries must find what is missing."""
     monkeypatch.setattr(neardup.sh, "band_keys", lambda sets: np.array([[len(s) % 3] * sh.BANDS for s in sets], np.int64).reshape(len(sets), sh.BANDS))
     source = random.Random(5)
     base = [f"b{i}" for i in range(60)]
@@ -100,6 +100,56 @@ def test_unclear_clusters_are_searched(spark, monkeypatch):
     compare(spark, docs)
 
 
+@pytest.mark.parametrize("few, short, rows", [(4, 64, 256), (1, 2, 3), (0, 1, 1)])
+def test_homes_and_tiles_of_any_size_lose_no_link(spark, monkeypatch, few, short, rows):
+    """Near copies of one text, most of them not linked with each other, in homes of many tiles."""
+    monkeypatch.setattr(neardup, "FEW", few)
+    monkeypatch.setattr(neardup, "SHORT", short)
+    monkeypatch.setattr(neardup, "TILE_ROWS", rows)
+    monkeypatch.setattr(neardup, "TILES_PER_GROUP", 2)
+    monkeypatch.setattr(neardup.sh, "band_keys", lambda sets: np.arange(len(sets) * sh.BANDS, dtype=np.int64).reshape(len(sets), sh.BANDS))
+    source = random.Random(few)
+    base = [f"b{i}" for i in range(80)]
+    docs = []
+    for k in range(70):
+        copy = list(base)
+        for at in source.sample(range(80), source.randint(0, 5)):
+            copy[at] = f"x{source.randint(0, 5)}"
+        docs.append((k, " ".join(copy[: source.randint(40, 80)])))
+    compare(spark, docs)
+
+
+def test_signatures_bound_the_difference():
+    source = random.Random(4)
+    for _ in range(200):
+        both = source.sample(range(10**9), source.randint(1, 400))
+        a, b = (np.array(sorted(set(both) | set(source.sample(range(10**9), source.randint(0, 300)))), np.uint64) for _ in range(2))
+        bits = sh.signature_bits(max(len(a), len(b)))
+        p, q = sh.parities([a, b], bits)
+        assert (bits - p @ q) / 2 <= len(np.setxor1d(a, b))
+
+
+def test_counting_costs_the_same_at_every_size():
+    """The counter table has a largest size, so that its tasks' work and output follow the text."""
+    assert neardup.MOST_SLOTS * 4 <= 4 << 20
+
+
+def test_texts_that_share_a_hash_stay_apart(spark, monkeypatch):
+    plain = neardup.text_hashes
+    monkeypatch.setattr(neardup, "text_hashes", lambda text: (neardup.F.pmod(plain(text)[0], neardup.F.lit(3)), plain(text)[1]))
+    compare(spark, [(i, f"text number {i // 2} of some few words") for i in range(20)] + [(100, None), (101, "")])
+
+
+def test_one_of_each_group_stays_whatever_the_ids(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    base = [f"b{i}" for i in range(60)]
+    near = [" ".join([*base[:59], f"end{k}"]) for k in range(5)]
+    other = [" ".join([*reversed(base[1:]), f"end{k}"]) for k in range(5)]
+    rows = [(None, t, "en", "s", 1) for t in near] + [(7, t, "en", "s", 1) for t in other] + [(7, other[0], "en", "s", 1)]
+    kept = neardup.stage_near_duplicates(spark, spark.createDataFrame(rows, schema), "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"] in near) for r in kept) == [(0, True), (7, False)]
+
+
 def test_trie_walk_counts_exactly():
     source = random.Random(2)
     for _ in range(100):
