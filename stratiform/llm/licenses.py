@@ -21,38 +21,131 @@ from stratiform.llm.common import field, lower_ascii, set_aside, set_back, settl
 
 # Fixed phrases and labels of the base.
 BASE = {"the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-#: name: (label, template, key phrases that must stand at their places)
+#: name: (label, template, key phrases that must stand at their places). Passages of public licences and their
+#: usual notices, as words.
 TEMPLATES = {
     "mit grant": (
         "mit",
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-        "documentation files the software to deal in the software without restriction",
-        ("permission is hereby granted free of charge",),
+        "documentation files the software to deal in the software without restriction including without limitation the "
+        "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+        "persons to whom the software is furnished to do so subject to the following conditions",
+        ("permission is hereby granted free of charge", "deal in the software without restriction"),
+    ),
+    "mit warranty": (
+        "mit",
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the "
+        "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors "
+        "or copyright holders be liable for any claim damages or other liability",
+        ("without warranty of any kind express or implied", "and noninfringement"),
     ),
     "mit notice": ("mit", "released under the mit license", ("mit license",)),
+    "mit identifier": ("mit", "spdx license identifier mit", ("spdx license identifier mit",)),
+    "apache header": (
+        "apache-2",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the "
+        "license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by "
+        "applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+        "without warranties or conditions of any kind either express or implied",
+        ("apache license version 2", "except in compliance with the license"),
+    ),
     "apache notice": ("apache-2", "licensed under the apache license version 2 0", ("apache license version 2",)),
     "apache conditions": (
         "apache-2",
         "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0",
         ("except in compliance with the license",),
     ),
+    "apache identifier": ("apache-2", "spdx license identifier apache 2 0", ("spdx license identifier apache 2",)),
     "gpl notice": ("gpl-3", "this work is licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
     "gpl terms": (
         "gpl",
         "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
         ("gnu general public license", "free software foundation"),
     ),
+    "gpl preamble": (
+        "gpl",
+        "the gnu general public license is a free copyleft license for software and other kinds of works the licenses for "
+        "most software and other practical works are designed to take away your freedom to share and change the works",
+        ("gnu general public license", "designed to take away your freedom"),
+    ),
+    "gpl 2 identifier": ("gpl-2", "spdx license identifier gpl 2 0", ("identifier gpl 2 0",)),
+    "gpl 3 identifier": ("gpl-3", "spdx license identifier gpl 3 0", ("identifier gpl 3 0",)),
     "lgpl terms": ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation", ("gnu lesser general public license",)),
+    "lgpl identifier": ("lgpl", "spdx license identifier lgpl", ("identifier lgpl",)),
+    "agpl terms": (
+        "agpl",
+        "under the terms of the gnu affero general public license as published by the free software foundation",
+        ("gnu affero general public license",),
+    ),
+    "agpl identifier": ("agpl", "spdx license identifier agpl", ("identifier agpl",)),
     "cc by nc notice": ("cc-by-nc", "licensed under cc by nc 4 0", ("cc by nc",)),
     "cc by nc title": ("cc-by-nc", "creative commons attribution noncommercial 4 0 international license", ("attribution noncommercial",)),
     "cc by title": ("cc-by", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution 4 0",)),
+    "cc by sa title": ("cc-by-sa", "creative commons attribution sharealike 4 0 international license", ("attribution sharealike",)),
+    "cc0 dedication": (
+        "cc0",
+        "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
+        ("waived all copyright and related or neighboring rights",),
+    ),
+    "cc0 identifier": ("cc0", "spdx license identifier cc0 1 0", ("identifier cc0",)),
     "bsd conditions": (
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+        ("redistribution and use in source and binary forms", "must retain the above copyright notice"),
+    ),
+    "bsd opening": (
         "bsd",
         "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
         ("redistribution and use in source and binary forms",),
     ),
+    "bsd endorsement": (
+        "bsd-3",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission",
+        ("endorse or promote products derived from this software",),
+    ),
+    "bsd 2 identifier": ("bsd-2", "spdx license identifier bsd 2 clause", ("identifier bsd 2 clause",)),
+    "bsd 3 identifier": ("bsd-3", "spdx license identifier bsd 3 clause", ("identifier bsd 3 clause",)),
     "isc grant": ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("with or without fee",)),
-    "mpl notice": ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
+    "isc identifier": ("isc", "spdx license identifier isc", ("identifier isc",)),
+    "mpl notice": (
+        "mpl-2",
+        "this source code form is subject to the terms of the mozilla public license v 2 0",
+        ("mozilla public license",),
+    ),
+    "mpl copy": (
+        "mpl-2",
+        "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+        ("mozilla org mpl 2 0",),
+    ),
+    "mpl identifier": ("mpl-2", "spdx license identifier mpl 2 0", ("identifier mpl 2 0",)),
+    "epl terms": (
+        "epl-2",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0",
+        ("eclipse public license 2 0",),
+    ),
+    "epl identifier": ("epl-2", "spdx license identifier epl 2 0", ("identifier epl 2 0",)),
+    "zlib grant": (
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for "
+        "any damages arising from the use of this software permission is granted to anyone to use this software for any "
+        "purpose including commercial applications and to alter it and redistribute it freely",
+        ("including commercial applications and to alter it and redistribute it freely",),
+    ),
+    "artistic terms": (
+        "artistic-2",
+        "you may distribute verbatim copies of the source form of the standard version of this package in any medium without restriction",
+        ("standard version of this package",),
+    ),
+    "artistic notice": ("artistic-2", "under the terms of the artistic license 2 0", ("artistic license 2 0",)),
+    "boost grant": (
+        "bsl-1",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license",
+        ("any person or organization obtaining a copy of the software",),
+    ),
+    "boost notice": ("bsl-1", "distributed under the boost software license version 1 0", ("boost software license",)),
     "unlicense": ("unlicense", "this is free and unencumbered software released into the public domain", ("released into the public domain",)),
     "reserved": ("all-rights-reserved", "all rights reserved", ("all rights reserved",)),
 }
@@ -83,13 +176,13 @@ def document_frequencies(worded: DataFrame, words: list[str]) -> tuple[int, dict
 
 
 def rare_index(total: int, frequencies: dict[str, int], templates: dict = TEMPLATES, indexed: int = INDEXED) -> list[tuple[str, int, int]]:
-    """(word, template number, position) of the rarest words of each template, at their first position."""
+    """(word, template number, position) of the rarest words of each template, at all their positions."""
     postings = []
     for number, (_, body, _) in enumerate(templates.values()):
         words = body.split()
         idf = {w: math.log((total + 1) / (frequencies.get(w, 0) + 1)) for w in words}
         for w in sorted(idf, key=lambda w: (-idf[w], w))[:indexed]:
-            postings.append((w, number, words.index(w)))
+            postings += [(w, number, at) for at, own in enumerate(words) if own == w]
     return sorted(postings)
 
 
@@ -136,33 +229,35 @@ def with_matches(worded: DataFrame, postings: list[tuple[str, int, int]], templa
     index = F.array(*map(F.lit, names))
     array_of = lambda values: F.array(*map(F.lit, values))
 
-    some = F.size(F.array_intersect("words", index)) >= 2
-    hits = F.filter(
-        F.transform("words", lambda w, i: F.struct(F.array_position(index, w).cast("int").alias("word"), i.cast("int").alias("at"))), lambda h: h["word"] > 0
-    )
-    nothing = F.array().cast("array<struct<word:int,at:int>>")
-    df = settled(worded, "_hits", F.when(some, hits).otherwise(nothing))
+    # A document has few of the indexed words, so each of its words is compared with those alone.
+    df = settled(worded, "_known", F.array_intersect("words", index))
+    numbered = F.transform("words", lambda w, i: F.struct(w.alias("word"), i.cast("int").alias("at")))
+    hits = F.filter(numbered, lambda h: F.array_contains("_known", h["word"]))
+    nothing = F.array().cast("array<struct<word:string,at:int>>")
+    df = settled(df, "_hits", F.when(F.size("_known") >= 2, hits).otherwise(nothing))
     votes = F.flatten(
         F.transform(
             "_hits",
             lambda h: F.transform(
-                F.get(lists, h["word"] - 1), lambda p: F.struct(p["template"].alias("template"), (h["at"] - p["position"]).alias("start"))
+                F.get(lists, F.array_position(index, h["word"]).cast("int") - 1),
+                lambda p: F.struct(p["template"].alias("template"), (h["at"] - p["position"]).alias("start")),
             ),
         )
     )
     df = settled(df, "_votes", F.sort_array(votes)).withColumn("_need", array_of(need)).withColumn("_of", array_of(votes_of))
+    # Equal votes stand together in sorted order: a run of them is a place, its length the number that agree.
     vote = lambda i: F.get("_votes", i)
-    # In sorted order, so many equal votes in a row from their first one on are an occurrence.
-    first = lambda v, i: (i == 0) | (vote(i - 1) != v)
-    enough = lambda v, i: F.coalesce(vote(i + F.get("_need", v["template"]) - 1) == v, F.lit(False))
-    agreed = F.filter("_votes", lambda v, i: first(v, i) & enough(v, i))
-    df = settled(df, "_agreed", agreed)
+    places = F.when(F.size("_votes") > 0, F.sequence(F.lit(0), F.size("_votes") - 1)).otherwise(F.array().cast("array<int>"))
+    df = settled(df, "_firsts", F.filter(places, lambda i: (i == 0) | (vote(i - 1) != vote(i))))
+    length = lambda i, k: F.coalesce(F.get("_firsts", k + 1), F.size("_votes")) - i
+    runs = F.transform("_firsts", lambda i, k: F.struct(vote(i).alias("vote"), length(i, k).alias("n")))
+    agreed = F.filter(runs, lambda r: r["n"] >= F.get("_need", r["vote"]["template"]))
     counted = F.transform(
-        "_agreed",
-        lambda v: F.struct(
-            v["template"].alias("template"),
-            v["start"].alias("start"),
-            (F.size(F.filter("_votes", lambda o: o == v)) / F.get("_of", v["template"])).alias("share"),
+        agreed,
+        lambda r: F.struct(
+            r["vote"]["template"].alias("template"),
+            r["vote"]["start"].alias("start"),
+            F.least(F.lit(1.0), r["n"] / F.get("_of", r["vote"]["template"])).alias("share"),
         ),
     )
     labels = array_of([label for label, _, _ in templates.values()])
@@ -179,7 +274,7 @@ def with_matches(worded: DataFrame, postings: list[tuple[str, int, int]], templa
         ),
     )
     near = F.coalesce(F.array_max(F.transform("_counted", lambda m: m["share"])), F.lit(0.0))
-    return settled(settled(df, "licenses", shaped), "near", near).drop("_hits", "_votes", "_need", "_of", "_agreed", "_counted")
+    return settled(settled(df, "licenses", shaped), "near", near).drop("_known", "_hits", "_votes", "_need", "_of", "_firsts", "_counted")
 
 
 def _verified(m: Column, templates: dict) -> Column:

@@ -44,6 +44,56 @@ def test_templates_are_found_where_they_stand(spark):
     assert sorted(m["start"] for m in found[n + 3]["licenses"]) == [0, 3, 6]
 
 
+def voted(text, postings):
+    """Labels by the method, word by word: places with enough agreeing rare words, and all key phrases there."""
+    w = WORD.findall((text or "").translate(FOLD))
+    need, out = li.needed_votes(postings), set()
+    for number, (label, body, phrases) in enumerate(li.TEMPLATES.values()):
+        own, words = [(x, p) for x, n, p in postings if n == number], body.split()
+        for start in range(-len(words), len(w)):
+            if sum(0 <= start + p < len(w) and w[start + p] == x for x, p in own) < need[number]:
+                continue
+            stands = True
+            for phrase in phrases:
+                parts = phrase.split()
+                at = start + next(i for i in range(len(words)) if words[i : i + len(parts)] == parts)
+                stands = stands and at >= 0 and w[at : at + len(parts)] == parts
+            if stands:
+                out.add(label)
+    return out
+
+
+def test_labels_of_the_method_match_brute_force(spark):
+    source = random.Random(8)
+    bodies = [body.split() for _, body, _ in li.TEMPLATES.values()]
+    texts = []
+    for _ in range(150):
+        w = list(source.choice(bodies))
+        for _ in range(source.choice([0, 0, 1, 3, 8])):
+            w[source.randrange(len(w))] = source.choice(["free", "license", "software", "x", "the", "2"])
+        cut = source.randint(0, len(w) // 3)
+        texts.append(" ".join(["pre"] * source.randint(0, 4) + w[cut:] + source.choice(bodies)[: source.randint(0, 9)]))
+    frame = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], SCHEMA)
+    worded = li.with_words(frame.withColumnRenamed("text", "body"), "body", "words")
+    postings = li.rare_index(*li.document_frequencies(worded, li.licence_words()))
+    labels = {r["doc_id"]: r["labels"] for r in li.scan_licenses(frame).collect()}
+    for i, text in enumerate(texts):
+        base = brute(text)[4]
+        assert set(filter(None, labels[i].split(","))) == voted(text, postings) | set(filter(None, base.split(","))), text
+
+
+def test_a_word_that_a_template_has_twice_votes_at_both_places():
+    postings = li.rare_index(100, {}, {"t": ("t", "copy the copy of a copy", ("the copy",))}, indexed=2)
+    assert [p for w, _, p in postings if w == "copy"] == [0, 2, 5]
+
+
+def test_many_repeated_notices_take_linear_time(spark):
+    texts = ["all rights reserved " * 40_000, ("released under the mit license " * 8000)]
+    found = scan(spark, texts)
+    assert len(found[0]["licenses"]) == 40_000 and found[0]["labels"] == "all-rights-reserved"
+    assert len(found[1]["licenses"]) == 8000 and found[1]["n_base"] == 8000
+
+
 def test_a_key_phrase_must_stand(spark):
     near = li.TEMPLATES["mit grant"][1].replace("free of charge", "free for charge")
     found = scan(spark, [near])
