@@ -9,15 +9,17 @@ those of all other shards, and orders its documents by a hash.
 
 Only DataFrame functions are used. Random numbers are hashes of the seed, so reruns agree. Word offsets are
 running sums in two steps, over hash buckets of about `BUCKET_ROWS` documents and inside them, so no task
-holds a source. Identical rows are counted before they are placed and share what their place gets.
+holds a source. Identical rows are counted before they are placed, and numbered within their place.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import field, table
+from stratiform.llm.common import field, settled, table, written_result
 from stratiform.workspace import stage
 
 MOST = 3
@@ -25,6 +27,7 @@ N_SHARDS = 64
 LEAST_BLOCKS = 1024
 MOST_BLOCK_WORDS = 65_536
 BUCKET_ROWS = 4096
+COPIES_PER_TASK = 10_000
 SEED = 20
 WORD = r"[^\x20\x09-\x0D]+"
 DERIVED = ["size", "source_size", "target", "taken", "mix"]
@@ -116,54 +119,88 @@ def hypergeometric(marked: Column, drawn: Column, total: Column, u: Column) -> C
     )
 
 
+def drawn_in_turn(counts: str, quota: Column, *seeds: Column) -> Column:
+    """How many of `quota` items each class gets, classes of the sizes in array `counts` being drawn from without replacement.
+
+    One class after the other gets a hypergeometric share of what is left; the running sums are carried along.
+    """
+    first = F.struct(
+        F.array().cast("array<bigint>").alias("out"),
+        quota.cast("long").alias("quota"),
+        F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x).alias("total"),
+    )
+
+    def following(s: Column, i: Column) -> Column:
+        own = F.get(F.col(counts), i)
+        share = hypergeometric(own, s["quota"], s["total"], uniform(*seeds, i))
+        return F.transform(
+            F.array(share),
+            lambda k: F.struct(
+                F.concat(s["out"], F.array(k)).alias("out"), (s["quota"] - k).alias("quota"), (s["total"] - own).alias("total")
+            ),
+        )[0]
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(counts) - 1), first, following, lambda s: s["out"])
+
+
 def shard_quotas(sources: DataFrame, n_shards: int, seed: int) -> DataFrame:
     """idx and `upto`: how many draws of the source the shards 0 to i take together.
 
-    The tree starts from the draws of all sources as one row. Halves of shards get draws in proportion.
+    The tree starts from the draws of all sources. Halves of shards get draws in proportion. A node's sources
+    stand in stretches of about the square root of their number, a row each: the node's quota is first drawn for
+    the stretches, then within each, so no row holds all sources.
     """
-    counts = F.transform(F.array_sort(F.collect_list(F.struct("idx", "draws"))), lambda x: x["draws"])
-    nodes = sources.agg(counts.alias("counts")).select(F.lit(0).alias("shard"), F.lit(n_shards).alias("width"), "counts")
+    wide = max(1, math.isqrt(sources.count()))
+    numbers = F.transform(F.array_sort(F.collect_list(F.struct("idx", "draws"))), lambda x: x["draws"])
+    nodes = sources.groupBy(F.floor(F.col("idx") / wide).cast("int").alias("stretch")).agg(numbers.alias("counts"))
+    nodes = stage(nodes.select(F.lit(0).alias("shard"), F.lit(n_shards).alias("width"), "stretch", "counts"), "mix_nodes")
     width = n_shards
     while width > 1:
-        total = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
-        share = nodes.withColumn("half", F.expr("(width + 1) div 2").cast("int")).withColumn("total", total)
-        share = share.withColumn("quota", F.expr("total * half div width"))
-        drawn = F.aggregate(
-            F.sequence(F.lit(0), F.size("counts") - 1),
-            F.struct(F.array().cast("array<bigint>").alias("out"), F.col("total").alias("total")),
-            lambda s, i: F.struct(
-                F.concat(
-                    s["out"],
-                    F.array(
-                        hypergeometric(
-                            F.get("counts", i),
-                            F.col("quota") - F.aggregate(s["out"], F.lit(0).cast("long"), lambda a, x: a + x),
-                            s["total"],
-                            uniform(F.lit(seed), F.col("shard"), F.col("width"), i),
-                        )
-                    ),
-                ).alias("out"),
-                (s["total"] - F.get("counts", i)).alias("total"),
-            ),
-            lambda s: s["out"],
-        )
-        split = share.withColumn("left", F.when(F.col("width") > 1, drawn).otherwise(F.col("counts")))
+        sums = nodes.select("shard", "width", "stretch", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("sum"))
+        ordered = F.array_sort(F.collect_list(F.struct("stretch", "sum")))
+        whole = sums.groupBy("shard", "width").agg(ordered.alias("of"))
+        whole = whole.select("shard", "width", F.transform("of", lambda x: x["stretch"]).alias("stretches"), F.transform("of", lambda x: x["sum"]).alias("sums"))
+        total = F.aggregate("sums", F.lit(0).cast("long"), lambda a, x: a + x)
+        whole = whole.withColumn("quota", F.floor(total * F.floor((F.col("width") + 1) / 2) / F.col("width")).cast("long"))
+        shares = settled(whole, "shares", drawn_in_turn("sums", F.col("quota"), F.lit(seed), F.lit(1), F.col("shard"), F.col("width")))
+        shares = shares.select("shard", "width", F.inline(F.arrays_zip("stretches", "shares"))).toDF("shard", "width", "stretch", "quota")
+        share = nodes.join(shares, ["shard", "width", "stretch"]).withColumn("half", F.floor((F.col("width") + 1) / 2).cast("int"))
+        left = drawn_in_turn("counts", F.col("quota"), F.lit(seed), F.lit(2), F.col("shard"), F.col("width"), F.col("stretch"))
+        split = settled(share, "left", F.when(F.col("width") > 1, left).otherwise(F.col("counts")))
         right = F.zip_with("counts", "left", lambda a, b: a - b)
         halves = F.array(
             F.struct(F.col("shard"), F.least("half", "width").alias("width"), F.col("left").alias("counts")),
             F.struct((F.col("shard") + F.col("half")).alias("shard"), (F.col("width") - F.col("half")).alias("width"), right.alias("counts")),
         )
-        nodes = split.select(F.explode(halves).alias("n")).select("n.*").where("width > 0")
+        nodes = stage(split.select("stretch", F.explode(halves).alias("n")).select("stretch", "n.*").where("width > 0"), "mix_nodes")
         width = (width + 1) // 2
     order = Window.partitionBy("idx").orderBy("shard")
+    quotas = nodes.select("shard", "stretch", F.posexplode("counts").alias("place", "quota"))
     return (
-        nodes.select("shard", F.posexplode("counts").alias("idx", "quota"))
+        quotas.select("shard", (F.col("stretch") * wide + F.col("place")).alias("idx"), "quota")
         .withColumn("upto", F.sum("quota").over(order))
         .groupBy("idx")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "upto"))), lambda x: x["upto"]).alias("upto"))
     )
 
 
+def each_copy(found: DataFrame) -> DataFrame:
+    """`found` with `nth`, the number of a row among identical ones (equal marks and `size`), from 0.
+
+    Identical rows are made again from one of them, so that no task numbers them and nothing depends on where
+    they were read. A row with very many copies becomes several stretches of copies first, dealt to different tasks.
+    """
+    alone = found.where("copies IS NULL OR copies = 1").withColumn("nth", F.lit(0).cast("long"))
+    same = ["mark", "mark2", "size"]
+    others = [c for c in found.columns if c not in same]
+    many = found.where("copies > 1").groupBy(*same).agg(*[F.first(c).alias(c) for c in others])
+    begin = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES_PER_TASK).cast("long")))
+    dealt = many.withColumn("begin", begin).repartition("mark", "begin")
+    upto = F.least(F.col("copies"), F.col("begin") + COPIES_PER_TASK) - 1
+    made = dealt.withColumn("nth", F.explode(F.sequence(F.col("begin"), upto))).drop("begin")
+    return alone.unionByName(made)
+
+
 def mix_sources(
     docs: DataFrame,
     text: str = "text",
@@ -178,7 +215,7 @@ def mix_sources(
     over its source: pass, words (the first so many; all but at most one document per source and pass are
     whole), shard, and place, a hash that orders the shard. `taken` is the sum of the words. Null is a source
     of its own, an empty string another. Documents without words and sources without words take nothing.
-    Identical rows share evenly what their place in the stream gets, rounded down. An empty table gives an
+    Identical rows stand next to each other in the stream, each whole in its own place. An empty table gives an
     empty result. Derived columns replace input columns of the same name. `docs` should be a scan: it is read
     several times.
     """
@@ -188,6 +225,7 @@ def mix_sources(
         field(docs, source).cast("string").alias("source"),
         F.coalesce(F.regexp_count(field(docs, text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.xxhash64(*(field(docs, c) for c in docs.columns)).alias("mark"),
+        F.xxhash64(F.lit(1), *(field(docs, c) for c in docs.columns)).alias("mark2"),
     )
     if text not in keep:
         rows = stage(rows, "mix_rows")
@@ -196,9 +234,9 @@ def mix_sources(
     plan = stage(sources.join(shard_quotas(sources, n_shards, seed), "idx", "left"), "mix_plan")
 
     groups = (
-        rows.select("source", "size", "mark")
+        rows.select("source", "size", "mark", "mark2")
         .where("size > 0")
-        .groupBy("source", "size", "mark")
+        .groupBy("source", "size", "mark", "mark2")
         .agg(F.count("*").alias("copies"))
         .withColumn("span", F.col("copies") * F.col("size"))
     )
@@ -218,23 +256,21 @@ def mix_sources(
             F.coalesce(F.sum("bucket_span").over(before), F.lit(0)).alias("bucket_start"),
         )
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("order", "mark", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "bucket").orderBy("order", "mark", "mark2", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
         spread.withColumn("until", F.sum("span").over(inside))
         .join(buckets, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
-        .select(F.col("mark").alias("p_mark"), F.col("size").alias("p_size"), "copies", (F.col("bucket_start") + F.col("until") - F.col("span")).alias("start"))
+        .select(F.col("mark").alias("p_mark"), F.col("mark2").alias("p_mark2"), F.col("size").alias("p_size"), "copies", (F.col("bucket_start") + F.col("until") - F.col("span")).alias("start"))
     )
-    found = rows.join(placed, (F.col("mark") == F.col("p_mark")) & (F.col("size") == F.col("p_size")), "left")
+    same = (F.col("mark") == F.col("p_mark")) & (F.col("mark2") == F.col("p_mark2")) & (F.col("size") == F.col("p_size"))
+    found = rows.join(placed, same, "left")
     plan = plan.select(F.col("source").alias("plan_source"), "source_size", "target", "block", "blocks", "passes", "rest", "upto")
     # One row per source: what is broadcast, if anything, is decided by its measured size.
     found = found.join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
 
-    # Identical rows stand side by side; a hash spreads them over the blocks of their common place.
-    own = F.col("start") + F.floor(uniform(F.col("mark"), F.monotonically_increasing_id()) * F.col("copies")) * F.col("size")
-    last = F.greatest(F.lit(0), F.least(F.col("copies") * F.col("size"), F.col("rest") * F.col("block") - F.col("start")))
-    placed_rows = found.withColumn("at", F.floor(own / F.col("block")).cast("long")).withColumn(
-        "last", F.floor(last / F.col("copies")).cast("long")
-    )
+    own = F.col("start") + F.col("nth") * F.col("size")
+    last = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") * F.col("block") - own))
+    placed_rows = each_copy(found).withColumn("at", F.floor(own / F.col("block")).cast("long")).withColumn("last", last.cast("long"))
     passes = F.when(F.col("start").isNull(), F.array().cast("array<bigint>")).otherwise(F.sequence(F.lit(0).cast("long"), F.col("passes")))
     draw = lambda p: p * F.col("blocks") + F.least("at", F.when(p < F.col("passes"), F.col("blocks")).otherwise(F.col("rest")) - 1)
     mix = F.filter(
@@ -244,7 +280,7 @@ def mix_sources(
                 p.alias("pass"),
                 F.when(p < F.col("passes"), F.col("size")).otherwise(F.col("last")).alias("words"),
                 F.size(F.filter("upto", lambda c: c <= draw(p))).alias("shard"),
-                F.xxhash64(F.lit(seed), F.col("mark"), p, F.lit("place")).alias("place"),
+                F.xxhash64(F.lit(seed), F.col("mark"), F.col("nth"), p, F.lit("place")).alias("place"),
             ),
         ),
         lambda m: m["words"] > 0,
@@ -280,13 +316,15 @@ def write_mix(mixed: DataFrame, path: str, text: str = "text") -> None:
 def op7_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     docs = table(spark, sf_dir, "documents")
-    mixed = mix_sources(docs, keep=["doc_id"])
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    names = ["doc_id", "size", "source_size", "target", "taken"]
+    return written_result(spark, "op7", lambda: mix_sources(docs, keep=["doc_id"]).select(*names))
 
 
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The copies that the mix takes, with the columns of the documents; n_chars follows a cut text."""
-    copies = mixed_copies(mix_sources(docs))
-    return copies.withColumn("n_chars", F.when(F.col("words") < F.col("size"), F.length("text")).otherwise(F.col("n_chars"))).select(
-        *docs.columns
-    )
+    def taken() -> DataFrame:
+        copies = mixed_copies(mix_sources(docs))
+        cut = F.when(F.col("words") < F.col("size"), F.length("text")).otherwise(F.col("n_chars"))
+        return copies.withColumn("n_chars", cut).select(*docs.columns)
+
+    return written_result(spark, "mixed", taken)
