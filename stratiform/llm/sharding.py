@@ -7,11 +7,13 @@ counted, overfull ranges subdivided, and running sums over the parts turn the or
 exact byte offset of each document, from which its shard follows: shards differ by about one document.
 
 One shuffle moves the rows, by part. The driver sees the sampled keys (about `ranges * SAMPLES_PER_RANGE`)
-and one count per part of `MAX_ROWS` rows, never the rows.
+and one count per range, never the rows.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,6 +26,7 @@ N_SHARDS = 40
 RANGES_PER_SHARD = 8
 SAMPLES_PER_RANGE = 64
 MAX_ROWS = 500_000
+MAX_BYTES = 1 << 30
 OVERHEAD = 16
 TEXT_BITS = 40
 #: What the operator adds; input columns of these names are replaced.
@@ -72,12 +75,14 @@ def shard_documents(
     doc_id: str = "doc_id",
     keep: list[str] | None = None,
     max_rows: int = MAX_ROWS,
+    max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
     """The columns `keep` (default: all) with size, text_crc32, law "bytes", shard, slot and grown_shard.
 
     The size of a document is the UTF-8 length of its text plus 16; a null text counts as empty. Slots count
     from 0 within each shard, in key order. Equal texts stand together but are cut where a shard is full;
-    repeated rows are interchangeable and each gets a slot. An empty table gives an empty result. `docs`
+    repeated rows are interchangeable and each gets a slot. A range of more than `max_rows` rows or `max_bytes`
+    is sorted in parts; only rows equal in id and text stay in one. An empty table gives an empty result. `docs`
     should be a scan: it is read several times. Derived columns replace input columns of the same name.
     """
     keep = docs.columns if keep is None else keep
@@ -88,10 +93,12 @@ def shard_documents(
     bounds = splitters(rows, total, n_shards * RANGES_PER_SHARD) if total else np.array([], np.int64)
     ranged = rows.withColumn("range", range_of(bounds))
 
-    counts = {r["range"]: r["n"] for r in ranged.groupBy("range").agg(F.count("*").alias("n")).collect()}
-    cuts = [-(-counts.get(i, 0) // max_rows) or 1 for i in range(len(bounds) + 1)]
-    # Only an overfull range is subdivided; there, the place in the table spreads even rows of one key.
-    spread = F.pmod(F.xxhash64("key", "id", F.monotonically_increasing_id()), F.get(F.lit(cuts), F.col("range")))
+    # One row per range.
+    held = ranged.groupBy("range").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).collect()
+    loads = {r["range"]: max(r["n"] / max_rows, r["bytes"] / max_bytes) for r in held}
+    cuts = [max(1, math.ceil(loads.get(i, 0))) for i in range(len(bounds) + 1)]
+    # Only an overfull range is subdivided, by what the row holds: wherever it is read, it comes to the same part.
+    spread = F.pmod(F.xxhash64("key", "id", "text_crc32", "size"), F.get(F.lit(cuts), F.col("range")))
     parted = ranged.withColumn("part", spread if max(cuts) > 1 else F.lit(0).cast("long"))
 
     before = Window.orderBy("range", "part").rowsBetween(Window.unboundedPreceding, -1)

@@ -13,10 +13,10 @@ DOCS = (
 )
 
 
-@pytest.mark.parametrize("max_rows", [500_000, 40])
-def test_shards_are_near_equal_and_slots_gapless(spark, max_rows):
+@pytest.mark.parametrize("max_rows, max_bytes", [(500_000, 1 << 30), (40, 1 << 30), (500_000, 3000)])
+def test_shards_are_near_equal_and_slots_gapless(spark, max_rows, max_bytes):
     docs = spark.createDataFrame([(d, t, "clash") for d, t in DOCS], "doc_id long, text string, shard string").repartition(5)
-    rows = sharding.shard_documents(docs, n_shards=8, keep=["doc_id", "shard"], max_rows=max_rows).collect()
+    rows = sharding.shard_documents(docs, n_shards=8, keep=["doc_id", "shard"], max_rows=max_rows, max_bytes=max_bytes).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(d for d, _ in DOCS)
     expected = Counter((d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for d, t in DOCS)
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == expected
@@ -43,3 +43,16 @@ def test_one_shard_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
     assert sorted(r["slot"] for r in sharding.shard_documents(docs, n_shards=1).collect()) == [0, 1]
     assert sharding.shard_documents(docs.limit(0)).count() == 0
+
+
+def test_slots_hold_however_the_table_is_read(spark, tmp_path):
+    """Kept texts are read more than once; other splits of the files must give the same shards and slots."""
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string").where("doc_id <> 7")
+    docs.repartition(3).write.parquet(f"{tmp_path}/docs")
+    found = []
+    for split in ("128m", "4k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        sharded = sharding.shard_documents(spark.read.parquet(f"{tmp_path}/docs"), n_shards=8, max_rows=40)
+        found.append(sorted((r["doc_id"] or 0, r["shard"], r["slot"]) for r in sharded.collect()))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1]
