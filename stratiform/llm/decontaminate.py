@@ -6,8 +6,9 @@ match), is suffix-sorted, and its Burrows-Wheeler transform is kept as a wavelet
 wavelet ranks, their occurrences located by walking to the next sampled suffix position, and the spans of
 a document merged. Nothing is shuffled.
 
-Passages are the stated query set: they go to the tasks in blocks of at most `block_bytes` of text, one
-pass over the documents per block, so no broadcast grows with the benchmark.
+Passages are the stated query set: they go to the tasks in blocks of about `block_bytes` of text, so no
+broadcast grows with the benchmark. Each block is a job of its own: what it hits is written by text, and its
+broadcast is gone before the next one is made.
 """
 
 from __future__ import annotations
@@ -25,11 +26,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratiform.llm.common import ALNUM_WORDS, field, table, text_bytes, text_slices, with_derived
+from stratiform.llm.common import ALNUM_WORDS, field, map_texts, table, text_bytes, text_slices, with_derived
+from stratiform.workspace import stage
 
 WINDOW = 13
 SHARD_WORDS = 1_000_000
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 SAMPLE_EVERY = 32
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -58,26 +60,33 @@ class Passages:
 
 
 def passages(rows: list[tuple[str | None, str | None]], window: int) -> Passages:
+    """The distinct windows of some items, some 150 bytes for each word of their texts while they are built."""
     vocabulary: dict[bytes, int] = {}
-    found: dict[tuple[int, ...], set[int]] = {}
     names = sorted({"null" if name is None else name for name, _ in rows})
     number = {name: i for i, name in enumerate(names)}
+    own: list[np.ndarray] = [np.zeros((0, window), np.int32)]
+    items: list[np.ndarray] = [np.zeros(0, np.int32)]
     for name, text in rows:
         words = (text or "").encode().translate(ALNUM_WORDS).split()
-        ids = [vocabulary.setdefault(w, len(vocabulary) + 2) for w in words]
-        length = min(window, len(ids))
-        for i in range(len(ids) - length + 1 if ids else 0):
-            found.setdefault(tuple(ids[i : i + length]), set()).add(number["null" if name is None else name])
-    windows = np.full((len(found), window), -1, np.int64)
-    for row, ids in zip(windows, found, strict=True):
-        row[window - len(ids) :] = ids
-    owners = [sorted(v) for v in found.values()]
+        ids = np.fromiter((vocabulary.setdefault(w, len(vocabulary) + 2) for w in words), np.int32, len(words))
+        if not len(ids):
+            continue
+        if len(ids) < window:
+            ids = np.concatenate([np.full(window - len(ids), -1, np.int32), ids])
+        own.append(np.lib.stride_tricks.sliding_window_view(ids, window))
+        items.append(np.full(len(own[-1]), number["null" if name is None else name], np.int32))
+    flat, item = np.concatenate(own), np.concatenate(items)
+    order = np.lexsort((item, *flat.T[::-1]))
+    flat, item = flat[order], item[order]
+    new = np.concatenate([[True], (flat[1:] != flat[:-1]).any(1)]) if len(flat) else np.zeros(0, bool)
+    other = np.concatenate([[True], new[1:] | (item[1:] != item[:-1])]) if len(flat) else new
+    windows = flat[new]
     return Passages(
         vocabulary,
         windows,
-        np.array([len(k) for k in found], np.int64),
-        np.cumsum([0, *map(len, owners)]),
-        np.array([x for v in owners for x in v], np.int64),
+        (windows >= 0).sum(1),
+        np.searchsorted(np.cumsum(new)[other], np.arange(1, len(windows) + 2)),
+        item[other],
         names,
     )
 
@@ -303,18 +312,48 @@ def find_passages(
     ).distinct()
     total = queries.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    state = docs.select(
-        F.struct(*(field(docs, c) for c in docs.columns)).alias("row"),
-        field(docs, text).cast("string").alias("text"),
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast(SPAN).alias("hit_spans"),
-        F.array().cast("array<string>").alias("hit_items"),
-    )
+    value = field(docs, text).cast("string")
+
+    def searched(row: Column, block: object) -> DataFrame:
+        nothing = [F.lit(0).cast("long").alias("n_words"), F.array().cast(SPAN).alias("hit_spans"), F.array().cast("array<string>").alias("hit_items")]
+        return _pass(docs.select(row.alias("row"), value.alias("text"), *nothing), block, shard_words)
+
+    def block_of(part: DataFrame) -> object:
+        return spark.sparkContext.broadcast(passages([(r["name"], r["body"]) for r in part.toLocalIterator()], window))
+
+    if blocks == 1:
+        whole = F.struct(*(field(docs, c) for c in docs.columns))
+        return with_derived(searched(whole, block_of(queries)), "row", DERIVED.names)
+
+    hits = None
     for b in range(blocks):
-        part = queries.where(F.pmod(F.xxhash64("name", "body"), F.lit(blocks)) == b)
-        rows = [(r["name"], r["body"]) for r in part.toLocalIterator()]
-        state = _pass(state, spark.sparkContext.broadcast(passages(rows, window)), shard_words)
-    return with_derived(state, "row", DERIVED.names)
+        block = block_of(queries.where(F.pmod(F.xxhash64("name", "body"), F.lit(blocks)) == b))
+        found = searched(F.struct(*text_hashes(value)), block).where(F.size("hit_spans") > 0)
+        found = stage(found.select("row.*", "hit_spans", "hit_items").dropDuplicates(["h1", "h2"]), "block_hits")
+        block.destroy()
+        hits = found if hits is None else hits.union(found)
+    # At most one row per block and text.
+    of_text = hits.groupBy("h1", "h2").agg(
+        F.flatten(F.collect_list("hit_spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_items")))).alias("items")
+    )
+    of_text = of_text.select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), merged_spans("spans").alias("_spans"), F.col("items").alias("_items"))
+    counted = map_texts(docs, text, T.StructType([DERIVED["n_words"]]), lambda texts: {"n_words": [len(b.translate(ALNUM_WORDS).split()) for b in text_bytes(texts)]})
+    own = [h == F.col(name) for h, name in zip(text_hashes(field(counted, text).cast("string")), ("_h1", "_h2"), strict=True)]
+    joined = counted.join(of_text, own[0] & own[1], "left")
+    kept = [field(joined, c) for c in docs.columns if c not in DERIVED.names]
+    spans = F.coalesce("_spans", F.array().cast(SPAN)).alias("hit_spans")
+    return joined.select(*kept, "n_words", spans, F.coalesce("_items", F.array().cast("array<string>")).alias("hit_items"))
+
+
+def text_hashes(text: Column) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes; of null as of an empty text."""
+    body = F.coalesce(text, F.lit(""))
+    return F.xxhash64(body).alias("h1"), F.xxhash64(F.lit(1), body).alias("h2")
+
+
+@F.pandas_udf(SPAN)
+def merged_spans(spans: pd.Series) -> pd.Series:
+    return pd.Series([[{"start": a, "end": b} for a, b in merged([(x["start"], x["end"]) for x in own])] for own in spans])
 
 
 def n_hit() -> Column:
