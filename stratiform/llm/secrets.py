@@ -4,12 +4,16 @@ Candidates are runs of at least `LEAST_LENGTH` token characters with a digit, an
 its assignment sign the value, whatever its length and characters. The forest sees length,
 transitions between character classes, character statistics, how much of the candidate is made of dictionary
 words, the path of the document and the words around. It is trained from labelled findings: a table of
-(text before, candidate, text after, path, label), or, where none is given, findings of the scanned
-documents that fixed rules can label (a value with a digit or in quotes that is assigned to a secret's name,
-or a known key format; a call or stand-in assigned so, a plain number, a host or mail name, a digest with its name).
+(text before, candidate, text after, path, label), or, where none is given, two halves. One are findings made by
+`planted_findings`, whose label is how they were made: random keys in the places where keys stand, and what scanners
+take for them, among it stand-ins, made-up passwords of words, digests and identifiers with a secret's name before them.
+The other are findings of the scanned documents that fixed rules can label (a value with a digit or in quotes
+that is assigned to a secret's name, or a known key format; a call or stand-in assigned so, a plain number, a host
+or mail name, a digest with its name). Where the two disagree, planted findings weigh more.
 
-Only DataFrame and ML pipeline functions are used. Scanning and scoring are narrow; training takes at most
-`MAX_TRAINING` findings, those with the smallest hashes, so its cost does not grow with the corpus.
+Only DataFrame and ML pipeline functions are used. Texts are searched once; their candidates, which are few, are
+written, and everything else reads those. Training takes at most `MAX_TRAINING` findings of each half, those with
+the smallest hashes, so its cost does not grow with the corpus.
 """
 
 from __future__ import annotations
@@ -20,13 +24,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import field, lower_ascii, set_aside, set_back, table
+from stratiform.llm.common import field, lower_ascii, set_aside, set_back, table, written_result
 from stratiform.workspace import stage
 
 LEAST_LENGTH = 16
 CONTEXT = 60
 MAX_TRAINING = 20_000
 TREES, DEPTH, SEED = 30, 8, 11
+#: Findings planted of each kind, and how much more one of them weighs than one labelled by rule.
+PLANTED, PLANTED_WEIGHT = 200, 4.0
 CUT = 0.5
 
 #: Names that stand before a secret, before something harmless, and words that tokens of code are made of.
@@ -156,21 +162,77 @@ def labelled(found: DataFrame) -> DataFrame:
     return found.withColumn("label", rule_label()).where("label is not null")
 
 
+def planted_findings(spark: SparkSession, each: int = PLANTED) -> DataFrame:
+    """kind, before, candidate, after, path and label of made findings, `each` of every kind, the same in every run.
+
+    A kind says how its findings were made and so what they are, whatever a rule would say of them.
+    """
+    n = F.col("id")
+    digest = lambda salt: F.sha2(F.concat(n.cast("string"), F.lit(salt)), 256)
+    pick = lambda salt, *values: F.get(F.array(*map(F.lit, values)), F.pmod(F.xxhash64(n, F.lit(salt)), F.lit(len(values))).cast("int"))
+    key = lambda salt, size: F.left(F.translate(F.base64(F.unhex(digest(salt))), "+/=", "xyz"), F.lit(size))
+    hexed = lambda salt, size: F.left(digest(salt), F.lit(size))
+    name = pick("name", "api_token", "secret", "AWS_SECRET_KEY", "auth_token", "db_password", "private_key", "client_secret", "API_KEY")
+    word = lambda salt: pick(salt, "changeme", "example", "password", "default", "sample", "letmein", "admin", "mysecret", "testuser", "string")
+    uuid = F.concat_ws("-", *(F.substring(digest("uuid"), i, k) for i, k in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+    code = pick("code", "src/app/settings.py", "deploy/prod.env", "lib/client.js", "ops/run.sh", "web")
+    sample = pick("sample", "docs/readme.md", "tests/fixtures/a.json", "examples/config.yml", "test/mock.py", "doc")
+    none = F.lit("")
+    kinds = {
+        "assigned key": (F.concat(name, F.lit(" = \"")), key("a", 40), F.lit("\"\n"), code, 1),
+        "environment key": (F.concat(F.lit("export "), name, F.lit("=")), key("b", 32), F.lit("\n"), code, 1),
+        "assigned digits of a key": (F.concat(name, F.lit(": ")), hexed("c", 32), F.lit("\n"), code, 1),
+        "key in an address": (F.lit("https://host.example/v1/items?access_token="), hexed("d", 40), F.lit("&page=2"), code, 1),
+        "key in a header": (F.lit("curl -H 'Authorization: Bearer "), key("e", 43), F.lit("' https"), code, 1),
+        "short password": (F.lit("password = \""), F.concat(key("f", 5), F.lit("!"), key("g", 4)), F.lit("\"\n"), code, 1),
+        "key of a known form": (pick("h", "use ", "id ", "with "), F.concat(F.lit("ghp_"), key("h", 36)), F.lit(" in"), code, 1),
+        "key in prose": (F.lit("the token is "), key("i", 40), F.lit(" and expires"), none, 1),
+        "stand-in": (F.concat(name, F.lit(" = \"")), F.concat(word("j"), pick("k", "1", "123", "2024", "_1")), F.lit("\"\n"), sample, 0),
+        "stand-in of words": (F.concat(name, F.lit(": ")), F.concat_ws("-", F.lit("your"), word("l"), F.lit("token"), pick("m", "1", "here2", "goes3")), F.lit("\n"), sample, 0),
+        "name of a setting": (F.concat(name, F.lit(" = ")), F.concat(F.lit("config_"), word("n"), F.lit("_value_"), pick("o", "1", "2", "3")), F.lit("\n"), code, 0),
+        "digest under a token's name": (F.lit("token checksum sha256: "), hexed("p", 64), F.lit("\n"), code, 0),
+        "commit": (pick("q", "commit ", "see revision ", "merge commit "), hexed("q", 40), F.lit(" in main"), none, 0),
+        "identifier": (pick("r", "auth request id ", "uuid=", "order "), uuid, F.lit(" done"), code, 0),
+        "number": (pick("s", "call ", "invoice ", "account "), F.translate(hexed("s", 16), "abcdef", "012345"), F.lit(" now"), none, 0),
+        "words joined": (pick("t", "see ", "open ", "the "), F.concat_ws("_", word("u"), F.lit("file"), word("v"), pick("w", "v1", "v2", "v3")), F.lit(" for"), none, 0),
+        "path": (F.lit("open https://host.example/"), F.concat_ws("/", F.lit("data"), word("x"), F.lit("release"), pick("y", "2023", "2024"), F.lit("index")), F.lit(".html"), none, 0),
+    }
+    made = F.array(
+        *(
+            F.struct(F.lit(kind).alias("kind"), b.alias("before"), c.alias("candidate"), a.alias("after"), p.alias("path"), F.lit(label).alias("label"))
+            for kind, (b, c, a, p, label) in kinds.items()
+        )
+    )
+    return spark.range(each).select(F.inline(made))
+
+
 def assembled(featured: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(featured)
 
 
+def smallest(findings: DataFrame, most: int) -> DataFrame:
+    """At most so many findings, those with the smallest hashes."""
+    return findings.orderBy(F.xxhash64("candidate", "before", "after", "path"), "candidate", "before", "after").limit(most)
+
+
 def train_forest(findings: DataFrame, max_training: int = MAX_TRAINING) -> RandomForestClassificationModel | None:
-    """A forest from labelled findings (before, candidate, after, path, label); None if a label is missing."""
-    order = [F.xxhash64("candidate", "before", "after", "path"), "candidate", "before", "after"]
-    rows = with_features(findings).orderBy(*order).limit(max_training).select(*FEATURES, F.col("label").cast("double").alias("label"))
-    rows = stage(rows, "findings")
+    """A forest from labelled findings (before, candidate, after, path, label, and weight if there is one); None if a label is missing."""
+    weight = F.col("weight") if "weight" in findings.columns else F.lit(1.0)
+    rows = with_features(smallest(findings, max_training))
+    rows = stage(rows.select(*FEATURES, F.col("label").cast("double").alias("label"), weight.alias("weight")), "findings")
     if rows.select("label").distinct().count() < 2:
         return None
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt")
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt", weightCol="weight")
     return forest.fit(assembled(rows))
 
 
+def own_findings(found: DataFrame, max_training: int = MAX_TRAINING) -> DataFrame:
+    """Labelled findings where none are given: planted ones, and at most `max_training` that the rules label."""
+    names = ["before", "candidate", "after", "path", "label"]
+    planted = planted_findings(found.sparkSession).select(*names, F.lit(PLANTED_WEIGHT).alias("weight"))
+    return planted.union(smallest(labelled(found), max_training).select(*names, F.lit(1.0).alias("weight")))
+
+
 def scan_secrets(
     docs: DataFrame, text: str = "text", path: str | None = "source", findings: DataFrame | None = None, keep: list[str] | None = None, cut: float = CUT
 ) -> DataFrame:
@@ -179,13 +241,14 @@ def scan_secrets(
     `nth` counts the candidates of a document from 0; `digest` is the SHA-256 of the candidate, so that a
     report holds no secret, and `preview` its first four characters. `score` is the forest's probability; a
     finding below `cut` is a false positive (secret false). Documents without candidates, null and empty texts
-    have no rows; a null path counts as empty; repeated rows are scanned one by one. Without findings of both
-    labels there is no forest, and the fixed rules decide alone (score 1, 0, or 0.5 where none applies).
+    have no rows; a null path counts as empty; repeated rows are scanned one by one. `findings` are learned from
+    in place of planted and rule-labelled ones; if they lack a label there is no forest, and the fixed rules
+    decide alone (score 1, 0, or 0.5 where none applies).
     Derived columns replace input columns of the same name.
     """
     keep = docs.columns if keep is None else keep
-    found = candidates(docs, text, path, keep)
-    model = train_forest(labelled(found) if findings is None else findings)
+    found = stage(candidates(docs, text, path, keep), "candidates")
+    model = train_forest(findings) if findings is not None else train_forest(own_findings(found), 2 * MAX_TRAINING)
     featured = with_features(found)
     if model is None:
         scored = featured.withColumn("score", F.coalesce(rule_label().cast("double"), F.lit(0.5)))
@@ -206,4 +269,4 @@ def scan_secrets(
 def op6_forest_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate of every document with its verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return scan_secrets(docs, keep=["doc_id"])
+    return written_result(spark, "op6", lambda: scan_secrets(docs, keep=["doc_id"]))

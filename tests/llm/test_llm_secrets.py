@@ -33,6 +33,59 @@ def test_forest_removes_false_positives(spark):
     assert sum(r["label"] == r["prediction"] for r in rows) / len(rows) > 0.98
 
 
+HELD_OUT = ("assigned digits of a key", "key in prose", "stand-in of words", "words joined")
+
+
+def test_the_forest_is_right_where_the_rules_are_wrong(spark):
+    """Kinds that the forest has not seen, with labels that no rule gave them."""
+    made = secrets.planted_findings(spark, 150)
+    seen = made.where(~secrets.F.col("kind").isin(*HELD_OUT))
+    model = secrets.train_forest(seen)
+    held = secrets.with_features(made.where(secrets.F.col("kind").isin(*HELD_OUT)))
+    rows = model.transform(secrets.assembled(held)).select("kind", "label", "prediction", secrets.rule_label().alias("rule")).collect()
+    right, by_rule = Counter(), Counter()
+    for r in rows:
+        right[r["kind"]] += r["label"] == r["prediction"]
+        by_rule[r["kind"]] += r["label"] == r["rule"]
+    assert by_rule["stand-in of words"] == 0 and by_rule["key in prose"] == 0
+    assert right["stand-in of words"] >= 120 and right["key in prose"] >= 100, right
+    assert sum(right.values()) >= 0.75 * len(rows) and sum(right.values()) > sum(by_rule.values()) + 100, (right, by_rule)
+
+
+def test_held_out_sources_are_told(spark):
+    """All kinds, in documents of sources that the forest has not seen."""
+    made = secrets.planted_findings(spark, 150)
+    unseen = secrets.F.col("path").isin("src/app/settings.py", "docs/readme.md") | (secrets.F.col("path") == "") & (secrets.F.crc32(secrets.F.encode("candidate", "UTF-8")) % 4 == 0)
+    model = secrets.train_forest(made.where(~unseen))
+    held = secrets.with_features(made.where(unseen))
+    rows = model.transform(secrets.assembled(held)).select("kind", "label", "prediction", secrets.rule_label().alias("rule")).collect()
+    wrong = Counter(r["kind"] for r in rows if r["label"] != r["prediction"])
+    assert len(rows) > 400 and sum(wrong.values()) <= 0.03 * len(rows), wrong
+    assert sum(r["label"] != r["rule"] for r in rows) > 0.2 * len(rows)
+
+
+def test_false_positives_that_the_rules_keep_are_removed(spark):
+    digest = hashlib.sha1(b"x").hexdigest()
+    texts = [f'api_token = "{digest}"', 'password = "changeme123"', "secret: your-example-token-here2", f"token checksum sha256: {hashlib.sha256(b'y').hexdigest()}"]
+    frame = spark.createDataFrame([(i, t, "docs/readme.md" if i in (1, 2) else "src/app.py", None) for i, t in enumerate(texts)], SCHEMA)
+    got = {r["doc_id"]: r["secret"] for r in secrets.scan_secrets(frame, keep=["doc_id"]).collect()}
+    found = secrets.candidates(frame, "text", "source", ["doc_id"])
+    rules = {r["_kept0"]: r["label"] for r in found.select("*", secrets.rule_label().alias("label")).collect()}
+    assert got == {0: True, 1: False, 2: False, 3: False} and rules[1] == 1 and rules[2] == 1
+
+
+def test_planted_findings_are_the_same_in_every_run(spark):
+    rows = [sorted(map(tuple, secrets.planted_findings(spark, 20).collect())) for _ in range(2)]
+    assert rows[0] == rows[1] and len(rows[0]) == 20 * 17 and {r[-1] for r in rows[0]} == {0, 1}
+
+
+def test_a_very_long_text_with_many_candidates(spark):
+    text = "".join(f'token = "{hashlib.sha1(str(i).encode()).hexdigest()}"\n' for i in range(5000))
+    frame = spark.createDataFrame([(1, text, None, None)], SCHEMA)
+    rows = secrets.scan_secrets(frame, keep=["doc_id"]).collect()
+    assert sorted(r["nth"] for r in rows) == list(range(5000)) and sum(r["secret"] for r in rows) > 4900
+
+
 def test_planted_tokens_are_told_from_numbers(spark):
     rows = secrets.op6_forest_secrets(spark, SF).collect()
     assert {r["length"] for r in rows if r["secret"]} == {40} and {r["length"] for r in rows if not r["secret"]} == {16}
@@ -41,6 +94,8 @@ def test_planted_tokens_are_told_from_numbers(spark):
 def test_one_label_only_and_empty_table(spark):
     frame = spark.createDataFrame([(1, "token = \"" + "ab12" * 10 + '"', None, None)], SCHEMA)
     assert [r["secret"] for r in secrets.scan_secrets(frame).collect()] == [True]
+    one = spark.createDataFrame([("a ", "b1", " c", "", 0)], "before string, candidate string, after string, path string, label int")
+    assert [r["score"] for r in secrets.scan_secrets(frame, findings=one).collect()] == [1.0]
     assert secrets.scan_secrets(frame.limit(0)).count() == 0
 
 
