@@ -75,6 +75,29 @@ def test_suffix_order():
         assert dc.suffix_order(text).tolist() == sorted(range(n + 1), key=lambda i: text[i:].tolist())
 
 
+def test_windows_of_a_block_fit_a_bounded_memory():
+    """A block of passages costs the driver a bounded multiple of its text, whatever the number of blocks."""
+    import tracemalloc
+
+    random = np.random.default_rng(7)
+    words = [f"word{i}" for i in range(20_000)]
+    rows = [(str(i), " ".join(random.choice(words, 400))) for i in range(700)]
+    size = sum(len(t) for _, t in rows)
+    tracemalloc.start()
+    made = dc.passages(rows, 13)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(made.windows) == len(made.lengths) > 250_000 and made.windows.dtype == np.int32
+    assert most < 60 * size and 64 * dc.BLOCK_BYTES < 1 << 30
+
+
+def test_items_of_equal_windows_are_all_named():
+    made = dc.passages([("b", "x y z"), ("a", "x y z w"), ("a", "x y"), (None, "x y z"), ("c", None)], 3)
+    own = {tuple(w[w >= 0].tolist()): [made.names[i] for i in made.items[made.first_item[k] : made.first_item[k + 1]]] for k, w in enumerate(made.windows)}
+    x, y, z, w = (made.vocabulary[v] for v in (b"x", b"y", b"z", b"w"))
+    assert own == {(x, y, z): ["a", "b", "null"], (y, z, w): ["a"], (x, y): ["a"]}
+
+
 def test_empty_tables(spark):
     assert answer(spark, [], ITEMS) == []
     got = answer(spark, DOCS[:1], [])
