@@ -106,7 +106,11 @@ def read_drifting_parquet(
 
     def scan(paths: Sequence[str]) -> DataFrame:
         reader = spark.read.options(**{"pathGlobFilter": _PARQUET_FILES, **(options or {})}).option("basePath", root)
-        rows = override_present_types(with_source_file(reader.parquet(*paths), source_file), types, strict)
+        return override_present_types(with_source_file(reader.parquet(*paths), source_file), types, strict)
+
+    def scan_some(paths: Sequence[str]) -> DataFrame:
+        # The folders of some files alone may suggest a narrower type.
+        rows = scan(paths)
         return rows.withColumns({c: F.col(c).cast(t) for c, t in LOAD_TYPES.items() if c in rows.columns and c not in types})
 
     try:
@@ -117,7 +121,7 @@ def read_drifting_parquet(
     scans = [scan(paths) for paths in groups.values()]
     count = rest.count()
     if count > files_per_scan:
-        scans.append(in_turns(rest, scan, files_per_scan))
+        scans.append(in_turns(rest, scan_some, files_per_scan))
     elif count:
         named = rest.select("layout", "path").orderBy("layout", "path").collect()
         scans += [scan([r["path"] for r in rows]) for _, rows in groupby(named, key=lambda r: r["layout"])]
