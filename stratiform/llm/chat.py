@@ -38,7 +38,7 @@ MARKERS = {
 }
 MARKER = r"^\s*(?:<\|(?:im_start\|>)?|\[|\*\*|#+\s*)?(?i:%s)(?:\|>|\]|\*\*)?\s*(?::(?:\*\*)?|(?<=[\]>]))\s*"
 #: Features and how many values each has.
-FEATURES = {"marker": 4, "length": 14, "question": 2, "bullet": 2, "greeting": 2, "code": 2}
+FEATURES = {"marker": 4, "length": 14, "question": 2, "bullet": 2, "greeting": 2, "code": 2, "row_length": 15, "row_lines": 7}
 #: What is stored of a line: its features, and whether the role may change there as from turn to turn.
 CODES = [*FEATURES, "begins"]
 #: Lines of each role that markers are assumed to have been seen on, besides those counted: own, none, and others.
@@ -59,10 +59,23 @@ def without_marker(text: Column) -> Column:
 
 
 def split_lines(rows: DataFrame, text: str = "text") -> DataFrame:
-    """A row for each line of `text`, which holds that line, with its number `line` from 0; null and empty texts have one."""
+    """A row for each line of `text`, which holds that line, with its number `line` from 0; null and empty texts have one.
+
+    The first line of a text without any marker, which is one turn, also tells its length and number of lines.
+    """
     others = [c for c in rows.columns if c != text]
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), LINE_END)
-    return rows.select(*others, F.posexplode(lines).alias("line", text))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    one_turn = ~whole.rlike("(?m)" + MARKER % "|".join(MARKERS.values()))
+    described = rows.select(
+        *others,
+        F.split(whole, LINE_END).alias("_lines"),
+        F.when(one_turn, F.least(F.lit(13), F.floor(F.log2(F.length(whole) + 1.0))) + 1).otherwise(0).cast("int").alias("row_length"),
+        one_turn.alias("_one_turn"),
+    )
+    described = described.withColumn("row_lines", F.when(F.col("_one_turn"), F.least(F.lit(6), F.size("_lines"))).otherwise(0).cast("int"))
+    lines = described.select(*others, "row_length", "row_lines", F.posexplode("_lines").alias("line", text))
+    first = lambda c: F.when(F.col("line") == 0, F.col(c)).otherwise(0).alias(c)
+    return lines.select(*others, "line", text, first("row_length"), first("row_lines"))
 
 
 def with_features(lines: DataFrame, text: str = "text") -> DataFrame:
@@ -115,7 +128,7 @@ def train(lines: DataFrame, conversation: str = "conv_id", turn: str = "turn", t
     for r in featured.select("state", pairs.alias("f")).groupBy("state", "f.name", "f.value").count().collect():
         if r["name"] == "begins":
             # Lines inside a row follow one of its own role.
-            step[0, r["state"] - 1, r["state"] - 1] = r["count"] if r["value"] == 0 else 0
+            step[0, r["state"] - 1, r["state"] - 1] += r["count"] * (r["value"] == 0)
         else:
             emit[r["name"]][r["value"], r["state"] - 1] += r["count"]
     # A turn and the one before it: turns are numbered, so the next one is a join on turn + 1, without a sort.

@@ -78,6 +78,18 @@ def test_raw_transcripts_parse_into_turns(spark):
     assert "".join(r["rendered"] for r in rows) == "<|user|>\nhi?\n<|assistant|>\nhello\nmore of it\n<|user|>\nhow are you?\n<|assistant|>\n42\n"
 
 
+def test_held_out_roles_are_recovered(spark):
+    rows = chat.op1_hmm_chat(spark, "/root/testdata/sf0.01").where("held_out AND role IN ('system', 'user', 'assistant')")
+    right, all_ = rows.selectExpr("sum(cast(role = recovered_role AS int))", "count(*)").first()
+    assert all_ > 300 and right >= 0.99 * all_
+
+
+def test_lines_inside_a_row_keep_their_role(spark):
+    rows = [(c, t, ("system", "user", "assistant")[t % 3], "one\ntwo\nthree") for c in range(50) for t in range(6)]
+    step = np.exp(chat.train(spark.createDataFrame(rows, SCHEMA)).step)
+    assert (np.diag(step[0]) > 0.99).all() and (np.diag(step[1]) < 0.1).all()
+
+
 def test_markers_of_another_role_stay(spark):
     m = model()
     m.emit["marker"][:] = 0
