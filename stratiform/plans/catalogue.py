@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.operators.dedupe import keep_newest
@@ -134,6 +134,18 @@ def src_mixed_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_drifting_parquet(spark, root, types, files_per_scan=5)
 
 
+def _parts_of_source(file: Column) -> list[Column]:
+    """Load folder, mark of an archive and ending of the file that a row names as its source.
+
+    The patterns begin with a fixed character or name, so each takes time linear in the path.
+    """
+    return [
+        F.regexp_extract(file, r"/(segment=.*/load=[0-9]+)/", 1).alias("folder"),
+        F.regexp_extract(file, r"(\.zip!)[^.!/]*+\.[a-z]+$", 1).alias("archive"),
+        F.regexp_extract(file, r"\.[a-z]+$", 0).alias("ending"),
+    ]
+
+
 def audit_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For rows of each format, the load folder and the ending of the file they name as their source."""
     found = None
@@ -151,9 +163,7 @@ def audit_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         own = read_source(spark, spec).select(
             F.lit(format).alias("format"),
             F.col(key).cast("bigint").alias("id"),
-            F.regexp_extract("audit_file", r"/(segment=.*/load=[0-9]+)/", 1).alias("folder"),
-            F.regexp_extract("audit_file", r"(\.zip!)?[^.!/]*(\.[a-z]+)$", 1).alias("archive"),
-            F.regexp_extract("audit_file", r"\.[a-z]+$", 0).alias("ending"),
+            *_parts_of_source(F.col("audit_file")),
         )
         found = own if found is None else found.union(own)
     return found
