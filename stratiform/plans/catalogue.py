@@ -124,14 +124,16 @@ def src_schema_drift_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src_mixed_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of two layouts in one folder, read a few at a time."""
+    """Files of two layouts in one folder, read a part of them at a time: six files of each, more where the table
+    is read in more parts."""
     lines, root = feeds.table(spark, sf_dir, "lineitem"), new_path(spark, "bronze")
+    files = max(6, lines.rdd.getNumPartitions())
     older = lines.withColumn("l_quantity", F.col("l_quantity").cast("int")).drop("l_linestatus")
     newer = lines.withColumn("l_suppkey", F.col("l_suppkey").cast("double"))
     for part in (older, newer):
-        land_batch(part.repartition(6, "l_orderkey"), root, "initial", FIRST_LOAD)
+        land_batch(part.repartition(files, "l_orderkey"), root, "initial", FIRST_LOAD)
     types = {"l_quantity": "double", "l_suppkey": "bigint"}
-    return read_drifting_parquet(spark, root, types, files_per_scan=5)
+    return read_drifting_parquet(spark, root, types, files_per_scan=files - 1)
 
 
 def _parts_of_source(file: Column) -> list[Column]:

@@ -40,3 +40,19 @@ def test_parts_of_a_source_path_take_linear_time(spark):
         want = (first(r"/(segment=.*/load=[0-9]+)/", path, 1), first(r"(\.zip!)?[^.!/]*(\.[a-z]+)$", path, 1), first(r"\.[a-z]+$", path, 0))
         assert got[i] == want, path
     assert got[len(paths) - 1] == (load.removeprefix("file:/b/"), "", ".parquet")
+
+
+@tables_here
+def test_a_mixed_folder_gets_more_files_where_the_table_has_more_parts(spark, monkeypatch):
+    landed, land = [], catalogue.land_batch
+    monkeypatch.setattr(catalogue, "land_batch", lambda df, *more: (landed.append(df.rdd.getNumPartitions()), land(df, *more)))
+    want = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count() * 2
+    assert catalogue.src_mixed_folder(spark, SF_DIR).count() == want and landed == [6, 6]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, "8k")
+        assert catalogue.src_mixed_folder(spark, SF_DIR).count() == want and min(landed[2:]) > 6
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
