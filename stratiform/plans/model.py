@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.operators.lookup import broadcast_if_small
+from stratiform.workspace import stage
 
 
 @dataclass(frozen=True)
@@ -89,7 +90,7 @@ def selected_facts(tables: Mapping[str, DataFrame], fact: str, where: Mapping[st
     Conditions on one dimension are put to it first. Its chosen keys then select the facts by a semi join, for
     which they are broadcast if measured to fit: where the fact is partitioned by the key, Spark prunes its
     partitions by them at run time. Their smallest and largest are put to the fact's scan as well, which skips
-    row groups outside.
+    row groups outside. The chosen keys are written, so the dimension is evaluated once for all of this.
     """
     facts = tables[fact]
     by_dimension: dict[str, dict[str, object]] = {}
@@ -101,7 +102,7 @@ def selected_facts(tables: Mapping[str, DataFrame], fact: str, where: Mapping[st
     for dimension, wanted in by_dimension.items():
         path = relationship_for(fact, dimension, use)
         chosen = tables[dimension].where(reduce(and_, (condition(F.col(c), w) for c, w in wanted.items())))
-        keys = chosen.select(F.col(path.key).alias("_key")).where("_key IS NOT NULL").distinct()
+        keys = stage(chosen.select(F.col(path.key).alias("_key")).where("_key IS NOT NULL").distinct(), "chosen_keys")
         low, high = keys.agg(F.min("_key"), F.max("_key")).first()
         if low is None:
             return facts.limit(0)

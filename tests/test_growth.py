@@ -56,3 +56,26 @@ def test_a_mixed_folder_gets_more_files_where_the_table_has_more_parts(spark, mo
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_a_condition_evaluates_its_dimension_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    minutes = spark.range(100).selectExpr("cast(id AS int) AS time_sk", "cast(id % 4 AS int) AS hour")
+    star = {
+        "dim_time": minutes.mapInArrow(counted, "time_sk int, hour int"),
+        "fact_bike_trip": spark.range(1000).selectExpr("cast(id % 200 AS int) AS start_time_sk", "id AS duration_seconds"),
+    }
+    facts = model.selected_facts(star, "fact_bike_trip", {"dim_time.hour": 1})
+    assert facts.count() == 125 and read.value == 100
+
+
+@tables_here
+def test_the_taxi_dates_are_read_from_where_they_were_written(spark):
+    dates = catalogue._taxi_star(spark, SF_DIR)["dim_date"]
+    assert "Join" not in dates._jdf.queryExecution().optimizedPlan().toString()
