@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.operators.lookup import BROADCAST_LIMIT_BYTES, fits_broadcast
 
-_FOUND = "_source_found"
-
 
 def _all_present(keys: Sequence[str]) -> Column:
     return reduce(and_, (F.col(f"`{k}`").isNotNull() for k in keys))
@@ -42,6 +40,8 @@ def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]
     """Raise when several source rows would update the same target row."""
     names = [f"`{k}`" for k in keys]
     repeated = source.filter(_all_present(keys)).groupBy(*names).count().filter("count > 1").select(*names)
+    if repeated.isEmpty():
+        return
     clash = repeated.join(target.select(*names), list(keys), "left_semi").limit(1).collect()
     if clash:
         raise ValueError(f"several source rows match one target row: {clash[0].asDict()}")
@@ -65,7 +65,7 @@ def upsert(
     Both inputs should be scans of written tables, since each is read more than once. When the source,
     or just its keys, was measured to fit a broadcast, the target is not shuffled for that join. When
     not, a left and an anti join take the place of a full outer one, because Spark can split a hot key
-    of the target at run time only in the former.
+    of the target at run time only in the former. Both then read the same shuffle of the source.
     """
     check_merge_columns(target, source, keys, newest_by, surrogate_key)
     source = as_target_types(source, target)
@@ -74,34 +74,31 @@ def upsert(
 
     names = [f"`{k}`" for k in keys]
     payload = [c for c in source.columns if c not in keys and c != surrogate_key]
-    keys_fit, rows_fit = fits_broadcast(source, list(keys), [*keys, *payload], limit_bytes=limit_bytes)
+    keys_fit, rows_fit = fits_broadcast(source, list(keys), source.columns, limit_bytes=limit_bytes)
     matchable = source.filter(_all_present(keys))
 
-    # Every target row, changed where the source has its key.
-    incoming = matchable.select(
-        *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)],
-        *[F.col(f"`{c}`").alias(f"_v{i}") for i, c in enumerate(payload)],
-        F.lit(True).alias(_FOUND),
-    )
-    match = reduce(and_, (F.col(f"`{k}`") == F.col(f"_k{i}") for i, k in enumerate(keys)))
-    takes = F.col(_FOUND).isNotNull()
+    # Every target row, changed where the source has its key. All columns of the source go to the join as they are,
+    # so that its shuffle is the same as that of the join below, and is done once.
+    ours = {c: f"_t{i}" for i, c in enumerate(target.columns)}
+    renamed = target.select(*[F.col(f"`{c}`").alias(ours[c]) for c in target.columns])
+    match = reduce(and_, (F.col(ours[k]) == F.col(f"`{k}`") for k in keys))
+    rest = [c for c in source.columns if c not in keys and c not in payload]
+    takes = reduce(or_, (F.col(f"`{c}`").isNotNull() for c in [keys[0], *rest]))
     if newest_by:
-        takes &= _source_is_newer(payload, newest_by)
-    replaced = {c: F.when(takes, F.col(f"_v{i}")).otherwise(F.col(f"`{c}`")) for i, c in enumerate(payload)}
-    kept = target.join(F.broadcast(incoming) if rows_fit else incoming, match, "left").select(
-        *[replaced[c].alias(c) if c in replaced else F.col(f"`{c}`") for c in target.columns]
+        held = [F.col(ours[c]).alias(c) for c in newest_by]
+        takes &= F.struct(*[F.col(f"`{c}`") for c in newest_by]) >= F.struct(*held)
+    changed = {c: F.when(takes, F.col(f"`{c}`")).otherwise(F.col(ours[c])) for c in payload}
+    kept = renamed.join(F.broadcast(matchable) if rows_fit else matchable, match, "left").select(
+        *[changed.get(c, F.col(ours[c])).alias(c) for c in target.columns]
     )
 
-    # Source rows whose key the target lacks. Only the key columns of the target are read for this, and
-    # a hot key of the target is down to one row per task before it is shuffled.
+    # Source rows whose key the target lacks or which have none. Only the key columns of the target are read for
+    # this, and a hot key of the target is down to one row per task before it is shuffled.
     known = target.filter(_all_present(keys)).select(*names)
     if keys_fit:
         known = F.broadcast(known.join(F.broadcast(matchable.select(*names)), list(keys), "left_semi").distinct())
-    inserted = source.join(known if keys_fit else known.distinct(), list(keys), "left_anti")
+    else:
+        known = known.distinct()
+    new = matchable.join(known, list(keys), "left_anti")
+    inserted = new.unionByName(source.filter(~_all_present(keys)))
     return kept.unionByName(inserted, allowMissingColumns=True)
-
-
-def _source_is_newer(payload: Sequence[str], newest_by: Sequence[str]) -> Column:
-    theirs = [F.col(f"_v{payload.index(c)}").alias(c) for c in newest_by]
-    ours = [F.col(f"`{c}`") for c in newest_by]
-    return F.struct(*theirs) >= F.struct(*ours)

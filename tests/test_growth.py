@@ -7,7 +7,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from stratiform.operators.merge import upsert
 from stratiform.plans import catalogue, model
+from stratiform.workspace import stage
+from test_scale import final_plan, small_skew  # noqa: F401
 
 SF_DIR = "/root/testdata/sf0.001"
 tables_here = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="benchmark tables are not here")
@@ -79,3 +82,15 @@ def test_a_condition_evaluates_its_dimension_once(spark):
 def test_the_taxi_dates_are_read_from_where_they_were_written(spark):
     dates = catalogue._taxi_star(spark, SF_DIR)["dim_date"]
     assert "Join" not in dates._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_both_joins_of_an_upsert_read_one_shuffle_of_the_source(spark, small_skew):
+    target = stage(spark.range(5000).selectExpr("if(id % 50 = 0, NULL, id) AS k", "id AS v", "id AS sk"))
+    source = stage(spark.range(2500, 7500).selectExpr("if(id % 50 = 1, NULL, id) AS k", "-id AS v", "id + 10000 AS sk"))
+    merged = upsert(target, source, ["k"], "sk", source_is_unique=True, limit_bytes=0)
+    assert "ReusedExchange" in final_plan(merged)
+    old, new = ([tuple(r) for r in df.collect()] for df in (target, source))
+    by_key = {k: v for k, v, _ in new if k is not None}
+    want = [(k, by_key.get(k, v), sk) for k, v, sk in old]
+    want += [r for r in new if r[0] is None or r[0] not in {k for k, _, _ in old}]
+    assert sorted(map(tuple, merged.collect()), key=repr) == sorted(want, key=repr)
