@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratiform.workspace import fresh_name, stage
+from stratiform.workspace import as_written, fresh_name, stage
 
 # monotonically_increasing_id() puts the partition in the upper bits and the position in the lower 33.
 _POSITION_BITS = 33
@@ -27,8 +27,8 @@ def number_rows(df: DataFrame, name: str, after: int = 0, order_by: Sequence[str
     slot, before = fresh_name(columns, "_slot"), fresh_name(columns, "_before")
     first = fresh_name(columns, "_part")
     if order_by:
-        # Range partitioning samples its input, so that is written before: it is evaluated once.
-        df = stage(df, "unordered").repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+        # Range partitioning samples its input and then reads it again, both from the last shuffle where there is one.
+        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     written = stage(df.withColumn(slot, F.monotonically_increasing_id()), "numbered")
     part = F.shiftright(slot, _POSITION_BITS)
     position = F.col(slot).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
@@ -41,9 +41,8 @@ def number_rows(df: DataFrame, name: str, after: int = 0, order_by: Sequence[str
         "offsets",
     )
     number = F.lit(after).cast("bigint") + F.col(before) + position + 1
-    return written.join(F.broadcast(offsets), part == F.col(first)).select(
-        *[f"`{c}`" for c in columns], number.alias(name)
-    )
+    numbered = written.join(F.broadcast(offsets), part == F.col(first))
+    return as_written(numbered.select(*[f"`{c}`" for c in columns], number.alias(name)))
 
 
 def max_key(df: DataFrame, name: str) -> int:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from stratiform.operators.merge import as_target_types, check_merge_columns, check_single_match, upsert
 from stratiform.spec import EntitySpec
-from stratiform.workspace import keep_path, new_path, remove_path, stage, staging_scope
+from stratiform.workspace import is_written, keep_path, new_path, remove_path, stage, staging_scope
 
 log = logging.getLogger(__name__)
 
@@ -197,7 +197,7 @@ def merge_table(
         return
     provider = _detail(spark, table, "Provider").lower()
     with staging_scope(spark):
-        written = source if source_is_written else stage(source, "merge_source")
+        written = source if source_is_written or is_written(source) else stage(source, "merge_source")
         if provider in ROW_LEVEL_FORMATS:
             _merge_row_level(written, table, keys, surrogate_key, newest_by, source_is_unique)
             return

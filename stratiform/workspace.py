@@ -10,9 +10,11 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
+from weakref import WeakSet
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: WeakSet[DataFrame] = WeakSet()
 _open_scope: ContextVar[list[str] | None] = ContextVar("stratiform_staged_paths", default=None)
 
 
@@ -38,7 +40,17 @@ def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:
     """
     path = new_path(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return as_written(df.sparkSession.read.schema(df.schema).parquet(path))
+
+
+def as_written(df: DataFrame) -> DataFrame:
+    """`df`, noted as made of what was written: reading it again costs a scan and gives the same rows."""
+    _written.add(df)
+    return df
+
+
+def is_written(df: DataFrame) -> bool:
+    return df in _written
 
 
 @contextmanager

@@ -7,8 +7,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from stratiform.operators import numbering
 from stratiform.operators.merge import upsert
 from stratiform.plans import catalogue, model
+from stratiform.sinks import tables
 from stratiform.workspace import stage
 from test_scale import final_plan, small_skew  # noqa: F401
 
@@ -94,3 +96,16 @@ def test_both_joins_of_an_upsert_read_one_shuffle_of_the_source(spark, small_ske
     want = [(k, by_key.get(k, v), sk) for k, v, sk in old]
     want += [r for r in new if r[0] is None or r[0] not in {k for k, _, _ in old}]
     assert sorted(map(tuple, merged.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_numbered_rows_are_written_once_before_a_merge(spark, database, monkeypatch):
+    staged = []
+    for module in (numbering, tables):
+        monkeypatch.setattr(module, "stage", lambda df, purpose="stage": (staged.append(purpose), stage(df, purpose))[1])
+    table = f"{database}.t"
+    for low in (0, 50):
+        rows = spark.range(low, low + 100).selectExpr("id AS k", "id * 2 AS v")
+        tables.merge_table(numbering.number_rows(rows, "sk", low * 10, order_by=["k"]), table, ["k"], "sk")
+    assert staged == ["numbered", "offsets"] * 2
+    got = sorted(map(tuple, spark.table(table).collect()))
+    assert got == [(k, k * 2, k + 1 if k < 100 else 500 + k - 49) for k in range(150)]
