@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from stratiform.spec import LOAD_COLUMNS, RECENCY_COLUMNS
 from stratiform.workspace import fresh_name
 
+#: Share of all rows from which on a key is taken out of shuffles that send a key to one task.
+FREQUENT_SHARE = 0.01
+
 
 def dedupe_key(df: DataFrame, business_key: Sequence[str], beside: Sequence[str] = ()) -> list[str]:
     """The business key, or the whole row without its load columns and those of `beside` where there is none."""
@@ -39,3 +42,25 @@ def keep_newest(df: DataFrame, business_key: Sequence[str] = (), beside: Sequenc
     rank = F.row_number().over(Window.partitionBy(*[f"`{c}`" for c in key]).orderBy(*newest_first))
     name = fresh_name(df.columns, "_rank")
     return df.withColumn(name, rank).filter(F.col(name) == 1).drop(name)
+
+
+def frequent_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
+    """Hashes of keys, among them those of every key that holds more than `FREQUENT_SHARE` of the rows.
+
+    Others may be among them. At most 1 / `FREQUENT_SHARE` numbers reach the driver.
+    """
+    marked = df.select(F.xxhash64(*[f"`{k}`" for k in keys]).alias("key"))
+    return list(marked.stat.freqItems(["key"], FREQUENT_SHARE).first()[0] or [])
+
+
+def newest_in_order(df: DataFrame, business_key: Sequence[str]) -> DataFrame:
+    """`keep_newest` with its rows ranged by the business key: `number_rows(..., ranged=True)` shuffles no more.
+
+    One shuffle by ranges of the key serves the dedupe and the order. It sends all rows of a key to one task, so
+    keys that may be frequent are reduced by `keep_newest` before. Which these are decides on the way of a row,
+    not on the result. The input is read several times and should be a scan.
+    """
+    names = [f"`{k}`" for k in business_key]
+    frequent = F.xxhash64(*names).isin(frequent_keys(df, business_key))
+    rows = df.where(~frequent).unionByName(keep_newest(df.where(frequent), business_key))
+    return keep_newest(rows.repartitionByRange(*names), business_key)

@@ -6,10 +6,15 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratiform.operators.dedupe import frequent_keys, orderable
 from stratiform.operators.lookup import BROADCAST_LIMIT_BYTES, fits_broadcast
+from stratiform.workspace import fresh_name
+
+#: Rows of one key that a task may take whole.
+HOT_KEY_ROWS = 100_000
 
 
 def _all_present(keys: Sequence[str]) -> Column:
@@ -102,3 +107,55 @@ def upsert(
     new = matchable.join(known, list(keys), "left_anti")
     inserted = new.unionByName(source.filter(~_all_present(keys)))
     return kept.unionByName(inserted, allowMissingColumns=True)
+
+
+def has_hot_key(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether a key without NULLs has so many rows that one task should not take them all."""
+    present = df.filter(_all_present(keys))
+    key = F.xxhash64(*[f"`{k}`" for k in keys])
+    counted = present.where(key.isin(frequent_keys(present, keys))).groupBy(key).count()
+    return (counted.agg(F.max("count")).first()[0] or 0) > HOT_KEY_ROWS
+
+
+def upsert_by_range(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    surrogate_key: str,
+    newest_by: Sequence[str] = (),
+    source_is_unique: bool = False,
+    within: Sequence[str] = (),
+) -> DataFrame:
+    """As `upsert`, by one shuffle of both inputs, whose partitions are ranges of the columns `within` and the keys.
+
+    `within` depends on the keys alone. All rows of a key come to one task, so inputs with a hot key (`has_hot_key`)
+    are for `upsert`. Rows without a key are spread over tasks.
+    """
+    check_merge_columns(target, source, keys, newest_by, surrogate_key)
+    source = as_target_types(source, target)
+    if not source_is_unique:
+        check_single_match(target, source, keys)
+    payload = [c for c in source.columns if c not in (*keys, *within, surrogate_key)]
+    given, spread, first, held = (fresh_name(target.columns, n) for n in ("_given", "_spread", "_first", "_held"))
+    present, is_given = _all_present(keys), F.col(given)
+
+    both = target.withColumn(given, F.lit(False)).unionByName(source.withColumn(given, F.lit(True)), True)
+    apart = F.xxhash64(*[f"`{f.name}`" for f in target.schema.fields if orderable(f.dataType)])
+    both = both.withColumn(spread, F.when(present, F.lit(0).cast("bigint")).otherwise(apart))
+    group = [*[f"`{c}`" for c in (*within, *keys)], spread]
+    whole = Window.partitionBy(*group).orderBy(is_given.desc())
+    whole = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    fields = {c: f"_{i}" for i, c in enumerate(payload)}
+    values = F.struct(is_given.alias("given"), *[F.col(f"`{c}`").alias(n) for c, n in fields.items()])
+    met = both.repartitionByRange(*group).withColumns(
+        {first: F.first(values).over(whole), held: F.max(~is_given).over(whole)}
+    )
+
+    # The source row of a key comes first; it stays where the target has no row of that key.
+    takes = present & ~is_given & F.col(first)["given"]
+    if newest_by:
+        theirs = F.struct(*[F.col(first)[fields[c]].alias(c) for c in newest_by])
+        takes &= theirs >= F.struct(*[F.col(f"`{c}`") for c in newest_by])
+    changed = {c: F.when(takes, F.col(first)[n]).otherwise(F.col(f"`{c}`")) for c, n in fields.items()}
+    stays = ~(present & is_given & F.col(held))
+    return met.where(stays).select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in target.columns])

@@ -13,11 +13,14 @@ from stratiform.workspace import as_written, fresh_name, stage
 _POSITION_BITS = 33
 
 
-def number_rows(df: DataFrame, name: str, after: int = 0, order_by: Sequence[str] = ()) -> DataFrame:
+def number_rows(
+    df: DataFrame, name: str, after: int = 0, order_by: Sequence[str] = (), ranged: bool = False
+) -> DataFrame:
     """Add `name`: bigint numbers after+1, after+2, ... without gaps.
 
     With `order_by` the numbers follow that order, as ROW_NUMBER() OVER (ORDER BY ...) would; list
     enough columns to make the order total. Without it the order is arbitrary but fixed once written.
+    `ranged` says that the partitions of `df` are ranges in that order already.
 
     Rows are written once, together with the partition and position they were written at. Only the row
     count per partition is then needed to turn positions into numbers: one small row per task, which
@@ -28,7 +31,7 @@ def number_rows(df: DataFrame, name: str, after: int = 0, order_by: Sequence[str
     first = fresh_name(columns, "_part")
     if order_by:
         # Range partitioning samples its input and then reads it again, both from the last shuffle where there is one.
-        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+        df = (df if ranged else df.repartitionByRange(*order_by)).sortWithinPartitions(*order_by)
     written = stage(df.withColumn(slot, F.monotonically_increasing_id()), "numbered")
     part = F.shiftright(slot, _POSITION_BITS)
     position = F.col(slot).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))

@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.operators.dedupe import keep_newest
+from stratiform.operators.dedupe import keep_newest, newest_in_order
 from stratiform.operators.merge import upsert
 from stratiform.operators.numbering import max_key, number_rows
 from stratiform.operators.shape import add_audit_columns, override_types, project
@@ -234,9 +234,10 @@ def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _target_and_source(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Deliveries up to 1999 as the table, those from 1998 on as the batch: old, shared and new keys."""
     rows = feeds.deliveries(spark, sf_dir)
-    target = number_rows(keep_newest(rows.filter("year <= 1999"), DELIVERY_KEY), "delivery_sk", order_by=DELIVERY_KEY)
-    batch = keep_newest(rows.filter("year >= 1998"), DELIVERY_KEY)
-    source = number_rows(batch, "delivery_sk", max_key(target, "delivery_sk"), order_by=DELIVERY_KEY)
+    older = newest_in_order(rows.filter("year <= 1999"), DELIVERY_KEY)
+    target = number_rows(older, "delivery_sk", order_by=DELIVERY_KEY, ranged=True)
+    batch = newest_in_order(rows.filter("year >= 1998"), DELIVERY_KEY)
+    source = number_rows(batch, "delivery_sk", max_key(target, "delivery_sk"), order_by=DELIVERY_KEY, ranged=True)
     return target, source
 
 

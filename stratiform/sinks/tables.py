@@ -11,9 +11,16 @@ from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from stratiform.operators.merge import as_target_types, check_merge_columns, check_single_match, upsert
+from stratiform.operators.lookup import fits_broadcast
+from stratiform.operators.merge import (
+    as_target_types,
+    check_merge_columns,
+    check_single_match,
+    has_hot_key,
+    upsert,
+    upsert_by_range,
+)
 from stratiform.spec import EntitySpec
 from stratiform.workspace import is_written, keep_path, new_path, remove_path, stage, staging_scope
 
@@ -28,6 +35,9 @@ LOAD_BATCH = "load_batch"
 # Table properties that say how rows are dealt to buckets.
 _BUCKET_COUNT, _BUCKET_KEYS = "stratiform.key_buckets", "stratiform.bucket_keys"
 
+# Small files a bucket may have on average before a merge gathers them.
+_SMALL_FILES, _SMALL_FILE_BYTES = 4, 16 * 1024 * 1024
+
 # Table formats whose catalogs carry out a row-level MERGE themselves.
 ROW_LEVEL_FORMATS = ("delta", "iceberg")
 
@@ -96,16 +106,34 @@ def batch_is_there(spark: SparkSession, table: str, batch: str) -> bool:
     return not spark.sql(f"SHOW PARTITIONS {table} PARTITION ({LOAD_BATCH}='{batch}')").isEmpty()
 
 
-def _overwrite_partitions(spark: SparkSession, path: str, schema: T.StructType, table: str) -> None:
-    """Replace the partitions of `table` that the rows written at `path` belong to, and no others.
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
 
-    Spark takes the overwrite mode of a catalog table from the session alone, so this has one of its own.
+def _overwrite_partitions(
+    spark: SparkSession, path: str, folder: str, rows: DataFrame, format: str, table: str, buckets: Sequence[int]
+) -> None:
+    """Move the buckets written at `path` to `folder`, among the versions of `table`, and point its partitions there.
+
+    Nothing is written again unless the two are on different file systems. The old files stay, so readers see a
+    bucket as it was or as it is.
     """
-    session = spark.newSession()
-    session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    name = table if "." in table else f"{spark.catalog.currentDatabase()}.{table}"
-    rows = session.read.schema(schema).parquet(path)
-    rows.select(*[f"`{c}`" for c in session.table(name).columns]).write.insertInto(name, overwrite=True)
+    (old, here), (new, there) = _file_system(spark, path), _file_system(spark, folder)
+    if here.getUri().toString() == there.getUri().toString() and here.getScheme() != "viewfs":
+        there.mkdirs(new.getParent())
+        if not here.rename(old, new):
+            raise OSError(f"{path} could not be moved to {folder}")
+    else:
+        written = spark.read.format(format).schema(rows.schema).load(path).hint("rebalance", KEY_BUCKET)
+        written.write.format(format).partitionBy(KEY_BUCKET).save(folder)
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for bucket in buckets:
+        name, location = f"{KEY_BUCKET}={bucket}", f"'{folder}/{KEY_BUCKET}={bucket}'"
+        if name in known:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({name}) SET LOCATION {location}")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({name}) LOCATION {location}")
     spark.catalog.refreshTable(table)
 
 
@@ -158,12 +186,27 @@ def drop_old_versions(spark: SparkSession, table: str) -> int:
     """
     current = _detail(spark, table, "Location").rstrip("/")
     parent, name = current.rsplit("/", 1)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(parent)
-    listing = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    names = [status.getPath().getName() for status in listing]
-    old = [n for n in names if n.startswith("version-") and n != name]
-    for version in old:
-        remove_path(spark, f"{parent}/{version}")
+
+    def inside(folder: str) -> list[str]:
+        place, system = _file_system(spark, folder)
+        return [status.getPath().getName() for status in system.listStatus(place) if status.isDirectory()]
+
+    versions = [n for n in inside(parent) if n.startswith("version-")]
+    if KEY_BUCKET in spark.table(table).columns:
+        # A bucket is in the version of the merge that last touched it. One short path per bucket reaches the driver.
+        used = spark.table(table).select(F.regexp_extract("_metadata.file_path", r"([^/]+/[^/]+)/[^/]+$", 1)).distinct()
+        kept = {r[0] for r in used.collect()}
+        old = []
+        for version in versions:
+            if version == name or any(k.startswith(f"{version}/") for k in kept):
+                buckets = [f"{version}/{b}" for b in inside(f"{parent}/{version}") if b.startswith(f"{KEY_BUCKET}=")]
+                old += [b for b in buckets if b not in kept]
+            else:
+                old.append(version)
+    else:
+        old = [v for v in versions if v != name]
+    for unused in old:
+        remove_path(spark, f"{parent}/{unused}")
     return len(old)
 
 
@@ -203,7 +246,7 @@ def merge_table(
             return
         buckets = _bucketing(spark, table)
         if buckets:
-            _merge_touched(written, table, keys, surrogate_key, newest_by, source_is_unique, *buckets)
+            _merge_touched(written, table, keys, surrogate_key, newest_by, source_is_unique, provider, *buckets)
             return
         merged = upsert(spark.table(table), written, keys, surrogate_key, newest_by, source_is_unique)
         replace_table(merged, table, provider)
@@ -240,14 +283,17 @@ def _merge_touched(
     surrogate_key: str,
     newest_by: Sequence[str],
     source_is_unique: bool,
+    format: str,
     bucket_keys: Sequence[str],
     buckets: int,
 ) -> None:
-    """Upsert within the partitions that hold the source's keys, by Spark's dynamic partition overwrite.
+    """Upsert within the partitions that hold the source's keys, which are then pointed at what was written.
+
+    The merged rows are written once, by bucket, to the shared folder, and moved from there. If that fails on the
+    way, the error names the place they are at; no old file is removed, and merging once more repairs the table.
 
-    The merged rows are written to the shared folder first, so the table is changed by moving files only. If
-    that fails on the way, the rows stay there and the error names the place; merging once more repairs the
-    table, too, unless a partition was lost between its removal and its replacement.
+    A source that fits a broadcast leaves the other rows in the order of their files, so nothing is shuffled,
+    unless these files are many and small. Else both sides go through one shuffle, by ranges of bucket and keys.
     """
     if list(bucket_keys) != list(keys):
         raise ValueError(f"{table} is dealt to buckets by {', '.join(bucket_keys)}, not by {', '.join(keys)}")
@@ -261,14 +307,32 @@ def _merge_touched(
         return
     log.info("%s: %d of %d buckets are rewritten", table, len(touched), buckets)
     part = target.where(F.col(KEY_BUCKET).isin(touched))
-    merged = upsert(part, dealt, keys, surrogate_key, newest_by, source_is_unique).hint("rebalance", KEY_BUCKET)
-    path = new_path(spark, "merged_buckets")
-    merged.write.parquet(path)
+    (small,) = fits_broadcast(dealt, dealt.columns)
+    names = [f"`{k}`" for k in keys]
+    if small:
+        # One task per bucket writes its new rows.
+        dealt = stage(dealt.repartition(KEY_BUCKET), "merge_source")
+    if small or has_hot_key(part.select(*names).union(dealt.select(*names)), keys):
+        merged = upsert(part, dealt, keys, surrogate_key, newest_by, source_is_unique)
+        if not small or _in_small_files(part, len(touched)):
+            merged = merged.hint("rebalance", KEY_BUCKET)
+    else:
+        merged = upsert_by_range(part, dealt, keys, surrogate_key, newest_by, source_is_unique, [KEY_BUCKET])
+    path, folder = new_path(spark, "merged_buckets"), _version_path(spark, table)
+    merged.write.format(format).partitionBy(KEY_BUCKET).save(path)
     try:
-        _overwrite_partitions(spark, path, merged.schema, table)
+        _overwrite_partitions(spark, path, folder, merged, format, table, touched)
     except Exception as error:
+        place, system = _file_system(spark, path)
+        kept = path if system.exists(place) else folder
         keep_path(path)
-        raise RuntimeError(f"merging into {table} broke off; the new rows of its partitions are in {path}") from error
+        raise RuntimeError(f"merging into {table} broke off; the new rows of its partitions are in {kept}") from error
+
+
+def _in_small_files(part: DataFrame, buckets: int) -> bool:
+    """Whether the buckets have more small files than merges should leave behind."""
+    files = part.select("_metadata.file_path", "_metadata.file_size").distinct()
+    return files.where(F.col("file_size") < _SMALL_FILE_BYTES).count() > _SMALL_FILES * buckets
 
 
 def _merge_row_level(
