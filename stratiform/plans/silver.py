@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratiform.operators.dedupe import keep_newest
 from stratiform.operators.numbering import max_key, number_rows
 from stratiform.operators.shape import override_types, project
+from stratiform.plans.at_once import run_at_once
 from stratiform.sinks.tables import table_exists, write_entity
 from stratiform.sources.readers import read_source
 from stratiform.spec import EntitySpec
@@ -56,12 +57,25 @@ def run_entity(spark: SparkSession, spec: EntitySpec, root: str = "") -> None:
 
 
 def run_entities(
-    spark: SparkSession, specs: Iterable[EntitySpec], root: str = "", only: str | None = None
+    spark: SparkSession, specs: Iterable[EntitySpec], root: str = "", only: str | None = None, at_once: int = 1
 ) -> list[str]:
-    """Process all entities, or the one written to table `only`; the first failure stops the run."""
+    """Process all entities, or the one written to table `only`; the first failure stops the run.
+
+    `at_once` entities are processed at the same time, those of one table one after the other in their order. A
+    failure then cancels those that run beside it.
+    """
     chosen = [s for s in specs if only is None or s.destination == only]
     if only is not None and not chosen:
         raise ValueError(f"no entity is written to {only}")
-    for spec in chosen:
-        run_entity(spark, spec, root)
+    if at_once > 1:
+        steps, after, last = {}, {}, {}
+        for number, spec in enumerate(chosen):
+            name, table = f"{number} {spec.destination}", spec.destination.lower()
+            steps[name] = lambda done, spec=spec: run_entity(spark, spec, root)
+            after[name] = [last[table]] if table in last else []
+            last[table] = name
+        run_at_once(spark, steps, after, at_once)
+    else:
+        for spec in chosen:
+            run_entity(spark, spec, root)
     return [s.destination for s in chosen]

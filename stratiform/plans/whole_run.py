@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratiform.plans.at_once import AT_ONCE
 from stratiform.plans.gold import build_gold
 from stratiform.plans.silver import run_entities
 from stratiform.sinks.tables import drop_old_versions
@@ -23,14 +24,17 @@ def run_all(
     silver_schema: str = "dbo",
     gold_schema: str = "gold",
     drop_old: bool = False,
+    at_once: int = AT_ONCE,
 ) -> dict[str, DataFrame]:
-    """`drop_old` removes, after success, the versions of tables that merges and rebuilds no longer use."""
+    """The entities, then the tables of the star, are processed `at_once` at a time.
+
+    `drop_old` removes, after success, the versions of tables that merges and rebuilds no longer use."""
     specs = list(specs)
     for land in landings:
         land()
-    run_entities(spark, specs, root)
+    run_entities(spark, specs, root, at_once=at_once)
     taxi, bike, weather = (spark.table(f"{silver_schema}.{name}") for name in SILVER_TABLES)
-    star = build_gold(spark, taxi, bike, weather, gold_schema)
+    star = build_gold(spark, taxi, bike, weather, gold_schema, at_once)
     if drop_old:
         merged = [s.destination for s in specs if s.load_type == "merge"]
         for table in (*merged, *(f"{gold_schema}.{name}" for name in star)):
