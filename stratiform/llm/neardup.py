@@ -11,11 +11,13 @@
 5. Nodes that share such a shingle come to one home. Shingles met by the same few groups have one home, and so
    have more frequent shingles that occur together, so that a pair meets in few places. A home is cut into tiles of
    bounded bytes, and each pair of tiles is a unit of work of its own.
-6. The ordered sets of a tile stand in a trie, which is walked with each set of the other tile, counting shared
-   starts once and leaving a path when what remains cannot reach the overlap. Before that, parity signatures
-   bound the difference of two sets from below, and pairs whose groups have become connected are passed over.
-   Only links that connect two groups leave the task.
-7. Components of all links, by star steps in Spark. No link between different groups is lost; links inside a
+6. Parity signatures, made with the bands and a small part of a text in size, bound the difference of two sets from
+   below. They go to the units of work first, and a unit gets the texts only of those members that they leave a
+   partner in another group: most that meet by chance have none, and there are the more of these the larger the corpus is.
+7. The ordered sets of a tile stand in a trie, which is walked with each set of the other tile, counting shared
+   starts once and leaving a path when what remains cannot reach the overlap. Pairs whose groups have become
+   connected are passed over. Only links that connect two groups leave the task.
+8. Components of all links, by star steps in Spark. No link between different groups is lost; links inside a
    group need not be listed.
 """
 
@@ -42,6 +44,8 @@ from stratiform.operators.numbering import number_rows
 from stratiform.workspace import new_path, remove_path, stage
 
 SIMILAR = 0.8
+#: What texts with words match: a byte that `bytes.split` does not take for white space.
+WORD = "[^ \t-\r]"
 BUCKET_BYTES = 64 << 20
 MOST_BUCKETS = 100_000
 WORDS_PER_SLOT = 256
@@ -65,13 +69,13 @@ BANDS = [f"b{i}" for i in range(sh.BANDS)]
 def sign_and_count(texts: DataFrame, slots: int) -> DataFrame:
     """Rows of two kinds from one pass over `texts` (no, id, text).
 
-    Nodes: no, id, the size n of the shingle set, bytes of the text, and its bands. Counts: a slice of the counter table, and how
-    often each of its slots occurs in the task's sets.
+    Nodes: no, id, the size n of the shingle set, bytes of the text, its bands and signature. Counts: a slice of the counter
+    table, and how often each of its slots occurs in the task's sets.
     """
     width = min(SLICE, slots)
     schema = T.StructType(
         [texts.schema["no"], texts.schema["id"], *(T.StructField(c, T.LongType()) for c in ("n", "bytes", *BANDS))]
-        + [T.StructField("slice", T.IntegerType()), T.StructField("counts", T.BinaryType())]
+        + [T.StructField("signature", T.BinaryType()), T.StructField("slice", T.IntegerType()), T.StructField("counts", T.BinaryType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,16 +88,18 @@ def sign_and_count(texts: DataFrame, slots: int) -> DataFrame:
             counts += np.bincount(sh.slot_of(np.concatenate(sets), slots), minlength=slots)
             n = np.array([len(s) for s in sets], np.int64)
             size = pc.binary_length(piece.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield whole(piece.column("no"), piece.column("id"), n, size, *sh.band_keys(sets).T)
+            yield whole(piece.column("no"), piece.column("id"), n, size, *sh.band_keys(sets).T, signatures=sh.packed_signatures(sets))
         parts = np.minimum(counts, 2**32 - 1).astype(np.uint32).reshape(-1, width)
         for i in np.flatnonzero(parts.any(1)).tolist():
             yield whole(pa.nulls(1, pa.int64()), pa.nulls(1, kind), slice_=i, counts=parts[i].tobytes())
 
-    def whole(no: pa.Array, id_: pa.Array, *numbers: np.ndarray, slice_: int | None = None, counts: bytes | None = None) -> pa.RecordBatch:
+    def whole(
+        no: pa.Array, id_: pa.Array, *numbers: np.ndarray, signatures: list[bytes] | None = None, slice_: int | None = None, counts: bytes | None = None
+    ) -> pa.RecordBatch:
         size = len(no)
         longs = [pa.array(x, pa.int64()) for x in numbers] or [pa.nulls(size, pa.int64())] * (2 + sh.BANDS)
-        extra = [pa.array([slice_] * size, pa.int32()), pa.array([counts] * size, pa.binary())]
-        return pa.RecordBatch.from_arrays([no, id_, *longs, *extra], ["no", "id", "n", "bytes", *BANDS, "slice", "counts"])
+        extra = [pa.array(signatures or [None] * size, pa.binary()), pa.array([slice_] * size, pa.int32()), pa.array([counts] * size, pa.binary())]
+        return pa.RecordBatch.from_arrays([no, id_, *longs, *extra], ["no", "id", "n", "bytes", *BANDS, "signature", "slice", "counts"])
 
     return texts.select("no", "id", "text").mapInArrow(run, schema)
 
@@ -394,11 +400,61 @@ def connecting_links(p: Tile, q: Tile, roots: Roots) -> Iterator[tuple[int, int]
                 yield p.nodes[i], q.nodes[j]
 
 
-def trie_links(members: DataFrame, texts: DataFrame, classes: object) -> DataFrame:
+def able_work(work: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Of `work` (a, part, b, node, group), the rows whose signature leaves them a partner in another group.
+
+    These are the members of a tile alone (part -1), the members of tile a that can link with any tile of the part
+    (b is null), and those of each tile b that can link with tile a.
+    """
+    signed = work.join(nodes.select(F.col("no").alias("node"), "n", "signature"), "node")
+    signed = signed.select("a", "part", "b", "node", "group", "n", "signature")
+    signed = signed.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for (a, part), unit in groupby(rows(batches), key=lambda r: r[:2]):
+            probe, met = None, np.zeros(0, bool)
+            for b, tile in groupby(unit, key=lambda r: r[2]):
+                own = SignedTile(list(tile))
+                if b is None:
+                    probe, met = own, np.zeros(len(own.rows), bool)
+                    if part >= 0:
+                        continue
+                able = probe.signed.able(own.signed) & (probe.groups[:, None] != own.groups)
+                met |= able.any(1)
+                if b is not None:
+                    out += [own.rows[j][:5] for j in np.flatnonzero(able.any(0)).tolist()]
+            out += [probe.rows[i][:5] for i in np.flatnonzero(met).tolist()]
+            if len(out) > 10_000:
+                yield batch_of(out)
+                out = []
+        if out:
+            yield batch_of(out)
+
+    def batch_of(kept: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*kept, strict=True)], ["a", "part", "b", "node", "group"])
+
+    return signed.mapInArrow(keep, "a long, part long, b long, node long, group long")
+
+
+class SignedTile:
+    """Rows (a, part, b, node, group, n, signature) of a tile and their signatures."""
+
+    def __init__(self, rows: list[tuple]):
+        self.rows = rows
+        self.groups = np.array([r[4] for r in rows], np.int64)
+        self.signed = sh.Signed([r[5] for r in rows], [r[6] for r in rows])
+
+
+def trie_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, classes: object) -> DataFrame:
     """Links (a, b) that connect the groups that come together at a home.
 
     Work is dealt out by tile: alone, or as one tile with up to `TILES_PER_GROUP` others of its home. Texts are
-    fetched from their buckets and shuffled once, to the work that needs them.
+    fetched from their buckets and shuffled once, to the work that needs them, for members that signatures leave there.
     """
     ends = [F.min("n").alias("least"), F.max("n").alias("most"), F.min("group").alias("first"), F.max("group").alias("last")]
     shapes = stage(members.groupBy("home", "tile").agg(*ends), "tiles")
@@ -414,7 +470,8 @@ def trie_links(members: DataFrame, texts: DataFrame, classes: object) -> DataFra
     alone = alone.select("a", F.lit(-1).cast("long").alias("part"), nothing.alias("b"), "node", "group")
     probes = pairs.select("a", "part").distinct().join(held("a"), "a").select("a", "part", nothing.alias("b"), "node", "group")
     others = pairs.join(held("b"), "b").select("a", "part", "b", "node", "group")
-    work = alone.union(probes).union(others).join(texts.select(F.col("no").alias("node"), "text"), "node")
+    work = able_work(alone.union(probes).union(others), nodes).join(texts.select(F.col("no").alias("node"), "text"), "node")
+    work = work.select("a", "part", "b", "node", "group", "text")
     work = work.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -509,7 +566,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         met = stage(meeting_groups(texts, groups, classes, int(parts)), "met")
         met = stage(homes_of(met), "homes")
         members = stage(memberships(met, nodes, groups, texts, classes, int(parts)), "members")
-        more = stage(trie_links(stage(in_tiles(members), "in_tiles"), texts, classes), "trie_links")
+        more = stage(trie_links(stage(in_tiles(members), "in_tiles"), nodes, texts, classes), "trie_links")
         joined = components(links.select("a", "b").union(more))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -540,12 +597,25 @@ def op5_prefix_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, also of groups whose ids are null or repeated: that with the smallest id, null
-    last, and of several such the first by text and the other columns. Documents without words stay."""
+    last, and of several such the first by text and the other columns. Documents without words stay.
 
-    found = near_duplicates(docs)
-    order = Window.partitionBy("group_id").orderBy(F.col("doc_id").asc_nulls_last(), "text_id", "lang", "source", "n_chars")
-    first = found.where("group_id is not null").withColumn("nth", F.row_number().over(order)).where("nth = 1")
-    return first.select(*docs.columns).union(found.where("group_id is null").select(*docs.columns))
+    Groups choose among rows without their texts; the chosen texts are then taken from `docs`, shuffled once.
+    """
+    others = ["lang", "source", "n_chars"]
+
+    def first_texts() -> DataFrame:
+        found = near_duplicates(docs, keep=[c for c in docs.columns if c != "text"])
+        order = Window.partitionBy("group_id").orderBy(F.col("doc_id").asc_nulls_last(), "text_id", *others)
+        return found.where("group_id is not null").withColumn("nth", F.row_number().over(order)).where("nth = 1").select("text_id")
+
+    first = written_result(spark, "first_texts", first_texts)
+    text = field(docs, "text").cast("string")
+    worded = F.coalesce(text.rlike(WORD), F.lit(False))
+    base = text_numbers(docs.select(F.struct(*(field(docs, c) for c in docs.columns)).alias("row"), text.alias("text")))
+    of_text = Window.partitionBy("no").orderBy(F.col("row.doc_id").asc_nulls_last(), *(f"row.{c}" for c in others))
+    one = base.where(F.col("text").rlike(WORD)).select("no", "row").withColumn("nth", F.row_number().over(of_text)).where("nth = 1")
+    chosen = one.join(first, one["no"] == first["text_id"], "left_semi").select("row.*")
+    return chosen.union(docs.where(~worded))
 
 
 ORACLE_SQL = {

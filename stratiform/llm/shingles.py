@@ -87,7 +87,7 @@ def in_order(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 def signature_bits(n: int) -> int:
     """Bits of the signatures of sets of up to n elements: enough that those some ninth apart differ in most of them."""
-    return 1 << min(11, max(7, n.bit_length()))
+    return 1 << min(16, max(7, n.bit_length()))
 
 
 def parities(sets: list[np.ndarray], bits: int) -> np.ndarray:
@@ -96,10 +96,61 @@ def parities(sets: list[np.ndarray], bits: int) -> np.ndarray:
     Each element that one set has and another has not changes one of the bits, so sets differ at least in as
     many elements as signatures in bits.
     """
+    return (1 - 2 * odd_classes(sets, bits)).astype(np.float32)
+
+
+def odd_classes(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """For each set and each of `bits` hash classes 1 if an odd number of elements falls there, else 0."""
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     bit = (np.concatenate(sets) & np.uint64(bits - 1)).astype(np.int64)
     counts = np.bincount(owner * bits + bit, minlength=len(sets) * bits).reshape(len(sets), bits)
-    return (1 - 2 * (counts & 1)).astype(np.float32)
+    return (counts & 1).astype(np.int8)
+
+
+def packed_signatures(sets: list[np.ndarray]) -> list[bytes]:
+    """The odd classes of each set as bits, so many as `signature_bits` gives for its size."""
+    widths = np.array([signature_bits(len(s)) for s in sets], np.int64)
+    out = [b""] * len(sets)
+    for bits in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == bits)
+        step = max(1, (1 << 20) // bits)
+        for block in (rows[i : i + step] for i in range(0, len(rows), step)):
+            for i, packed in zip(block.tolist(), np.packbits(odd_classes([sets[i] for i in block], bits), axis=1), strict=True):
+                out[i] = packed.tobytes()
+    return out
+
+
+class Signed:
+    """Signatures of sets that have been packed, by their width. A wide one is folded to compare it with a narrow one."""
+
+    def __init__(self, sizes: list[int], packed: list[bytes]):
+        self.sizes = np.array(sizes, np.int64)
+        widths = np.array([8 * len(p) for p in packed], np.int64)
+        self.rows = {bits: np.flatnonzero(widths == bits) for bits in np.unique(widths).tolist()}
+        self.signs: dict[tuple[int, int], np.ndarray] = {}
+        for bits, rows in self.rows.items():
+            flat = np.frombuffer(b"".join(packed[i] for i in rows), np.uint8).reshape(len(rows), bits // 8)
+            self.signs[bits, bits] = 1 - 2 * np.unpackbits(flat, axis=1).astype(np.float32)
+
+    def folded(self, bits: int, to: int) -> np.ndarray:
+        if (bits, to) not in self.signs:
+            own = self.signs[bits, bits]
+            self.signs[bits, to] = own.reshape(len(own), bits // to, to).prod(1)
+        return self.signs[bits, to]
+
+    def able(self, other: Signed) -> np.ndarray:
+        """Which sets of this and of the other can link by their sizes and signatures."""
+        m, n = self.sizes[:, None], other.sizes
+        out = 5 * np.minimum(m, n) >= 4 * np.maximum(m, n)
+        for v, i in self.rows.items():
+            for w, j in other.rows.items():
+                at = np.ix_(i, j)
+                if not out[at].any():
+                    continue
+                bits = min(v, w)
+                differ = (bits - self.folded(v, bits) @ other.folded(w, bits).T) / 2
+                out[at] &= 9 * differ <= self.sizes[i][:, None] + other.sizes[j]
+        return out
 
 
 def least_overlap(m: int, n: int) -> int:

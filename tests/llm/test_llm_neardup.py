@@ -6,6 +6,7 @@ import pytest
 from stratiform.llm import neardup
 from stratiform.llm import shingles as sh
 from stratiform.llm.components import components
+from stratiform.workspace import stage
 
 
 def shingle_set(text):
@@ -129,6 +130,68 @@ def test_signatures_bound_the_difference():
         assert (bits - p @ q) / 2 <= len(np.setxor1d(a, b))
 
 
+def test_packed_signatures_never_part_sets_that_link():
+    """Sets of any size, also of signatures of different widths: what `able` rules out does not link."""
+    source = random.Random(6)
+    sets = [np.zeros(0, np.uint64)]
+    for size in [1, 2, 9, 60, 63, 64, 127, 128, 250, 256, 400, 2000, 5000]:
+        base = source.sample(range(10**12), size)
+        for _ in range(6):
+            changed = source.sample(range(10**12), source.randint(0, size // 4))
+            sets.append(np.array(sorted({*base[len(changed) * source.randint(0, 1) :], *changed}), np.uint64))
+    order = list(range(len(sets)))
+    source.shuffle(order)
+    p, q = (sh.Signed([len(sets[i]) for i in part], sh.packed_signatures([sets[i] for i in part])) for part in (order[::2], order[1::2]))
+    able, linked = p.able(q), 0
+    for x, i in enumerate(order[::2]):
+        for y, j in enumerate(order[1::2]):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if both and both >= sh.least_overlap(len(sets[i]), len(sets[j])):
+                linked += 1
+                assert able[x, y]
+    assert linked >= 40 and able.sum() < 4 * linked
+
+
+def test_texts_go_only_to_members_that_signatures_leave_a_partner(spark):
+    """Strangers that meet at a home come without their texts, however many meet; near copies come with them."""
+    source = random.Random(3)
+    common, base = [f"c{i}" for i in range(8)], [f"b{i}" for i in range(90)]
+    texts = [" ".join(common + [f"w{source.randint(0, 10**6)}" for _ in range(90)]) for _ in range(40)]
+    texts += [" ".join([*base[:89], f"end{k}"]) for k in range(2)]
+    sets = sh.shingle_sets([t.encode() for t in texts], sh.WordHashes())
+    rows = [(i, len(s), bytearray(p)) for i, (s, p) in enumerate(zip(sets, sh.packed_signatures(sets), strict=True))]
+    nodes = spark.createDataFrame(rows, "no long, n long, signature binary")
+    alone = [(0, -1, None, i, i) for i in range(42)]
+    paired = [(100, 0, None, i, i) for i in range(0, 42, 2)] + [(100, 0, 101 + i % 4, i, i) for i in range(1, 42, 2)]
+    same_group = [(200, -1, None, i, 40) for i in (40, 41)]
+    work = spark.createDataFrame(alone + paired + same_group, "a long, part long, b long, node long, group long")
+    kept = sorted((tuple(r) for r in neardup.able_work(work, nodes).collect()), key=repr)
+    assert kept == sorted([(0, -1, None, 40, 40), (0, -1, None, 41, 41), (100, 0, None, 40, 40), (100, 0, 102, 41, 41)], key=repr)
+
+
+def test_the_stage_shuffles_texts_once(spark):
+    """Choosing one document of each group moves ids; only the chosen texts' own shuffle holds the text."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    base = [f"b{i}" for i in range(30)]
+    rows = [(k, " ".join([*base, f"end{k % 5}"]), "en", "s", 1) for k in range(20)] + [(50, None, "en", "s", 0), (51, " \t\n", "en", "s", 3), (51, " \t\n", "en", "s", 3)]
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        kept = neardup.stage_near_duplicates(spark, stage(spark.createDataFrame(rows, schema)), "")
+        plan = kept._jdf.queryExecution().executedPlan()
+        todo, exchanges = [plan], []
+        while todo:
+            node = todo.pop()
+            if node.nodeName() == "Exchange":
+                exchanges.append([a for a in (node.output().apply(i).dataType().simpleString() for i in range(node.output().size())) if "string" in a])
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+        assert sum(any("text" in c or c == "string" for c in e) for e in exchanges) == 1
+        assert sorted(r["doc_id"] for r in kept.collect()) == [0, 50, 51, 51]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def test_counting_costs_the_same_at_every_size():
     """The counter table has a largest size, so that its tasks' work and output follow the text."""
     assert neardup.MOST_SLOTS * 4 <= 4 << 20
