@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratiform.workspace import as_written, fresh_name, stage
+from stratiform.workspace import as_written, fresh_name, is_written, stage
 
 # monotonically_increasing_id() puts the partition in the upper bits and the position in the lower 33.
 _POSITION_BITS = 33
@@ -31,6 +31,9 @@ def number_rows(
     first = fresh_name(columns, "_part")
     if order_by:
         # Range partitioning samples its input and then reads it again, both from the last shuffle where there is one.
+        # What may differ from one evaluation to the next is written before, so that the sample is one of the rows that follow.
+        if not ranged and not is_written(df) and not df._jdf.queryExecution().analyzed().deterministic():
+            df = stage(df, "unordered")
         df = (df if ranged else df.repartitionByRange(*order_by)).sortWithinPartitions(*order_by)
     written = stage(df.withColumn(slot, F.monotonically_increasing_id()), "numbered")
     part = F.shiftright(slot, _POSITION_BITS)
